@@ -388,17 +388,14 @@ def quantile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     df, keys = clean(spark, sf_dir), [S.CARRIER]
     monthly = quantiles.quantile_sketch(df, MONTH_CARRIER, k=SKETCH_SIZE)
     merged = quantiles.merge_sketch(monthly, keys, k=SKETCH_SIZE)
-    read = quantiles.read_sketch(merged, keys)
-    error = quantiles.rank_error(quantiles.value_histogram(df, keys), read, keys)
-    return (
-        read.select(*keys, "n")
-        .join(error, keys)
-        .select(
-            *keys,
-            "n",
-            (F.col("rank_error") <= SKETCH_RANK_ERROR).alias("within_bound"),
-        )
+    error = quantiles.rank_error(
+        quantiles.value_histogram(df, keys),
+        quantiles.read_sketch(merged, keys),
+        keys,
+        carry=["n"],
     )
+    bound = F.col("rank_error") <= SKETCH_RANK_ERROR
+    return error.select(*keys, "n", bound.alias("within_bound"))
 
 
 @query("merge_state_q1")

@@ -18,15 +18,9 @@ def hour_bucket(hhmm: Column | str) -> Column:
 
 
 def strict_cast(c: Column | str) -> Column:
-    """To double; the job fails on a null or on text that is no number.
-
-    Independent of the session's ANSI setting.
-    """
-    c = as_column(c)
-    failure = F.raise_error(
-        F.concat(F.lit("not a number: "), F.coalesce(c.cast("string"), F.lit("NULL")))
-    )
-    return F.coalesce(c.try_cast("double"), failure.cast("double"))
+    """To double; the job fails on a null or on text that is no number."""
+    failure = F.raise_error(F.lit("missing value, or text that is no number"))
+    return F.coalesce(as_column(c).cast("double"), failure.cast("double"))
 
 
 def default_cast(c: Column | str, default: float = 0.0) -> Column:

@@ -15,7 +15,7 @@ from decimal import Decimal
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ontime import schema as S
@@ -41,13 +41,8 @@ def merge_histogram(
     return histogram.groupBy(*keys, value).agg(F.sum(count).alias(count))
 
 
-def _ranks(prob: float, total: Column, interpolate: bool) -> list[Column]:
-    """1-based ranks needed for one percentile, in exact decimal arithmetic."""
-    p = F.lit(Decimal(str(prob)))
-    if not interpolate:
-        return [F.greatest(F.ceil(p * total).cast("long"), F.lit(1).cast("long"))]
-    position = p * (total - 1)
-    return [F.floor(position).cast("long") + 1, F.ceil(position).cast("long") + 1]
+def _names(columns: Sequence[str], prefix: str = "") -> str:
+    return "".join(f"{prefix}`{c}`, " for c in columns)
 
 
 def percentiles_from_histogram(
@@ -64,69 +59,72 @@ def percentiles_from_histogram(
 
     `cell_width` trades the number of cells of a group against the number of
     distinct values in a cell; the result does not depend on it.
+
+    Ranks are 1-based and come from decimal arithmetic. A discrete percentile
+    needs one rank; an interpolated one the ranks below and above its position.
     """
-    cell = F.when(F.isnan(F.col(value).cast("double")), F.lit(_LAST_CELL)).otherwise(
-        F.floor(F.col(value).cast("double") / cell_width)
-    )
-    cells = histogram.select(*keys, value, F.col(count).alias("_n"), cell.alias("_cell"))
-
-    of_group = Window.partitionBy(*keys)
-    present = F.when(F.col("_cell").isNotNull(), F.col("_n"))
-    per_cell = (
-        cells.groupBy(*keys, "_cell")
-        .agg(F.coalesce(F.sum(present), F.lit(0)).alias("_in_cell"))
-        .withColumns(
-            {
-                "_upto": F.sum("_in_cell").over(of_group.orderBy("_cell")),
-                "_total": F.sum("_in_cell").over(of_group),
-            }
-        )
-    )
-    wanted = [r for p in probs for r in _ranks(p, F.col("_total"), interpolate)]
-    targets = (
-        per_cell.select(
-            *[F.col(k).alias(f"_target_{k}") for k in keys],
-            F.col("_cell").alias("_target_cell"),
-            "_upto",
-            "_total",
-            (F.col("_upto") - F.col("_in_cell")).alias("_below"),
-            F.posexplode(F.array(*wanted)).alias("_rank_no", "_rank"),
+    ranks, fields = [], []
+    for prob, name in zip(probs, names, strict=True):
+        p = Decimal(str(prob))
+        if interpolate:
+            low, high = len(ranks), len(ranks) + 1
+            ranks += [
+                f"CAST(floor({p} * (_total - 1)) AS BIGINT) + 1",
+                f"CAST(ceil({p} * (_total - 1)) AS BIGINT) + 1",
+            ]
+            position = f"{p} * (max(_total) - 1)"
+            fields.append(
+                f"{_value_at(low)} + ({_value_at(high)} - {_value_at(low)}) "
+                f"* CAST({position} - floor({position}) AS DOUBLE) AS `{name}`"
+            )
+        else:
+            fields.append(f"{_value_at(len(ranks))} AS `{name}`")
+            ranks.append(f"greatest(CAST(ceil({p} * _total) AS BIGINT), 1)")
+
+    by_group = f"PARTITION BY {_names(keys)[:-2]}" if keys else ""
+    same_cell = " AND ".join(["c._cell = t._cell", *[f"c.`{k}` <=> t.`{k}`" for k in keys]])
+    grouping = f"GROUP BY {_names(keys, 'c.')[:-2]}" if keys else ""
+    return histogram.sparkSession.sql(
+        f"""
+        WITH cells AS (
+          SELECT {_names(keys)} `{value}` AS _value,
+            CASE WHEN `{value}` IS NULL THEN 0 ELSE `{count}` END AS _n,
+            CASE WHEN isnan(`{value}`) THEN {_LAST_CELL}
+              ELSE floor(CAST(`{value}` AS DOUBLE) / {cell_width}D) END AS _cell
+          FROM {{histogram}}
+        ),
+        counted AS (
+          SELECT *,
+            sum(_n) OVER (PARTITION BY {_names(keys)} _cell ORDER BY _value) AS _upto_in_cell,
+            sum(_n) OVER (PARTITION BY {_names(keys)} _cell) AS _in_cell
+          FROM cells
+        ),
+        placed AS (
+          SELECT {_names(keys)} _cell, _in_cell,
+            sum(_in_cell) OVER ({by_group} ORDER BY _cell) AS _upto,
+            sum(_in_cell) OVER ({by_group}) AS _total
+          FROM counted WHERE _upto_in_cell = _in_cell
+        ),
+        targets AS (
+          SELECT {_names(keys)} _cell, _total, _rank_no,
+            _rank - (_upto - _in_cell) AS _rank_in_cell
+          FROM placed LATERAL VIEW posexplode(array({", ".join(ranks)})) AS _rank_no, _rank
+          WHERE _rank > _upto - _in_cell AND _rank <= _upto
         )
-        .filter((F.col("_rank") > F.col("_below")) & (F.col("_rank") <= F.col("_upto")))
-        .withColumn("_rank_in_cell", F.col("_rank") - F.col("_below"))
-        .drop("_upto", "_below", "_rank")
+        SELECT {_names(keys, "c.")} {", ".join(fields)}
+        FROM counted c LEFT JOIN targets t ON {same_cell}
+        {grouping}
+        """,
+        histogram=histogram,
     )
 
-    in_cell = Window.partitionBy(*keys, "_cell").orderBy(value)
-    counted = cells.withColumn("_upto_in_cell", F.sum("_n").over(in_cell))
-    same_cell = reduce(
-        and_,
-        [F.col(k).eqNullSafe(F.col(f"_target_{k}")) for k in keys],
-        F.col("_cell") == F.col("_target_cell"),
-    )
-    reached = F.col("_upto_in_cell") >= F.col("_rank_in_cell")
-    picks = (
-        counted.join(targets, same_cell, "left")
-        .groupBy(*keys)
-        .agg(
-            F.max("_total").alias("_total"),
-            *[
-                F.min(F.when((F.col("_rank_no") == i) & reached, F.col(value))).alias(f"_v{i}")
-                for i in range(len(wanted))
-            ],
-        )
+
+def _value_at(rank_no: int) -> str:
+    """The smallest value whose running count reaches the wanted rank."""
+    return (
+        f"min(CASE WHEN _rank_no = {rank_no} AND _upto_in_cell >= _rank_in_cell "
+        "THEN _value END)"
     )
-    if not interpolate:
-        return picks.select(
-            *keys, *[F.col(f"_v{i}").alias(name) for i, name in enumerate(names)]
-        )
-    fields = []
-    for i, (prob, name) in enumerate(zip(probs, names, strict=True)):
-        position = F.lit(Decimal(str(prob))) * (F.col("_total") - 1)
-        fraction = (position - F.floor(position)).cast("double")
-        low, high = F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}")
-        fields.append((low + (high - low) * fraction).alias(name))
-    return picks.select(*keys, *fields)
 
 
 def percentiles_discrete(
@@ -209,15 +207,18 @@ def rank_error(
     probs: Sequence[float] = QUARTILES_AND_P90,
     names: Sequence[str] = QUARTILES_AND_P90_NAMES,
     count: str = "n",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Largest distance per group between a wanted rank and an estimate's rank, in [0, 1].
 
     An estimate that occurs in the data covers the whole run of its equals.
-    `present` is the number of non-null values of the group.
+    `present` is the number of non-null values of the group; `carry` names
+    columns of the estimates to hand on.
     """
     named = estimates.select(
         *[F.col(k).alias(f"_estimate_{k}") for k in keys],
         *[F.col(name).alias(f"_estimate_{name}") for name in names],
+        *[F.col(c).alias(f"_carried_{c}") for c in carry],
     )
     same_group = reduce(
         and_, [F.col(k).eqNullSafe(F.col(f"_estimate_{k}")) for k in keys], F.lit(True)
@@ -232,6 +233,6 @@ def rank_error(
     return (
         histogram.filter(F.col(value).isNotNull())
         .join(named, same_group)
-        .groupBy(*keys)
+        .groupBy(*keys, *[F.col(f"_carried_{c}").alias(c) for c in carry])
         .agg(total.alias("present"), F.greatest(*errors, F.lit(0.0)).alias("rank_error"))
     )

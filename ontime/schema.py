@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONTH = "MONTH"
@@ -170,3 +171,18 @@ def require_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     if wrong:
         raise TypeError(f"columns with an unexpected type (found, declared): {wrong}")
     return df
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Cast declared columns that have another type; further columns stay as they are.
+
+    Under ANSI mode a value that does not fit its declared type fails the job.
+    """
+    require_columns(df, schema.names)
+    actual = {f.name: f.dataType for f in df.schema.fields}
+    casts = {
+        f.name: F.col(f.name).cast(f.dataType)
+        for f in schema.fields
+        if actual[f.name] != f.dataType
+    }
+    return df.withColumns(casts) if casts else df

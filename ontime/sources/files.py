@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,11 +10,13 @@ from ontime import schema as S
 
 
 def scan_raw(spark: SparkSession, path: str, fmt: str = "avro") -> DataFrame:
-    """Raw records from a folder or glob; schema from the files, checked for the fields.
+    """Raw records from a folder or glob, with the declared fields in their declared types.
 
     Columns beyond the declared ones are kept.
     """
-    return S.require_columns(spark.read.format(fmt).load(path), S.FLIGHT_SCHEMA.names)
+    if fmt == "csv":
+        return scan_csv(spark, path)
+    return S.conform(spark.read.format(fmt).load(path), S.FLIGHT_SCHEMA)
 
 
 def scan_avro(spark: SparkSession, path: str) -> DataFrame:
@@ -56,14 +56,14 @@ def scan_csv_report(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 def scan_csv(
     spark: SparkSession,
     path: str,
-    types: Mapping[str, T.DataType] | T.StructType = S.FLIGHT_SCHEMA,
+    schema: T.StructType = S.FLIGHT_SCHEMA,
 ) -> DataFrame:
     """Delimited raw records in whatever column order the header gives.
 
     Known columns get their declared type, others stay text. A field that does
     not parse becomes null, for the cleaning rules to judge.
     """
-    known = {f.name: f.dataType for f in types.fields} if isinstance(types, T.StructType) else types
+    known = {f.name: f.dataType for f in schema.fields}
     header = S.require_columns(spark.read.csv(path, header=True), known).columns
     declared = T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in header])
     return spark.read.schema(declared).csv(
