@@ -9,12 +9,17 @@ from pyspark.sql import SparkSession
 
 # Engine settings only: masters, memory and executor counts belong to the
 # submit command. AQE picks the number of reducers from the bytes it sees.
+# The JVM never compiles a method of more than 8000 bytes, so larger generated
+# stages run faster operator by operator. Recording the Python call site of
+# every column expression doubles the time it takes to build a plan.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
