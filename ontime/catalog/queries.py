@@ -353,12 +353,11 @@ def percentiles_discrete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("percentiles_discrete_prices")
 def percentiles_discrete_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nearly all values distinct: prices per return flag, cells of 100 units."""
+    """Nearly all values distinct: prices per return flag and line status."""
     return quantiles.percentiles_discrete(
         spark.read.parquet(f"{sf_dir}/lineitem.parquet"),
         ["l_returnflag", "l_linestatus"],
         "l_extendedprice",
-        cell_width=100.0,
     )
 
 

@@ -3,9 +3,10 @@
 The exact routes start from a histogram, one row per (group, value) with a
 count. Building it combines on the map side and shuffles by group *and*
 value, so a group that holds a third of all rows is spread like any other.
-Ranks are then located in two steps: first among value cells (for example
-one cell per minute of delay), then inside the few cells that hold a wanted
-rank. No task ever sees all values of a group.
+Ranks are then located in two steps: first among value cells, then inside
+the few cells that hold a wanted rank. No task ever sees all values of a
+group. Cells have a fixed relative width, so a group has a bounded number of
+them whatever its values are, and small whole numbers have one each.
 """
 
 from __future__ import annotations
@@ -24,7 +25,13 @@ from ontime.functions import percentile_fields
 QUARTILES_AND_P90 = (0.25, 0.5, 0.75, 0.9)
 QUARTILES_AND_P90_NAMES = ("p25", "p50", "p75", "p90")
 
+CELLS_PER_OCTAVE = 4096
+
+# Cell of NaN, which Spark sorts last. Doubles span less than 1100 octaves to
+# either side of 1, so shifting by so many keeps cells of one sign together.
 _LAST_CELL = 2**63 - 1
+_OCTAVES = 1100
+_LARGEST_DOUBLE = "1.7976931348623157E308D"
 
 
 def value_histogram(
@@ -52,13 +59,13 @@ def percentiles_from_histogram(
     probs: Sequence[float] = QUARTILES_AND_P90,
     names: Sequence[str] = QUARTILES_AND_P90_NAMES,
     interpolate: bool = False,
-    cell_width: float = 1.0,
+    cells_per_octave: int = CELLS_PER_OCTAVE,
     count: str = "n",
 ) -> DataFrame:
     """Exact percentiles of every group of a histogram.
 
-    `cell_width` trades the number of cells of a group against the number of
-    distinct values in a cell; the result does not depend on it.
+    `cells_per_octave` is the number of cells between a value and its double.
+    The result does not depend on it; more cells split dense values further.
 
     Ranks are 1-based and come from decimal arithmetic. A discrete percentile
     needs one rank; an interpolated one the ranks below and above its position.
@@ -89,8 +96,7 @@ def percentiles_from_histogram(
         WITH cells AS (
           SELECT {_names(keys)} `{value}` AS _value,
             CASE WHEN `{value}` IS NULL THEN 0 ELSE `{count}` END AS _n,
-            CASE WHEN isnan(`{value}`) THEN {_LAST_CELL}
-              ELSE floor(CAST(`{value}` AS DOUBLE) / {cell_width}D) END AS _cell
+            {_cell(f"CAST(`{value}` AS DOUBLE)", cells_per_octave)} AS _cell
           FROM {{histogram}}
         ),
         counted AS (
@@ -119,6 +125,19 @@ def percentiles_from_histogram(
     )
 
 
+def _cell(x: str, cells_per_octave: int) -> str:
+    """Cell number of a double: the logarithm of its size, cut to whole steps.
+
+    Cells come in the order of the values; ends of the range share a cell.
+    """
+    size = f"log2(least(abs({x}), {_LARGEST_DOUBLE}))"
+    return (
+        f"CASE WHEN isnan({x}) THEN {_LAST_CELL} WHEN {x} = 0 THEN 0 "
+        f"ELSE CAST(sign({x}) AS BIGINT) * "
+        f"({_OCTAVES * cells_per_octave} + floor({cells_per_octave} * {size})) END"
+    )
+
+
 def _value_at(rank_no: int) -> str:
     """The smallest value whose running count reaches the wanted rank."""
     return (
@@ -133,11 +152,11 @@ def percentiles_discrete(
     value: str = S.DEP_DELAY,
     probs: Sequence[float] = QUARTILES_AND_P90,
     names: Sequence[str] = QUARTILES_AND_P90_NAMES,
-    cell_width: float = 1.0,
+    cells_per_octave: int = CELLS_PER_OCTAVE,
 ) -> DataFrame:
     """Exact percentiles that are values of the data."""
     return percentiles_from_histogram(
-        value_histogram(df, keys, value), keys, value, probs, names, False, cell_width
+        value_histogram(df, keys, value), keys, value, probs, names, False, cells_per_octave
     )
 
 
@@ -147,11 +166,11 @@ def percentiles_interpolated(
     value: str = S.DEP_DELAY,
     probs: Sequence[float] = QUARTILES_AND_P90,
     names: Sequence[str] = QUARTILES_AND_P90_NAMES,
-    cell_width: float = 1.0,
+    cells_per_octave: int = CELLS_PER_OCTAVE,
 ) -> DataFrame:
     """Exact percentiles, linearly interpolated between neighbouring values."""
     return percentiles_from_histogram(
-        value_histogram(df, keys, value), keys, value, probs, names, True, cell_width
+        value_histogram(df, keys, value), keys, value, probs, names, True, cells_per_octave
     )
 
 

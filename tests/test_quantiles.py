@@ -33,6 +33,7 @@ def random_groups():
         "minutes": [float(x) for x in rng.integers(-60, 300, 997)],
         "continuous": [float(x) for x in rng.normal(0, 40, 1000)],
         "heavy tail": [float(x) for x in rng.pareto(0.5, 500)],
+        "fractions": [float(x) for x in rng.uniform(-1e-3, 1e-3, 700)],
         "one value": [3.5] * 100,
         "single": [-0.25],
         "pair": [1.0, 2.0],
@@ -40,12 +41,12 @@ def random_groups():
     }
 
 
-@pytest.mark.parametrize("width", [0.01, 1.0, 25.0, 1e9])
-def test_exact_percentiles_against_brute_force(spark, width):
+@pytest.mark.parametrize("cells", [1, 64, 4096, 1_000_000])
+def test_exact_percentiles_against_brute_force(spark, cells):
     groups = random_groups()
     df = groups_of(spark, groups)
-    discrete = Q.percentiles_discrete(df, ["g"], "v", PROBS, NAMES, cell_width=width)
-    between = Q.percentiles_interpolated(df, ["g"], "v", PROBS, NAMES, cell_width=width)
+    discrete = Q.percentiles_discrete(df, ["g"], "v", PROBS, NAMES, cells_per_octave=cells)
+    between = Q.percentiles_interpolated(df, ["g"], "v", PROBS, NAMES, cells_per_octave=cells)
     discrete, between = ({r["g"]: r for r in records(d)} for d in (discrete, between))
     assert discrete.keys() == between.keys() == groups.keys()
     for g, values in groups.items():
@@ -69,14 +70,24 @@ def test_nulls_are_not_values_but_their_groups_stay(spark):
 
 
 def test_extreme_values_keep_their_order(spark):
-    values = [-math.inf, -1e300, -1.0, 0.0, 1.0, 1e300, math.inf, math.nan]
+    tiny, huge = 5e-324, 1.7976931348623157e308
+    up = [tiny, 1e-3, 1.0, 2.0, 1e300, huge, math.inf]
+    values = [*[-v for v in reversed(up)], 0.0, *up, math.nan]
     df = groups_of(spark, {"a": values})
-    probs = [(i + 1) / 8 for i in range(8)]
-    names = [f"p{i}" for i in range(8)]
+    probs = [(i + 1) / 16 for i in range(16)]
+    names = [f"p{i}" for i in range(16)]
     (row,) = records(Q.percentiles_discrete(df, ["g"], "v", probs, names))
     got = [row[n] for n in names]
-    assert got[:7] == values[:7]
-    assert math.isnan(got[7])
+    assert got[:15] == values[:15]
+    assert math.isnan(got[15])
+
+
+def test_whole_numbers(spark):
+    """Longs beyond the precision of doubles keep their order and type."""
+    values = [2**60 + i for i in range(1, 6)]
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    (row,) = records(Q.percentiles_discrete(df, [], "v", [0.2, 0.6, 1.0], ["a", "b", "c"]))
+    assert list(row.values()) == [values[0], values[2], values[4]]
 
 
 def test_merged_histograms_equal_the_whole(spark, small_dir):
