@@ -12,12 +12,11 @@ import os
 import time
 
 from ontime.operators.cleaning import clean_flights
-from ontime.operators.reuse import cached
 from ontime.plans import reports
 from ontime.plans.bench import measure
 from ontime.plans.job import Layout, refresh_states
 from ontime.session import session, work_folder
-from ontime.sinks import noop_run, write_partitioned
+from ontime.sinks import write_partitioned
 from ontime.sources import flights, scan_partitioned
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -44,14 +43,10 @@ def main() -> None:
     def clean():
         return scan_partitioned(spark, layout.clean)
 
-    def both_q3():
-        """One scan, two reports: the cached histogram feeds both."""
-        with cached(reports.q3_histogram(clean())) as histogram:
-            noop_run(reports.q3_percentiles_of(histogram))
-            return reports.q3_min_max_of(histogram)
+    monthly, delays = layout.monthly, layout.delays
 
-    def stored(path):
-        return spark.read.parquet(path).filter("MONTH BETWEEN 1 AND 4")
+    def stored_histogram():
+        return reports.q3_histogram_from_states(spark.read.parquet(delays))
 
     timings = {
         "clean_flights": measure(lambda: clean_flights(flights(spark, SF_DIR)), RUNS),
@@ -66,10 +61,16 @@ def main() -> None:
         ),
         "q3_min_max": measure(lambda: reports.q3_min_max(clean()), RUNS),
         "q1_from_states": measure(
-            lambda: reports.q1_from_states(stored(layout.delay_states)), RUNS
+            lambda: reports.q1_from_states(spark.read.parquet(monthly)), RUNS
         ),
         "q2_from_states": measure(
-            lambda: reports.q2_from_states(stored(layout.sum_states)), RUNS
+            lambda: reports.q2_from_states(spark.read.parquet(monthly)), RUNS
+        ),
+        "q3_percentiles_from_states": measure(
+            lambda: reports.q3_percentiles_of(stored_histogram()), RUNS
+        ),
+        "q3_min_max_from_states": measure(
+            lambda: reports.q3_min_max_of(stored_histogram()), RUNS
         ),
     }
     queries = {name: round(timing.mean, 4) for name, timing in timings.items()}

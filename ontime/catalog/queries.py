@@ -171,6 +171,14 @@ def explained_null_dep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.explained_null(flights(spark, sf_dir), S.DEP_DELAY, [S.CANCELLED])
 
 
+@query("explained_null")
+def explained_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both rules, one after the other."""
+    return cleaning.explained_null(
+        explained_null_arr(spark, sf_dir), S.DEP_DELAY, [S.CANCELLED]
+    )
+
+
 @query("carrier_filter")
 def carrier_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.carrier_filter(clean(spark, sf_dir), reports.Q1_CARRIERS)
@@ -449,7 +457,7 @@ def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shared_subplan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both q3 report files from one cached input, read back side by side."""
     percentiles, limits = work_folder(spark, "q3-p"), work_folder(spark, "q3-mm")
-    job.write_q3_reports(clean(spark, sf_dir), percentiles, limits)
+    job.write_q3_reports(reports.q3_histogram(clean(spark, sf_dir)), percentiles, limits)
     back = [
         labels.canonical_names(
             scan_csv_report(spark, path, S.labelled(schema, headings)),
@@ -488,24 +496,37 @@ def q3_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.q3_min_max(clean(spark, sf_dir))
 
 
-def stored_states(spark: SparkSession, sf_dir: str) -> job.Layout:
-    layout = job.Layout(work_folder(spark, "states"))
-    job.refresh_states(clean(spark, sf_dir), layout)
-    return layout
+def stored(spark: SparkSession, sf_dir: str, refresh: Callable) -> DataFrame:
+    """A state table, written and read back."""
+    return spark.read.parquet(
+        refresh(clean(spark, sf_dir), job.Layout(work_folder(spark, "states")))
+    )
 
 
 @query("q1_from_states")
 def q1_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The monthly report from a stored state table."""
-    stored = spark.read.parquet(stored_states(spark, sf_dir).delay_states)
-    return reports.q1_from_states(filters.month_range(stored, *reports.FIRST_MONTHS))
+    return reports.q1_from_states(stored(spark, sf_dir, job.refresh_monthly))
 
 
 @query("q2_from_states")
 def q2_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The carrier report from a stored state table."""
-    stored = spark.read.parquet(stored_states(spark, sf_dir).sum_states)
-    return reports.q2_from_states(filters.month_range(stored, *reports.FIRST_MONTHS))
+    return reports.q2_from_states(stored(spark, sf_dir, job.refresh_monthly))
+
+
+@query("q3_percentiles_from_states")
+def q3_percentiles_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The percentile report from stored monthly histograms."""
+    delays = stored(spark, sf_dir, job.refresh_delays)
+    return reports.q3_percentiles_of(reports.q3_histogram_from_states(delays))
+
+
+@query("q3_min_max_from_states")
+def q3_min_max_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The min/max report from stored monthly histograms."""
+    delays = stored(spark, sf_dir, job.refresh_delays)
+    return reports.q3_min_max_of(reports.q3_histogram_from_states(delays))
 
 
 def exported(spark: SparkSession, report: DataFrame, headings, export, table: str) -> DataFrame:

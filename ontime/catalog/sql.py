@@ -164,6 +164,8 @@ _AFTER_COMMON = {
     "require_fields": f"SELECT * FROM raw WHERE {PRESENT}",
     "explained_null_arr": f"SELECT * FROM raw WHERE {ARRIVAL_EXPLAINED}",
     "explained_null_dep": f"SELECT * FROM raw WHERE {DEPARTURE_EXPLAINED}",
+    "explained_null": f"""SELECT * FROM raw
+  WHERE {ARRIVAL_EXPLAINED} AND {DEPARTURE_EXPLAINED}""",
     "carrier_filter": "SELECT * FROM clean WHERE OP_UNIQUE_CARRIER IN ('AA', 'DL')",
     "completed_filter": "SELECT * FROM completed",
     "operated_filter": "SELECT * FROM clean WHERE CANCELLED <> 1",
@@ -241,6 +243,8 @@ _AFTER_COMMON = {
     "q3_min_max": "SELECT * FROM q3_mm ORDER BY carrier",
     "q1_from_states": "SELECT * FROM q1 ORDER BY month, carrier",
     "q2_from_states": "SELECT * FROM q2",
+    "q3_percentiles_from_states": "SELECT * FROM q3_p ORDER BY carrier, hour_bucket",
+    "q3_min_max_from_states": "SELECT * FROM q3_mm ORDER BY carrier",
     "export_q1": f"SELECT 'q1:' || carrier || ':' || month AS key, {Q1_FIELDS} FROM q1",
     "export_q2": """SELECT 'q2:' || position AS key, position AS posizione, carrier AS compagnia,
     records AS num_voli, arr_delay_mean AS ritardo_medio_arr,

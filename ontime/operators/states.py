@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime import schema as S
@@ -24,6 +24,29 @@ DELAY_STATE = {
 }
 
 
+def delay_state_columns(value: str = S.DEP_DELAY, cancelled: str = S.CANCELLED) -> list[Column]:
+    flown = F.col(cancelled) == 0
+    return [
+        F.count(F.lit(1)).alias("flights"),
+        F.count(F.when(F.col(cancelled) == 1, F.lit(1))).alias("cancelled"),
+        F.sum(F.when(flown, F.col(value))).alias("delay_sum"),
+        min_where(flown, value).alias("delay_min"),
+        max_where(flown, value).alias("delay_max"),
+    ]
+
+
+def sum_state_columns(columns: Sequence[str], condition: Column | None = None) -> list[Column]:
+    """Records and sums, over the rows that satisfy the condition if there is one."""
+
+    def chosen(c: Column) -> Column:
+        return c if condition is None else F.when(condition, c)
+
+    return [
+        F.count(chosen(F.lit(1))).alias("records"),
+        *[F.sum(chosen(F.col(c))).alias(f"{c.lower()}_sum") for c in columns],
+    ]
+
+
 def delay_state(
     df: DataFrame,
     keys: Sequence[str],
@@ -31,14 +54,7 @@ def delay_state(
     cancelled: str = S.CANCELLED,
 ) -> DataFrame:
     """Flights, cancelled flights, and sum, min and max of the delay of flown ones."""
-    flown = F.col(cancelled) == 0
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("flights"),
-        F.count(F.when(F.col(cancelled) == 1, F.lit(1))).alias("cancelled"),
-        F.sum(F.when(flown, F.col(value))).alias("delay_sum"),
-        min_where(flown, value).alias("delay_min"),
-        max_where(flown, value).alias("delay_max"),
-    )
+    return df.groupBy(*keys).agg(*delay_state_columns(value, cancelled))
 
 
 def merge_delay_state(states: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -63,10 +79,7 @@ def finalize_delay_state(
 
 def sum_state(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Number of records and the sum of each column."""
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("records"),
-        *[F.sum(c).alias(f"{c.lower()}_sum") for c in columns],
-    )
+    return df.groupBy(*keys).agg(*sum_state_columns(columns))
 
 
 def merge_sum_state(

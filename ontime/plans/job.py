@@ -11,8 +11,6 @@ from ontime import schema as S
 from ontime.operators.cleaning import clean_flights
 from ontime.operators.labels import report_labels
 from ontime.operators.reuse import cached
-from ontime.operators.states import delay_state, sum_state
-from ontime.operators.filters import completed_filter
 from ontime.plans import exports, reports
 from ontime.session import session
 from ontime.sinks import write_partitioned, write_report_csv
@@ -30,12 +28,12 @@ class Layout:
         return f"{self.root}/clean"
 
     @property
-    def delay_states(self) -> str:
-        return f"{self.root}/states/delay"
+    def monthly(self) -> str:
+        return f"{self.root}/states/monthly"
 
     @property
-    def sum_states(self) -> str:
-        return f"{self.root}/states/sums"
+    def delays(self) -> str:
+        return f"{self.root}/states/delays"
 
     @property
     def records(self) -> str:
@@ -46,48 +44,58 @@ class Layout:
 
 
 def write_q3_reports(
-    flights: DataFrame, percentiles_path: str, min_max_path: str, **choices
+    histogram: DataFrame, percentiles_path: str, min_max_path: str
 ) -> None:
-    """Both q3 report files from one scan.
+    """Both q3 report files from one computation of their histogram.
 
-    What is kept between the two writes is the histogram, a row per carrier,
-    hour and minute of delay, and not the flights themselves.
+    What is kept between the two writes has a row per carrier, hour and minute
+    of delay; the flights themselves are never cached.
     """
-    with cached(reports.q3_histogram(flights, **choices)) as histogram:
+    with cached(histogram) as kept:
         write_report_csv(
-            report_labels(reports.q3_percentiles_of(histogram), S.Q3_PERCENTILES_LABELS),
+            report_labels(reports.q3_percentiles_of(kept), S.Q3_PERCENTILES_LABELS),
             percentiles_path,
         )
         write_report_csv(
-            report_labels(reports.q3_min_max_of(histogram), S.Q3_MIN_MAX_LABELS),
-            min_max_path,
+            report_labels(reports.q3_min_max_of(kept), S.Q3_MIN_MAX_LABELS), min_max_path
         )
 
 
-def refresh_states(flights: DataFrame, layout: Layout) -> None:
-    """Store the states of the months that occur in `flights`; other months stay."""
-    keys = [S.MONTH, S.CARRIER]
-    for states, root in (
-        (delay_state(flights, keys), layout.delay_states),
-        (
-            sum_state(completed_filter(flights), keys, list(reports.Q2_MEANS)),
-            layout.sum_states,
-        ),
-    ):
-        write_partitioned(states, root, cluster_by=(), replace="touched")
-
-
-def write_reports(flights: DataFrame, layout: Layout, threshold: int = 500, k: int = 10) -> None:
-    write_report_csv(
-        report_labels(reports.q1_monthly_delay(flights), S.Q1_LABELS), layout.report("q1")
+def refresh_monthly(flights: DataFrame, layout: Layout) -> str:
+    """Store the monthly states of the months that occur in `flights`; others stay."""
+    return write_partitioned(
+        reports.monthly_state(flights), layout.monthly, cluster_by=(), replace="touched"
     )
-    write_report_csv(
-        report_labels(
-            reports.q2_top_carriers(flights, threshold=threshold, k=k), S.Q2_LABELS
-        ),
-        layout.report("q2"),
+
+
+def refresh_delays(flights: DataFrame, layout: Layout) -> str:
+    """Store the delay histograms of the months that occur in `flights`; others stay."""
+    return write_partitioned(reports.monthly_delays(flights), layout.delays, replace="touched")
+
+
+def refresh_states(flights: DataFrame, layout: Layout) -> None:
+    refresh_monthly(flights, layout)
+    refresh_delays(flights, layout)
+
+
+def write_reports(
+    spark: SparkSession,
+    layout: Layout,
+    months: tuple[int, int] = reports.FIRST_MONTHS,
+    threshold: int = 500,
+    k: int = 10,
+) -> None:
+    """All four report files from the stored states."""
+    monthly, delays = spark.read.parquet(layout.monthly), spark.read.parquet(layout.delays)
+    q1 = reports.q1_from_states(monthly, months=months)
+    write_report_csv(report_labels(q1, S.Q1_LABELS), layout.report("q1"))
+    q2 = reports.q2_from_states(monthly, months, threshold, k)
+    write_report_csv(report_labels(q2, S.Q2_LABELS), layout.report("q2"))
+    write_q3_reports(
+        reports.q3_histogram_from_states(delays, months=months),
+        layout.report("q3_percentiles"),
+        layout.report("q3_min_max"),
     )
-    write_q3_reports(flights, layout.report("q3_percentiles"), layout.report("q3_min_max"))
 
 
 def export_reports(spark: SparkSession, layout: Layout, k: int = 10) -> None:
@@ -104,13 +112,19 @@ def run(
     raw_path: str,
     root: str,
     fmt: str = "avro",
+    months: tuple[int, int] = reports.FIRST_MONTHS,
     threshold: int = 500,
     k: int = 10,
 ) -> Layout:
-    """Clean, report and export. Each stage reads what the one before has written."""
+    """Clean, summarise by month, report and export.
+
+    Each stage reads what the one before has written. The clean table is
+    scanned once per kind of state; reports never scan it.
+    """
     layout = Layout(root.rstrip("/"))
     write_partitioned(clean_flights(scan_raw(spark, raw_path, fmt)), layout.clean)
-    write_reports(scan_partitioned(spark, layout.clean), layout, threshold, k)
+    refresh_states(scan_partitioned(spark, layout.clean), layout)
+    write_reports(spark, layout, months, threshold, k)
     export_reports(spark, layout, k)
     return layout
 
@@ -120,10 +134,19 @@ def main() -> None:
     parser.add_argument("raw_path")
     parser.add_argument("root")
     parser.add_argument("--format", default="avro")
+    parser.add_argument("--months", type=int, nargs=2, default=reports.FIRST_MONTHS)
     parser.add_argument("--min-records", type=int, default=500)
     parser.add_argument("--top", type=int, default=10)
     args = parser.parse_args()
-    run(session(), args.raw_path, args.root, args.format, args.min_records, args.top)
+    run(
+        session(),
+        args.raw_path,
+        args.root,
+        args.format,
+        tuple(args.months),
+        args.min_records,
+        args.top,
+    )
 
 
 if __name__ == "__main__":

@@ -76,9 +76,22 @@ def q2_top_carriers(
     )
 
 
-def q1_from_states(monthly: DataFrame, carriers: Sequence[str] = Q1_CARRIERS) -> DataFrame:
-    """The monthly report from stored `delay_state` rows, without a scan of flights."""
-    wanted = carrier_filter(monthly, carriers)
+def monthly_state(df: DataFrame) -> DataFrame:
+    """What q1 and q2 need of a month and carrier, from one scan of the flights."""
+    completed = (F.col(S.CANCELLED) == 0) & (F.col(S.DIVERTED) == 0)
+    return df.groupBy(S.MONTH, S.CARRIER).agg(
+        *states.delay_state_columns(),
+        *states.sum_state_columns(list(Q2_MEANS), completed),
+    )
+
+
+def q1_from_states(
+    monthly: DataFrame,
+    carriers: Sequence[str] = Q1_CARRIERS,
+    months: tuple[int, int] = FIRST_MONTHS,
+) -> DataFrame:
+    """The monthly report from stored `monthly_state` rows, without a scan of flights."""
+    wanted = monthly.transform(month_range, *months).transform(carrier_filter, carriers)
     merged = states.merge_delay_state(wanted, [S.MONTH, S.CARRIER])
     return (
         states.finalize_delay_state(merged, [S.MONTH, S.CARRIER])
@@ -87,9 +100,16 @@ def q1_from_states(monthly: DataFrame, carriers: Sequence[str] = Q1_CARRIERS) ->
     )
 
 
-def q2_from_states(monthly: DataFrame, threshold: int = 500, k: int = 10) -> DataFrame:
-    """The carrier report from stored `sum_state` rows."""
-    merged = states.merge_sum_state(monthly, [S.CARRIER], list(Q2_MEANS))
+def q2_from_states(
+    monthly: DataFrame,
+    months: tuple[int, int] = FIRST_MONTHS,
+    threshold: int = 500,
+    k: int = 10,
+) -> DataFrame:
+    """The carrier report from stored `monthly_state` rows."""
+    merged = states.merge_sum_state(
+        monthly.transform(month_range, *months), [S.CARRIER], list(Q2_MEANS)
+    )
     return (
         states.finalize_sum_state(merged, [S.CARRIER], Q2_MEANS)
         .withColumnRenamed(S.CARRIER, "carrier")
@@ -125,6 +145,24 @@ def q3_histogram(
     return Q.value_histogram(q3_input(df, carriers, months), ["carrier", "hour_bucket"])
 
 
+def monthly_delays(df: DataFrame) -> DataFrame:
+    """Flown flights per month, carrier, hour and delay, to be stored and merged."""
+    rows = operated_filter(df).withColumn("hour_bucket", hour_bucket(S.SCHEDULED_DEPARTURE))
+    return Q.value_histogram(rows, [S.MONTH, S.CARRIER, "hour_bucket"])
+
+
+def q3_histogram_from_states(
+    delays: DataFrame,
+    carriers: Sequence[str] = Q3_CARRIERS,
+    months: tuple[int, int] = FIRST_MONTHS,
+) -> DataFrame:
+    """The `q3_histogram` from stored `monthly_delays` rows, without a scan of flights."""
+    wanted = delays.transform(month_range, *months).transform(carrier_filter, carriers)
+    return Q.merge_histogram(
+        wanted.withColumnRenamed(S.CARRIER, "carrier"), ["carrier", "hour_bucket"]
+    )
+
+
 def _q3_rounded(percentiles: DataFrame) -> DataFrame:
     names = Q.QUARTILES_AND_P90_NAMES
     return percentiles.select(

@@ -78,13 +78,19 @@ def test_export_fails_loudly(spark, tmp_path):
 
 def test_states_refresh_month_by_month(spark, clean, tmp_path):
     layout = job.Layout(str(tmp_path))
-    for month in range(1, 5):
-        job.refresh_states(clean.filter(f"MONTH = {month}"), layout)
+    for first in (1, 3, 5):
+        job.refresh_states(clean.filter(f"MONTH IN ({first}, {first + 1})"), layout)
     job.refresh_states(clean.filter("MONTH = 2"), layout)
-    q1 = reports.q1_from_states(spark.read.parquet(layout.delay_states))
+    monthly, delays = spark.read.parquet(layout.monthly), spark.read.parquet(layout.delays)
+    q1 = reports.q1_from_states(monthly)
     assert q1.collect() == reports.q1_monthly_delay(clean).collect()
-    q2 = reports.q2_from_states(spark.read.parquet(layout.sum_states), threshold=100)
+    q2 = reports.q2_from_states(monthly, threshold=100)
     assert q2.collect() == reports.q2_top_carriers(clean, threshold=100).collect()
+    histogram = reports.q3_histogram_from_states(delays)
+    q3 = reports.q3_percentiles_of(histogram)
+    assert q3.collect() == reports.q3_percentiles(clean).collect()
+    limits = reports.q3_min_max_of(histogram)
+    assert limits.collect() == reports.q3_min_max(clean).collect()
 
 
 def test_methods_of_q3_agree(clean):
