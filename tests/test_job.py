@@ -71,6 +71,21 @@ def test_exported_records(spark, layout):
     assert limits == {f"q3_mm:{c}" for c in reports.Q3_CARRIERS}
 
 
+def test_command_line_with_delimited_input(spark, small_dir, clean, tmp_path, monkeypatch):
+    flights(spark, small_dir).write.csv(str(tmp_path / "raw"), header=True)
+    out = str(tmp_path / "out")
+    options = ["--format", "csv", "--months", "5", "6", "--min-records", "50", "--top", "3"]
+    monkeypatch.setattr("sys.argv", ["job", str(tmp_path / "raw"), out, *options])
+    job.main()
+    layout = job.Layout(out)
+    q2 = scan_csv_report(spark, layout.report("q2"), S.labelled(S.Q2_SCHEMA, S.Q2_LABELS))
+    expected = reports.q2_top_carriers(clean, (5, 6), threshold=50, k=3)
+    assert [tuple(r) for r in q2.collect()] == [tuple(r) for r in expected.collect()]
+    assert q2.count() == 3
+    months = {r["mese"] for r in records(read_keyed(spark, layout.records, "q1"))}
+    assert months == {5, 6}
+
+
 def test_export_fails_loudly(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         job.export_reports(spark, job.Layout(str(tmp_path)))
