@@ -64,6 +64,9 @@ def percentiles_from_histogram(
 ) -> DataFrame:
     """Exact percentiles of every group of a histogram.
 
+    The histogram may be finer than the groups: several rows may count the
+    same value.
+
     `cells_per_octave` is the number of cells between a value and its double.
     The result does not depend on it; more cells split dense values further.
 
@@ -101,6 +104,7 @@ def percentiles_from_histogram(
         ),
         counted AS (
           SELECT *,
+            row_number() OVER (PARTITION BY {_names(keys)} _cell ORDER BY _value) AS _row,
             sum(_n) OVER (PARTITION BY {_names(keys)} _cell ORDER BY _value) AS _upto_in_cell,
             sum(_n) OVER (PARTITION BY {_names(keys)} _cell) AS _in_cell
           FROM cells
@@ -109,7 +113,7 @@ def percentiles_from_histogram(
           SELECT {_names(keys)} _cell, _in_cell,
             sum(_in_cell) OVER ({by_group} ORDER BY _cell) AS _upto,
             sum(_in_cell) OVER ({by_group}) AS _total
-          FROM counted WHERE _upto_in_cell = _in_cell
+          FROM counted WHERE _row = 1
         ),
         targets AS (
           SELECT {_names(keys)} _cell, _total, _rank_no,
