@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,14 +34,20 @@ def session(app_name: str = "ontime", master: str | None = None, **conf: str) ->
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A path nobody has used yet, below the folder all executors can reach.
+    """A path nobody has used yet, below a folder that all executors share.
 
-    The cluster names that folder in `spark.checkpoint.dir`. Only a local
-    master, where driver and executors share one disk, may do without it.
+    That is the folder in `spark.checkpoint.dir` or, where it is unset, one
+    below the warehouse; both are shared on any cluster, whatever its master.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="ontime-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/ontime-work"
     return f"{shared.rstrip('/')}/ontime-{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that `work_folder` named, once nothing reads it any more."""
+    if "/ontime-" not in path:
+        raise ValueError(f"not a work folder: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
