@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime.llm import chat, mixing, quality, url_filters, warc
+from ontime.llm import bpe, chat, mixing, quality, topk, url_filters, warc
 from ontime.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
 
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -85,3 +88,17 @@ def warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(
         named, (F.col("file") == F.col("p_file")) & (F.col("offset") == F.col("p_offset"))
     ).select("page_id", "url", "n_bytes", "status", "digest_0", "digest_1")
+
+
+@query("op4_byte_bpe")
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return bpe.token_digests(
+        spark, documents, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
+    )
+
+
+@query("op10_exact_top_k")
+def top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.exact_top_k(spark, vectors, vectors.where(F.col("vec_id") % 20 == 0))

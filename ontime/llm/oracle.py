@@ -131,10 +131,23 @@ SELECT page_id, url, CAST(strlen(record) AS BIGINT) AS n_bytes,
 FROM records WHERE draw < '08'
 """
 
+TOP_K = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 64)) AS q FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM pairs)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 20
+"""
+
 ORACLE: dict[str, str] = {
     "op1_source_mix": MIX,
     "op2_chat_calls": CHAT,
     "op6_url_verdicts": URLS,
     "op7_quality_rules": QUALITY,
     "op9_warc_fixity": WARC,
+    "op10_exact_top_k": TOP_K,
 }
