@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime.llm import bpe, chat, mixing, quality, topk, url_filters, warc
+from ontime.llm import bpe, chat, mixing, near_dup, quality, topk, url_filters, warc
 from ontime.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -55,6 +55,12 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(spark, table(spark, sf_dir, "documents"))
 
 
+@query("op8_near_duplicates")
+def near_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return near_dup.near_duplicates(spark, documents, shingle_words=2)
+
+
 @query("op9_warc_fixity")
 def warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit a replica in which some records are damaged or lost, by their URL's hash."""

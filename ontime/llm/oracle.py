@@ -131,6 +131,28 @@ SELECT page_id, url, CAST(strlen(record) AS BIGINT) AS n_bytes,
 FROM records WHERE draw < '08'
 """
 
+NEAR = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORDS}') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w]
+    ELSE list_transform(range(1, len(w)), lambda i: [w[i], w[i + 1]]) END) AS s FROM d),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * c >= 80 * (p.n + q.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other),
+groups AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN groups USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
 TOP_K = r"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 64)) AS q FROM embeddings
@@ -148,6 +170,7 @@ ORACLE: dict[str, str] = {
     "op2_chat_calls": CHAT,
     "op6_url_verdicts": URLS,
     "op7_quality_rules": QUALITY,
+    "op8_near_duplicates": NEAR,
     "op9_warc_fixity": WARC,
     "op10_exact_top_k": TOP_K,
 }

@@ -41,6 +41,7 @@ FOCUS_COORDINATES = 4
 EXACT = 2.0**53
 # The longest vectors, which give each query a score to start with.
 START_ROWS = 1024
+LAST_ID = 2**63 - 1
 # Room for rounding: what may reach a threshold must not be left out.
 ROUNDING = 1e-12
 NARROW = 1e-9
@@ -84,14 +85,12 @@ class Block:
     """One block of candidates, longest first, searched query by query."""
 
     def __init__(self, candidates: pd.DataFrame, k: int):
-        # Null ids, which pandas would turn into floats, come last among ties.
-        known = candidates["vec_id"].notna().to_numpy()
-        ids = np.full(len(candidates), np.iinfo(np.int64).max)
-        ids[known] = candidates["vec_id"].to_numpy()[known].astype(np.int64)
         lengths = candidates["length"].to_numpy()
         order = np.argsort(-lengths, kind="stable")
         self.k = k
-        self.known, self.ids, self.lengths = known[order], ids[order], lengths[order]
+        self.ids = candidates["vec_id"].to_numpy()[order]
+        self.known = candidates["known"].to_numpy()[order]
+        self.lengths = lengths[order]
         self.vectors = np.stack(candidates["vector"].to_numpy())[order]
 
     def search(self, query_id: int, query: np.ndarray, start: float):
@@ -148,6 +147,10 @@ def exact_top_k(
         F.min(F.struct("vector", "length", "dimension")).alias("least")
     )
     asked = asked.select("vec_id", "least.*")
+    # Null ids, which pandas would turn into floats, come last among ties.
+    vectors = vectors.withColumn("known", F.col("vec_id").isNotNull()).withColumn(
+        "vec_id", F.coalesce("vec_id", F.lit(LAST_ID))
+    )
     stored, _ = materialise(spark, vectors, "vectors")
     asked, _ = materialise(spark, asked, "queries")
     n_blocks = -(-stored.count() // BLOCK_ROWS) or 1
