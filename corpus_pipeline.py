@@ -9,9 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ontime.llm import mixing, quality
+from ontime.llm import bpe, mixing, near_dup, pii, quality
+from ontime.llm.catalog import PSEUDONYM_KEY, VOCABULARY
 from ontime.session import work_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,14 +25,33 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.quality_documents(spark, docs)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates by shingles of five words."""
+    return near_dup.deduplicated(spark, docs)
+
+
+def privacy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by pseudonyms."""
+    return pii.pseudonymised(docs, PSEUDONYM_KEY).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix of sources takes it."""
     return mixing.mixed_documents(spark, docs)
 
 
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Per document of the mix: number of tokens, digests of ids and decoded bytes."""
+    path = public_tokenizers.path(VOCABULARY)
+    return bpe.token_digests(spark, docs, path, public_tokenizers.PATTERN)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_stage),
+    ("near-duplicates", near_duplicate_stage),
+    ("privacy", privacy_stage),
     ("source mix", mix_stage),
+    ("tokens", token_stage),
 ]
 
 # Fingerprints, pseudonyms and token ids cannot be written as SQL for another

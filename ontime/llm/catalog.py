@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime.llm import bpe, chat, mixing, near_dup, quality, topk, url_filters, warc
+from ontime.llm import bpe, chat, mixing, near_dup, pii, quality, topk, url_filters, warc
 from ontime.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
 
+# For the given tables only: keep the key of real data out of the code.
+PSEUDONYM_KEY = "a key for the given tables"
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +45,12 @@ def chat_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.linked_calls(spark, calls, results, chat.REPLY_SCHEMAS)
 
 
+@query("op5_pseudonyms")
+def pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymised(documents, PSEUDONYM_KEY).withColumnRenamed("_n_pii", "n_pii")
+
+
 @query("op6_url_verdicts")
 def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
