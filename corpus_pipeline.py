@@ -20,9 +20,16 @@ from ontime.session import work_folder
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def counted(docs: DataFrame) -> DataFrame:
+    """The column n_chars brought in line with the text, where there is one."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, without lines that a host repeats."""
-    return quality.quality_documents(spark, docs)
+    return counted(quality.quality_documents(spark, docs))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +39,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def privacy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by pseudonyms."""
-    return pii.pseudonymised(docs, PSEUDONYM_KEY).select(*(F.col(f"`{c}`") for c in docs.columns))
+    done = pii.pseudonymised(docs, PSEUDONYM_KEY)
+    return counted(done.select(*(F.col(f"`{c}`") for c in docs.columns)))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

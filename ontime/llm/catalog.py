@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime.llm import bpe, chat, mixing, near_dup, pii, quality, topk, url_filters, warc
+from ontime.llm import bpe, chat, html_extraction, mixing, near_dup, pii, quality, topk, url_filters, warc
 from ontime.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -104,6 +104,11 @@ def warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("page_id", "url", "n_bytes", "status", "digest_0", "digest_1")
 
 
+@query("op3_main_texts")
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.main_texts(spark, table(spark, sf_dir, "pages"))
+
+
 @query("op4_byte_bpe")
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")

@@ -153,6 +153,23 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = componen
 FROM d JOIN groups USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
+# The given pages have their text in one article of h1, p, b and br elements.
+MAIN_TEXTS = r"""
+WITH inner_html AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)(?:</article>|$)', 1, 's') AS a FROM pages),
+bare AS (
+  SELECT page_id, url, list_transform(regexp_split_to_array(a, '</?(?:p|h1)>'),
+    lambda b: regexp_replace(replace(b, '<br>', ' '), '<[^>]*(>|$)', '', 'g')) AS blocks FROM inner_html),
+decoded AS (
+  SELECT page_id, url, list_transform(blocks, lambda b:
+    trim(regexp_replace(regexp_replace(replace(replace(replace(replace(
+      b, '&quot;', '"'), '&#x27;', chr(39)), '&lt;', '<'), '&gt;', '>'),
+      '&amp;?', '&', 'g'), '[\s\v]+', ' ', 'g'))) AS blocks FROM bare),
+joined AS (
+  SELECT page_id, url, array_to_string(list_filter(blocks, lambda b: b <> ''), chr(10) || chr(10)) AS text FROM decoded)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM joined
+"""
+
 TOP_K = r"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 64)) AS q FROM embeddings
@@ -168,6 +185,7 @@ SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <
 ORACLE: dict[str, str] = {
     "op1_source_mix": MIX,
     "op2_chat_calls": CHAT,
+    "op3_main_texts": MAIN_TEXTS,
     "op6_url_verdicts": URLS,
     "op7_quality_rules": QUALITY,
     "op8_near_duplicates": NEAR,
