@@ -38,7 +38,7 @@ PATTERNS = {
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
     "phone": r"(?<![0-9A-Za-z])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?[0-9]{3}[ .-]?[0-9]{4}|(?<=\+1[ .-]|\+1)[0-9]{3}[ .-]?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})(?![0-9])",
     "world_phone": r"\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}(?![0-9])",
-    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
+    "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])",
 }
 PATTERN = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 # Nothing above matches a text without one of these.

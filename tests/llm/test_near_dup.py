@@ -1,0 +1,127 @@
+from __future__ import annotations
+
+import random
+
+import helpers
+import numpy as np
+import pytest
+
+from ontime.llm import near_dup
+
+FIELDS = "doc_id long, text string, bucket string, label string, rep string"
+
+
+def documents(spark, texts):
+    return spark.createDataFrame([(k, t, "x", "y", "z") for k, t in texts.items()], FIELDS)
+
+
+def report(spark, texts, size=2):
+    rows = near_dup.near_duplicates(spark, documents(spark, texts), size).collect()
+    assert len(rows) == len(texts)
+    return {r.doc_id: r for r in rows}
+
+
+def edited(rnd, tokens, share):
+    return " ".join(f"n{rnd.randrange(10**6)}" if rnd.random() < share else t for t in tokens)
+
+
+def corpus(rnd, families=25, hot=90):
+    texts = {}
+    vocabulary = [f"w{i}" for i in range(4000)]
+    for _ in range(families):
+        base = rnd.choices(vocabulary, k=rnd.choice([3, 12, 60, 200]))
+        for _ in range(rnd.randrange(1, 6)):
+            texts[len(texts)] = edited(rnd, base, rnd.choice([0, 0.02, 0.05, 0.09]))
+    # One large family whose members are similar to a varying degree.
+    base = rnd.choices(vocabulary, k=120)
+    for _ in range(hot):
+        texts[len(texts)] = edited(rnd, base, rnd.uniform(0, 0.14))
+    for text in (None, "", " \n\t ", "one", "ONE", "one", "two words", "Two  WORDS", "É É", "é é", "x y " * 3000):
+        texts[len(texts)] = text
+    ids = list(texts)
+    rnd.shuffle(ids)
+    return dict(zip(ids, texts.values(), strict=True))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_groups_are_those_of_all_pairs(spark, monkeypatch, seed):
+    monkeypatch.setattr(near_dup, "BLOCK_MEMBERS", 16)
+    texts = corpus(random.Random(seed))
+    expected = helpers.groups(texts, 2)
+    got = report(spark, texts)
+    for k, text in texts.items():
+        assert got[k].n_shingles == len(helpers.shingles(text, 2))
+        assert got[k].component_id == expected[k]
+        assert got[k].kept == (expected[k] == k)
+
+
+def test_five_words(spark):
+    texts = corpus(random.Random(9), families=30, hot=20)
+    expected = helpers.groups(texts, 5)
+    assert {k: r.component_id for k, r in report(spark, texts, 5).items()} == expected
+
+
+def test_a_chain_is_one_group(spark):
+    tokens = [f"t{i}" for i in range(140)]
+    texts = {i: " ".join(tokens[i : i + 40]) for i in range(0, 100, 2)}
+    got = report(spark, texts)
+    assert {r.component_id for r in got.values()} == {0}
+
+
+def test_signatures_estimate_similarity():
+    rnd = np.random.default_rng(1)
+    for n in (30, 400):
+        errors = []
+        for _ in range(60):
+            shared = rnd.integers(0, 2**63, n, dtype=np.uint64)
+            a = np.concatenate([shared, rnd.integers(0, 2**63, n // 4, dtype=np.uint64)])
+            b = np.concatenate([shared, rnd.integers(0, 2**63, n // 4, dtype=np.uint64)])
+            same = (near_dup.signature(np.unique(a)) == near_dup.signature(np.unique(b))).mean()
+            errors.append(same - n / (n + 2 * (n // 4)))
+        assert abs(np.mean(errors)) < 0.02
+        assert np.std(errors) < 0.05
+
+
+def test_both_ways_to_a_signature_agree(monkeypatch):
+    rnd = np.random.default_rng(2)
+    for n in (1, 2, 17, 48):
+        shingles = np.unique(rnd.integers(0, 2**63, n, dtype=np.uint64))
+        at_once = near_dup.signature(shingles)
+        monkeypatch.setattr(near_dup, "SMALL_SET", 0)
+        assert (near_dup.signature(shingles) == at_once).all()
+        monkeypatch.undo()
+
+
+def test_components_by_stars(spark):
+    rnd = random.Random(3)
+    pairs = [(i, i + 1) for i in range(60)] + [(rnd.randrange(100, 200), rnd.randrange(100, 200)) for _ in range(80)]
+    edges = spark.createDataFrame([*pairs, (7, 7)], "a long, b long")
+    parent = {n: n for pair in pairs for n in pair}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in pairs:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    labels = dict(near_dup.components(spark, edges, "test").collect())
+    assert labels == {n: root(n) for n in labels}
+    assert set(labels) == {n for a, b in pairs if a != b for n in (a, b)}
+
+
+def test_one_of_each_group_stays(spark):
+    texts = {1: "a b c d e f", 2: "a b c d e f", 3: "other words", 4: None, 5: None}
+    rows = [(k, t, "x", "y", "z") for k, t in texts.items()]
+    rows += [(3, "other words", "x", "y", "z"), (None, "a b c d e f", "x", "y", "z"), (None, None, "x", "y", "z")]
+    docs = spark.createDataFrame(rows, FIELDS)
+    kept = near_dup.deduplicated(spark, docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 3, 4, 5]
+
+
+def test_empty_table(spark):
+    docs = documents(spark, {1: "a"}).where("false")
+    assert near_dup.near_duplicates(spark, docs).collect() == []
+    assert near_dup.deduplicated(spark, docs).collect() == []
