@@ -59,11 +59,9 @@ def max_where(condition: Column, c: Column | str) -> Column:
 
 
 def percentile_fields(array: Column | str, names: Sequence[str]) -> list[Column]:
-    """One rounded double column per element of a quantile array."""
+    """One double column per element of a quantile array, as it is."""
     array = as_column(array)
-    return [
-        round2(array.getItem(i).cast("double")).alias(name) for i, name in enumerate(names)
-    ]
+    return [array.getItem(i).cast("double").alias(name) for i, name in enumerate(names)]
 
 
 def composite_key(*parts: Column | str) -> Column:

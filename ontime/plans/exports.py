@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,7 +10,7 @@ from ontime import schema as S
 from ontime.functions import composite_key, rank_key
 from ontime.operators.labels import canonical_names
 from ontime.operators.ranking import leaderboard_rank
-from ontime.sinks import keyed_replace, keyed_upsert
+from ontime.sinks import keyed_replace, keyed_upsert, write_keyed_connector
 from ontime.sources import scan_csv_report
 
 Sink = Callable[[DataFrame, str], object]
@@ -26,13 +26,18 @@ def q1_records(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def q2_records(spark: SparkSession, path: str, k: int = 10) -> DataFrame:
-    """Carrier report as records with the leaderboard position as key."""
+def q2_records(spark: SparkSession, path: str) -> DataFrame:
+    """Carrier report as records with the leaderboard position as key.
+
+    Every row of the report is ranked: a row per carrier at most.
+    """
     schema = S.labelled(S.Q2_SCHEMA, S.Q2_LABELS)
+    report = scan_csv_report(spark, path, schema)
     return (
-        scan_csv_report(spark, path, schema)
-        .transform(canonical_names, S.Q2_RECORD_FIELDS)
-        .transform(leaderboard_rank, "ritardo_medio_arr", k, "compagnia", "posizione")
+        report.transform(canonical_names, S.Q2_RECORD_FIELDS)
+        .transform(
+            leaderboard_rank, "ritardo_medio_arr", report.count(), "compagnia", "posizione"
+        )
         .withColumn("key", rank_key("posizione"))
     )
 
@@ -65,12 +70,20 @@ def parquet_sinks(root: str) -> tuple[Sink, Sink]:
     )
 
 
+def connector_sinks(fmt: str, options: Mapping[str, str] | None = None) -> tuple[Sink, Sink]:
+    """(upsert, replace) through a key-value connector on the classpath."""
+    return (
+        lambda records, table: write_keyed_connector(records, table, fmt, "append", "key", options),
+        lambda records, table: write_keyed_connector(records, table, fmt, "overwrite", "key", options),
+    )
+
+
 def export_q1(spark: SparkSession, path: str, upsert: Sink) -> None:
     upsert(q1_records(spark, path), "q1")
 
 
-def export_q2(spark: SparkSession, path: str, replace: Sink, k: int = 10) -> None:
-    replace(q2_records(spark, path, k), "q2")
+def export_q2(spark: SparkSession, path: str, replace: Sink) -> None:
+    replace(q2_records(spark, path), "q2")
 
 
 def export_q3_p(spark: SparkSession, path: str, upsert: Sink) -> None:

@@ -25,6 +25,7 @@ CAUSES = (
     "LATE_AIRCRAFT_DELAY",
 )
 
+# The fields without which a record is dropped.
 REQUIRED_FIELDS = (CARRIER, MONTH, SCHEDULED_DEPARTURE, CANCELLED, DIVERTED)
 
 FLIGHT_SCHEMA = T.StructType(
@@ -83,6 +84,33 @@ Q3_MIN_MAX_SCHEMA = T.StructType(
     ]
 )
 
+# Stored states: what the first two questions need of a month and carrier, and
+# the flown flights per month, carrier, hour and delay.
+MONTHLY_STATE_SCHEMA = T.StructType(
+    [
+        T.StructField(CARRIER, T.StringType()),
+        T.StructField("flights", T.LongType()),
+        T.StructField("cancelled", T.LongType()),
+        T.StructField("delay_count", T.LongType()),
+        T.StructField("delay_sum", T.DoubleType()),
+        T.StructField("delay_min", T.DoubleType()),
+        T.StructField("delay_max", T.DoubleType()),
+        T.StructField("records", T.LongType()),
+        *[T.StructField(f"{c.lower()}_count", T.LongType()) for c in (ARR_DELAY, *CAUSES)],
+        *[T.StructField(f"{c.lower()}_sum", T.DoubleType()) for c in (ARR_DELAY, *CAUSES)],
+        T.StructField(MONTH, T.IntegerType()),
+    ]
+)
+MONTHLY_DELAYS_SCHEMA = T.StructType(
+    [
+        T.StructField(CARRIER, T.StringType()),
+        T.StructField("hour_bucket", T.IntegerType()),
+        T.StructField(DEP_DELAY, T.DoubleType()),
+        T.StructField("n", T.LongType()),
+        T.StructField(MONTH, T.IntegerType()),
+    ]
+)
+
 # The report headings, exactly as the report files spell them.
 Q1_LABELS = {
     "month": "Mese",

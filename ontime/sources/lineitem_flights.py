@@ -1,7 +1,7 @@
 """Flight-shaped records derived row by row from the `lineitem` table.
 
-The expressions are plain SQL that other engines read the same way: integer
-arithmetic and whole-number doubles only. They inject every case the cleaning
+The expressions are plain SQL with integer arithmetic and whole-number doubles
+only, so that another engine can compute the same. They inject every case the cleaning
 rules handle: missing required fields, explained and unexplained missing
 delays, causes on short delays, causes left on cancelled flights.
 """
@@ -27,8 +27,17 @@ CARRIER_SHARES = {
 }
 OTHER_CARRIER = "NK"
 
+# The carrier of each remainder below the last bound: one literal, where a chain
+# of comparisons would make the generated methods too long to be compiled.
+CARRIER_BY_SHARE = "array({})".format(
+    ", ".join(
+        "'" + next(code for bound, code in CARRIER_SHARES.items() if share < bound) + "'"
+        for share in range(max(CARRIER_SHARES))
+    )
+)
+
 BASE_COLUMNS = {
-    "s": "l_partkey % 100",
+    "s": "CAST(l_partkey % 100 AS INT)",
     "canc": "(l_orderkey + l_linenumber) % 53 = 0",
     "divt": "(l_orderkey + l_partkey) % 71 = 0",
     "dd": "CAST((l_partkey*31 + l_orderkey*17 + l_linenumber*13) % 211 - 40 AS DOUBLE)",
@@ -36,10 +45,9 @@ BASE_COLUMNS = {
 
 FLIGHT_COLUMNS = {
     "MONTH": "CAST(month(l_shipdate) AS INT)",
-    "OP_UNIQUE_CARRIER": "CASE WHEN l_orderkey % 97 <> 0 THEN CASE "
-    + " ".join(f"WHEN s<{bound} THEN '{code}'" for bound, code in CARRIER_SHARES.items())
-    + f" ELSE '{OTHER_CARRIER}' END END",
-    "CRS_DEP_TIME": "CASE WHEN l_orderkey % 101 <> 0 THEN "
+    "OP_UNIQUE_CARRIER": "CASE WHEN l_orderkey % 97 = 0 THEN NULL "
+    f"ELSE coalesce(get({CARRIER_BY_SHARE}, CASE WHEN s < 0 THEN 0 ELSE s END), '{OTHER_CARRIER}') END",
+    "CRS_DEP_TIME": "CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE "
     "CAST(((l_partkey*7 + l_linenumber*5) % 24)*100 + l_orderkey % 60 AS INT) END",
     "CANCELLED": "CAST(CASE WHEN canc THEN 1 ELSE 0 END AS DOUBLE)",
     "DIVERTED": "CAST(CASE WHEN divt AND NOT canc THEN 1 ELSE 0 END AS DOUBLE)",
@@ -57,12 +65,6 @@ FLIGHT_COLUMNS = {
 
 ARRIVAL = "dd + (l_suppkey % 21) - 10"
 
-# A line item always has these; saying so spares a null check per use.
-PRESENT = " AND ".join(
-    f"{column} IS NOT NULL"
-    for column in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-)
-
 
 def flights_sql(table: str = "lineitem", keep: tuple[str, ...] = ()) -> str:
     """The derivation as one SELECT; `keep` adds source columns to the result."""
@@ -72,11 +74,11 @@ def flights_sql(table: str = "lineitem", keep: tuple[str, ...] = ()) -> str:
     )
     return (
         f"SELECT {columns} FROM (SELECT b.*, {ARRIVAL} AS ad FROM "
-        f"(SELECT *, {base} FROM {table} WHERE {PRESENT}) b) c"
+        f"(SELECT *, {base} FROM {table}) b) c"
     )
 
 
 def flights(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Raw flight records, one per line item."""
+    """Raw flight records, one per line item, whatever is null in it."""
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     return spark.sql(flights_sql("{lineitem}", keep), lineitem=lineitem)

@@ -146,3 +146,25 @@ def test_lenient_flags(spark):
     operated = {r.i for r in filters.lenient_operated_filter(df, ["AA"]).collect()}
     assert completed == {i for i, row in enumerate(FLAG_ROWS) if row[3]}
     assert operated == {i for i, row in enumerate(FLAG_ROWS) if row[4]}
+
+
+def test_line_items_with_nulls_stay(spark, tmp_path):
+    """Only the cleaning rules drop records, not the derivation of flights."""
+    rows = [
+        (1, 1, 1, 1, "1998-03-04"),
+        (None, 1, 1, 1, "1998-03-04"),
+        (1, None, 1, 1, "1998-03-04"),
+        (1, 1, None, 1, "1998-03-04"),
+        (1, 1, 1, None, "1998-03-04"),
+        (1, 1, 1, 1, None),
+    ]
+    kinds = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, day string"
+    items = spark.createDataFrame(rows, kinds)
+    items.selectExpr("*", "CAST(day AS DATE) AS l_shipdate").write.parquet(
+        str(tmp_path / "lineitem.parquet")
+    )
+    raw = flights(spark, str(tmp_path))
+    assert raw.count() == 6
+    months = [r["MONTH"] for r in records(raw)]
+    assert sorted(m or 0 for m in months) == [0, 3, 3, 3, 3, 3]
+    assert cleaning.clean_flights(raw).count() == cleaning.clean_flights(raw).filter("MONTH IS NOT NULL").count()

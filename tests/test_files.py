@@ -120,16 +120,30 @@ def test_csv_in_another_column_order_with_extra_columns(spark, tmp_path):
     folder = tmp_path / "csv"
     folder.mkdir()
     (folder / "a.csv").write_text("\n".join(map(",".join, [header, good, bad])) + "\n")
-    rows = {r["TAIL_NUM"]: r for r in records(scan_csv(spark, str(folder)))}
+    rows = {r["TAIL_NUM"]: r for r in records(scan_csv(spark, str(folder), bad_rows="mark"))}
     assert rows["N1"][S.SCHEDULED_DEPARTURE] == 935
     assert rows["N1"]["LATE_AIRCRAFT_DELAY"] == 1.0
     assert rows["N1"][S.MONTH] == 2
-    assert rows["N2"][S.CANCELLED] is None
-    stored = scan_raw(spark, ingest_csv(spark, str(folder), str(tmp_path / "raw")), "parquet")
-    assert stored.count() == 2
+    assert rows["N1"]["_bad_record"] is None
+    assert rows["N2"]["_bad_record"] == ",".join(bad)
+    # A bad record ends the job, unless it has a place to go to.
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        ingest_csv(spark, str(folder), str(tmp_path / "failed"))
+    turned_away = str(tmp_path / "bad")
+    raw = ingest_csv(spark, str(folder), str(tmp_path / "raw"), bad_rows_to=turned_away)
+    stored = scan_raw(spark, raw, "parquet")
+    assert [r["TAIL_NUM"] for r in records(stored)] == ["N1"]
+    assert [r["_bad_record"] for r in records(spark.read.parquet(turned_away))] == [",".join(bad)]
     assert clean_flights(stored).count() == 1
 
 
+def test_csv_bad_fields_end_the_job(spark, tmp_path):
+    fields = ["1", "AA", "900", "0.0", "0.0", "1.0", "1.0", "0.0", "0.0", "0.0", "0.0", "x"]
+    (tmp_path / "a.csv").write_text(f"{','.join(S.FLIGHT_SCHEMA.names)}\n{','.join(fields)}\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        noop_run(clean_flights(scan_raw(spark, str(tmp_path), "csv")))
+
+
 def test_csv_without_a_needed_column_fails(spark, tmp_path):
     (tmp_path / "a.csv").write_text("MONTH\n1\n")
     with pytest.raises(ValueError, match="missing columns"):
