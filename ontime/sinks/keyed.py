@@ -1,15 +1,21 @@
-"""Keyed records `table:key -> fields`, as a versioned Parquet table.
+"""Keyed records `table:key -> fields`, as versioned Parquet folders.
 
-Every write makes a complete new version folder and leaves the older ones
-alone, so readers never see a half-written table and a write that dies with
-its executors can simply run again. A version counts once its success marker
-is there.
+A write adds one version folder and leaves the others alone. A replacement is
+a full version; an upsert is a delta, which holds its batch and nothing else.
+Readers take the last full version and the deltas after it, and of each key
+the record of the latest. Compaction writes what a reader sees as a full
+version, and retention removes versions that no reader of the latest needs.
+
+A version counts once its success marker is there, so a write that dies with
+its executors can simply run again. Writers claim a version number by
+creating a file that only one of them can create.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,82 +23,143 @@ from pyspark.sql import functions as F
 from ontime.functions import composite_key
 from ontime.schema import require_columns
 
-_VERSION = re.compile(r"version=(\d+)$")
+_VERSION = re.compile(r"version=(\d+)-(full|delta)$")
+_VERSION_COLUMN = "_version"
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
 
+def _versions(spark: SparkSession, folder: str) -> dict[int, str]:
+    """Complete versions and whether each is `full` or a `delta`, from a listing."""
+    marker = "/_SUCCESS"
+    pattern, system = _file_system(spark, f"{folder}/version=*{marker}")
+    names = [s.getPath().toString().removesuffix(marker) for s in system.globStatus(pattern) or []]
+    found = [match for match in map(_VERSION.search, names) if match]
+    return {int(match[1]): match[2] for match in sorted(found, key=lambda m: int(m[1]))}
 
-def _versions(spark: SparkSession, folder: str, marker: str = "") -> list[int]:
-    """Version numbers below the folder, from a directory listing."""
-    jvm = spark._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{folder}/version=*{marker}")
-    system = pattern.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    found = system.globStatus(pattern) or []
-    names = [status.getPath().toString().removesuffix(marker) for status in found]
-    return sorted(int(match.group(1)) for match in map(_VERSION.search, names) if match)
+
+def _claim(spark: SparkSession, folder: str) -> int:
+    """The next version number, which no other writer has or will have."""
+    pattern, system = _file_system(spark, f"{folder}/claim-*")
+    taken = [int(s.getPath().getName()[6:]) for s in system.globStatus(pattern) or []]
+    version = max(taken, default=0) + 1
+    while not system.createNewFile(_file_system(spark, f"{folder}/claim-{version}")[0]):
+        version += 1
+    return version
 
 
 def _folder(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
+def _needed(versions: dict[int, str], version: int) -> list[int]:
+    """The last full version up to `version`, and the deltas after it."""
+    upto = [v for v in versions if v <= version]
+    full = [v for v in upto if versions[v] == "full"]
+    return [v for v in upto if v >= max(full, default=0)]
+
+
 def read_keyed(
     spark: SparkSession, root: str, table: str, version: int | None = None
 ) -> DataFrame | None:
-    """The records of the latest complete version, or None if there is none yet."""
+    """The records as of the latest complete version, or None if there is none yet."""
     folder = _folder(root, table)
-    complete = _versions(spark, folder, "/_SUCCESS")
+    versions = _versions(spark, folder)
     if version is None:
-        if not complete:
+        if not versions:
             return None
-        version = complete[-1]
-    elif version not in complete:
+        version = max(versions)
+    elif version not in versions:
         raise ValueError(f"no complete version {version} in {folder}")
-    return spark.read.parquet(f"{folder}/version={version}")
-
-
-def one_per_key(records: DataFrame, key: str = "key") -> DataFrame:
-    """One record per key; of several, the one with the largest fields.
-
-    An aggregate instead of a window: a key with very many records shrinks to
-    one row per task before the shuffle.
+    needed = _needed(versions, version)
+    parts = [
+        spark.read.parquet(f"{folder}/version={v}-{versions[v]}").withColumn(
+            _VERSION_COLUMN, F.lit(v)
+        )
+        for v in needed
+    ]
+    if len(parts) == 1:
+        return parts[0].drop(_VERSION_COLUMN)
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return one_per_key(together, "key", _VERSION_COLUMN).drop(_VERSION_COLUMN)
+
+
+def one_per_key(records: DataFrame, key: str = "key", order_by: str | None = None) -> DataFrame:
+    """One record per key: of several, the last by `order_by`.
+
+    Without an order, records of one key that differ end the job; equal ones
+    are one. An aggregate instead of a window: a key with very many records
+    shrinks to one row per task before the shuffle.
     """
     fields = [c for c in records.columns if c != key]
     if not fields:
         return records.distinct()
-    return records.groupBy(key).agg(F.max(F.struct(*fields)).alias("_fields")).select(
+    whole = F.struct(*[F.col(f"`{c}`") for c in fields])
+    if order_by is None:
+        differ = F.raise_error(F.concat(F.lit("records that differ for key "), F.col(key)))
+        chosen = F.when(F.min(whole).eqNullSafe(F.max(whole)), F.max(whole)).otherwise(
+            differ.cast(records.select(whole.alias("_")).schema["_"].dataType)
+        )
+    else:
+        chosen = F.max(F.struct(F.col(f"`{order_by}`").alias("_order"), whole.alias("_fields")))["_fields"]
+    return records.groupBy(key).agg(chosen.alias("_fields")).select(
         key, *[F.col(f"_fields.`{c}`").alias(c) for c in fields]
     )
 
 
-def _records(batch: DataFrame, table: str, key: str) -> DataFrame:
-    require_columns(batch, [key])
-    return one_per_key(batch.withColumn(key, composite_key(F.lit(table), F.col(key))), key)
+def _records(batch: DataFrame, table: str, key: str, order_by: str | None) -> DataFrame:
+    require_columns(batch, [key] if order_by is None else [key, order_by])
+    named = batch.withColumn(key, composite_key(F.lit(table), F.col(key)))
+    return one_per_key(named, key, order_by).withColumnRenamed(key, "key")
 
 
-def _write_version(records: DataFrame, folder: str) -> str:
-    spark = records.sparkSession
-    version = max(_versions(spark, folder), default=0) + 1
-    path = f"{folder}/version={version}"
+def _write_version(records: DataFrame, folder: str, kind: str) -> str:
+    version = _claim(records.sparkSession, folder)
+    path = f"{folder}/version={version}-{kind}"
     records.write.mode("errorifexists").parquet(path)
     return path
 
 
-def keyed_upsert(batch: DataFrame, root: str, table: str, key: str = "key") -> str:
+def keyed_upsert(
+    batch: DataFrame, root: str, table: str, key: str = "key", order_by: str | None = None
+) -> str:
     """Write records under their key: known keys get the new fields, others stay.
 
-    Stored records are unique per key already, so only the keys of the batch
-    move: an anti join, broadcast by Spark when the batch is small.
+    The batch is computed once and written as it is; stored records are not
+    touched. Of records of one key, `order_by` names the column by which the
+    last one counts; without it, records that differ end the job.
     """
-    new = _records(batch, table, key)
-    old = read_keyed(batch.sparkSession, root, table)
-    if old is not None:
-        kept = old.join(new.select(key), key, "left_anti")
-        new = kept.unionByName(new, allowMissingColumns=True)
-    return _write_version(new, _folder(root, table))
+    return _write_version(_records(batch, table, key, order_by), _folder(root, table), "delta")
 
 
-def keyed_replace(batch: DataFrame, root: str, table: str, key: str = "key") -> str:
+def keyed_replace(
+    batch: DataFrame, root: str, table: str, key: str = "key", order_by: str | None = None
+) -> str:
     """Write records under their key; keys of earlier writes are gone."""
-    return _write_version(_records(batch, table, key), _folder(root, table))
+    return _write_version(_records(batch, table, key, order_by), _folder(root, table), "full")
+
+
+def compact_keyed(spark: SparkSession, root: str, table: str) -> str | None:
+    """Write what a reader sees as a full version, which later reads start from."""
+    records = read_keyed(spark, root, table)
+    return None if records is None else _write_version(records, _folder(root, table), "full")
+
+
+def expire_keyed(spark: SparkSession, root: str, table: str, keep: int = 1) -> list[int]:
+    """Remove versions that none of the `keep` latest ones needs; returns their numbers."""
+    folder = _folder(root, table)
+    versions = _versions(spark, folder)
+    if keep < 1:
+        raise ValueError("keep at least the latest version")
+    needed = {n for v in list(versions)[-keep:] for n in _needed(versions, v)}
+    gone = [v for v in versions if v not in needed]
+    for v in gone:
+        target, system = _file_system(spark, f"{folder}/version={v}-{versions[v]}")
+        system.delete(target, True)
+    return gone
 
 
 def write_keyed_connector(

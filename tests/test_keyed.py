@@ -3,8 +3,15 @@ from __future__ import annotations
 import pytest
 from conftest import records
 
-from ontime.sinks import keyed_replace, keyed_upsert, read_keyed, write_keyed_connector
-from ontime.sinks.keyed import one_per_key
+from ontime.sinks import (
+    compact_keyed,
+    expire_keyed,
+    keyed_replace,
+    keyed_upsert,
+    read_keyed,
+    write_keyed_connector,
+)
+from ontime.sinks.keyed import _claim, one_per_key
 
 
 def batch(spark, *rows):
@@ -34,9 +41,46 @@ def test_replace_drops_old_keys_of_its_table_only(spark, tmp_path):
 
 
 def test_duplicate_keys_in_a_batch(spark, tmp_path):
-    rows = [("x", 1, "a"), ("x", 2, "a"), ("x", 2, "b"), ("y", None, "c")]
-    keyed_upsert(batch(spark, *rows), str(tmp_path), "t")
-    assert contents(spark, str(tmp_path)) == {"t:x": (2, "b"), "t:y": (None, "c")}
+    rows = [("x", 3, "a"), ("x", 2, "c"), ("x", 1, "b"), ("y", None, "c")]
+    root = str(tmp_path)
+    with pytest.raises(Exception, match="records that differ for key"):
+        keyed_upsert(batch(spark, *rows), root, "t")
+    assert read_keyed(spark, root, "t") is None
+    keyed_upsert(batch(spark, *rows), root, "t", order_by="b")
+    assert contents(spark, root) == {"t:x": (2, "c"), "t:y": (None, "c")}
+    keyed_upsert(batch(spark, ("x", 7, "d"), ("x", 7, "d")), root, "t")
+    assert contents(spark, root)["t:x"] == (7, "d")
+
+
+def test_an_upsert_computes_and_writes_its_batch_alone(spark, tmp_path):
+    root = str(tmp_path)
+    keyed_upsert(batch(spark, ("x", 1, "a"), ("y", 2, "b")), root, "t")
+    made = spark.range(1).selectExpr("'x' AS key", "cast(rand() * 1e9 AS int) AS a", "'new' AS b")
+    path = keyed_upsert(made, root, "t")
+    assert path.endswith("-delta")
+    (written,) = records(spark.read.parquet(path))
+    assert contents(spark, root) == {"t:x": (written["a"], "new"), "t:y": (2, "b")}
+
+
+def test_compaction_and_retention(spark, tmp_path):
+    root = str(tmp_path)
+    assert compact_keyed(spark, root, "t") is None
+    for number in range(3):
+        keyed_upsert(batch(spark, ("x", number, ""), (str(number), number, "")), root, "t")
+    before = contents(spark, root)
+    assert expire_keyed(spark, root, "t") == []
+    compact_keyed(spark, root, "t")
+    keyed_upsert(batch(spark, ("z", 9, "")), root, "t")
+    assert contents(spark, root, version=4) == before
+    assert expire_keyed(spark, root, "t", keep=2) == [1, 2, 3]
+    assert contents(spark, root) == before | {"t:z": (9, "")}
+    with pytest.raises(ValueError, match="no complete version 1"):
+        read_keyed(spark, root, "t", version=1)
+
+
+def test_two_writers_never_share_a_version(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    assert [_claim(spark, folder) for _ in range(3)] == [1, 2, 3]
 
 
 def test_records_without_fields(spark):
@@ -54,10 +98,11 @@ def test_new_fields_of_a_later_batch(spark, tmp_path):
 def test_version_without_success_marker_is_not_read(spark, tmp_path):
     root = str(tmp_path)
     keyed_upsert(batch(spark, ("x", 1, "a")), root, "t")
-    (tmp_path / "t" / "version=2").mkdir()
+    (tmp_path / "t" / "version=2-full").mkdir()
+    (tmp_path / "t" / "claim-2").touch()
     assert contents(spark, root) == {"t:x": (1, "a")}
     path = keyed_upsert(batch(spark, ("y", 2, "b")), root, "t")
-    assert path.endswith("version=3")
+    assert path.endswith("version=3-delta")
     assert set(contents(spark, root)) == {"t:x", "t:y"}
     with pytest.raises(ValueError, match="no complete version 2"):
         read_keyed(spark, root, "t", version=2)
