@@ -30,6 +30,7 @@ from ontime.sinks import (
     write_partitioned,
     write_report_csv,
 )
+from ontime.sources.lineitem_flights import CARRIER_SHARES, OTHER_CARRIER
 from ontime.sources import (
     flights,
     ingest_csv,
@@ -88,9 +89,23 @@ def scan_partitioned_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_partitioned(spark, folder, months=(1, 4), partition_col="mese")
 
 
+# Operators whose feature is neither a month range nor a choice of carriers
+# run over all of them.
+ALL_MONTHS = (1, 12)
+ALL_CARRIERS = (*CARRIER_SHARES.values(), OTHER_CARRIER)
+
+
+def all_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.q1_monthly_delay(clean(spark, sf_dir), ALL_CARRIERS, ALL_MONTHS)
+
+
+def all_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.q2_carriers(clean(spark, sf_dir), ALL_MONTHS, threshold=FEW_RECORDS)
+
+
 @query("scan_csv_report")
 def scan_csv_report_q1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = reports.q1_monthly_delay(clean(spark, sf_dir))
+    report = all_monthly(spark, sf_dir)
     path = write_report_csv(report, work_folder(spark, "q1-csv"), single_file=False)
     return scan_csv_report(spark, path, S.Q1_SCHEMA)
 
@@ -102,6 +117,25 @@ def ingest_csv_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_raw(spark, ingest_csv(spark, folder, work_folder(spark, "raw")), "parquet")
 
 
+@query("ingest_csv_bad_rows")
+def ingest_csv_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of which every 41st order has a month that is no number, and their parsed fields."""
+    folder, bad = work_folder(spark, "csv"), work_folder(spark, "bad")
+    lines = flights(spark, sf_dir, keep=("l_orderkey",)).withColumn(
+        S.MONTH,
+        F.when(F.col("l_orderkey") % 41 == 0, F.concat(F.col(S.MONTH), F.lit(".5"))).otherwise(
+            F.col(S.MONTH).cast("string")
+        ),
+    )
+    lines.drop("l_orderkey").write.csv(folder, header=True)
+    good = scan_raw(
+        spark, ingest_csv(spark, folder, work_folder(spark, "raw"), bad_rows_to=bad), "parquet"
+    )
+    kept = good.withColumn("line", F.lit(None).cast("string"))
+    turned_away = spark.read.parquet(bad).withColumnRenamed("_bad_record", "line")
+    return kept.unionByName(turned_away).select("line", S.CARRIER, S.SCHEDULED_DEPARTURE)
+
+
 @query("write_partitioned")
 def write_partitioned_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = write_partitioned(clean(spark, sf_dir), work_folder(spark, "clean"))
@@ -110,7 +144,7 @@ def write_partitioned_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("write_report_csv")
 def write_report_csv_q2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = labels.report_labels(reports.q2_top_carriers(clean(spark, sf_dir)), S.Q2_LABELS)
+    report = labels.report_labels(all_carriers(spark, sf_dir), S.Q2_LABELS)
     path = write_report_csv(report, work_folder(spark, "q2-csv"))
     return scan_csv_report(spark, path, S.labelled(S.Q2_SCHEMA, S.Q2_LABELS))
 
@@ -122,7 +156,7 @@ def noop_run_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def month_records(df: DataFrame, first: int, last: int) -> DataFrame:
-    return reports.q1_monthly_delay(df, reports.Q3_CARRIERS, (first, last)).withColumn(
+    return reports.q1_monthly_delay(df, ALL_CARRIERS, (first, last)).withColumn(
         "key", composite_key("carrier", "month")
     )
 
@@ -142,7 +176,7 @@ def keyed_replace_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_folder(spark, "records")
     for threshold in (FEW_RECORDS, 500):
         ranked = ranking.leaderboard_rank(
-            reports.q2_carriers(clean(spark, sf_dir), threshold=threshold),
+            reports.q2_carriers(clean(spark, sf_dir), ALL_MONTHS, threshold),
             "arr_delay_mean",
             10,
             "carrier",
@@ -297,7 +331,7 @@ def positional_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("report_labels")
 def report_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labels.report_labels(reports.q1_monthly_delay(clean(spark, sf_dir)), S.Q1_LABELS)
+    return labels.report_labels(all_monthly(spark, sf_dir), S.Q1_LABELS)
 
 
 @query("canonical_names")
@@ -321,7 +355,7 @@ def rank_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("single_key")
 def single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    limits = reports.q3_min_max(clean(spark, sf_dir))
+    limits = reports.q3_min_max(clean(spark, sf_dir), ALL_CARRIERS, ALL_MONTHS)
     return limits.withColumn("key", composite_key("carrier"))
 
 
@@ -405,6 +439,42 @@ def quantile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return error.select(*keys, "n", bound.alias("within_bound"))
 
 
+def small_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values far below 0.01, in which a rounded percentile would be lost."""
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_returnflag", (F.col("l_discount").cast("double") / 1000).alias("small")
+    )
+
+
+@query("percentiles_approx_small")
+def percentiles_approx_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df, keys = small_values(spark, sf_dir), ["l_returnflag"]
+    error = quantiles.rank_error(
+        quantiles.value_histogram(df, keys, "small"),
+        quantiles.percentiles_approx(df, keys, "small", accuracy=APPROX_ACCURACY),
+        keys,
+        "small",
+    )
+    bound = 1 / APPROX_ACCURACY + 1 / F.col("present")
+    return error.select(*keys, "present", (F.col("rank_error") <= bound).alias("within_bound"))
+
+
+@query("quantile_sketch_small")
+def quantile_sketch_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df, keys = small_values(spark, sf_dir), ["l_returnflag"]
+    sketches = quantiles.quantile_sketch(df, keys, "small", k=SKETCH_SIZE)
+    error = quantiles.rank_error(
+        quantiles.value_histogram(df, keys, "small"),
+        quantiles.read_sketch(sketches, keys),
+        keys,
+        "small",
+        carry=["n"],
+    )
+    return error.select(
+        *keys, "n", (F.col("rank_error") <= SKETCH_RANK_ERROR).alias("within_bound")
+    )
+
+
 @query("merge_state_q1")
 def carrier_delay_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     monthly = states.delay_state(clean(spark, sf_dir), MONTH_CARRIER)
@@ -435,8 +505,7 @@ def finalize_state_q2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("leaderboard_rank")
 def leaderboard_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    carriers = reports.q2_carriers(clean(spark, sf_dir), threshold=FEW_RECORDS)
-    return ranking.leaderboard_rank(carriers, "arr_delay_mean", 10, "carrier").select(
+    return ranking.leaderboard_rank(all_carriers(spark, sf_dir), "arr_delay_mean", 10, "carrier").select(
         "position", "carrier", "arr_delay_mean"
     )
 
@@ -449,15 +518,15 @@ def sorted_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("top_k")
 def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    carriers = reports.q2_carriers(clean(spark, sf_dir), threshold=FEW_RECORDS)
-    return ranking.top_k(carriers, "arr_delay_mean", 10, "carrier")
+    return ranking.top_k(all_carriers(spark, sf_dir), "arr_delay_mean", 10, "carrier")
 
 
 @query("shared_subplan")
 def shared_subplan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both q3 report files from one cached input, read back side by side."""
     percentiles, limits = work_folder(spark, "q3-p"), work_folder(spark, "q3-mm")
-    job.write_q3_reports(reports.q3_histogram(clean(spark, sf_dir)), percentiles, limits)
+    histogram = reports.q3_histogram(clean(spark, sf_dir), ALL_CARRIERS, ALL_MONTHS)
+    job.write_q3_reports(histogram, percentiles, limits)
     back = [
         labels.canonical_names(
             scan_csv_report(spark, path, S.labelled(schema, headings)),
@@ -496,36 +565,65 @@ def q3_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.q3_min_max(clean(spark, sf_dir))
 
 
-def stored(spark: SparkSession, sf_dir: str, refresh: Callable) -> DataFrame:
+def stored(df: DataFrame, refresh: Callable, read: Callable) -> DataFrame:
     """A state table, written and read back."""
-    return spark.read.parquet(
-        refresh(clean(spark, sf_dir), job.Layout(work_folder(spark, "states")))
-    )
+    spark = df.sparkSession
+    return read(spark, refresh(df, job.Layout(work_folder(spark, "states"))))
+
+
+def stored_monthly(df: DataFrame) -> DataFrame:
+    return stored(df, job.refresh_monthly, job.read_monthly)
 
 
 @query("q1_from_states")
 def q1_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The monthly report from a stored state table."""
-    return reports.q1_from_states(stored(spark, sf_dir, job.refresh_monthly))
+    return reports.q1_from_states(stored_monthly(clean(spark, sf_dir)))
 
 
 @query("q2_from_states")
 def q2_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The carrier report from a stored state table."""
-    return reports.q2_from_states(stored(spark, sf_dir, job.refresh_monthly))
+    return reports.q2_from_states(stored_monthly(clean(spark, sf_dir)))
+
+
+@query("q1_from_states_raw")
+def q1_from_states_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from raw records, of which flown ones may lack a delay."""
+    return reports.q1_from_states(stored_monthly(flights(spark, sf_dir)), ALL_CARRIERS, ALL_MONTHS)
+
+
+@query("q2_from_states_raw")
+def q2_from_states_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    monthly = stored_monthly(flights(spark, sf_dir).where(F.col(S.CARRIER).isNotNull()))
+    return reports.q2_from_states(monthly, ALL_MONTHS, threshold=1, k=len(ALL_CARRIERS))
+
+
+@query("job_rerun")
+def job_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over all months, then one over January and February in the same place."""
+    raw, part = work_folder(spark, "raw"), work_folder(spark, "raw")
+    root = work_folder(spark, "job")
+    flights(spark, sf_dir).write.parquet(raw)
+    flights(spark, sf_dir).where(F.col(S.MONTH) <= 2).write.parquet(part)
+    for path in (raw, part):
+        layout = job.run(spark, path, root, "parquet", ALL_MONTHS, FEW_RECORDS)
+    schema = S.labelled(S.Q2_SCHEMA, S.Q2_LABELS)
+    report = scan_csv_report(spark, layout.report("q2"), schema)
+    return labels.canonical_names(report, {heading: name for name, heading in S.Q2_LABELS.items()})
 
 
 @query("q3_percentiles_from_states")
 def q3_percentiles_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The percentile report from stored monthly histograms."""
-    delays = stored(spark, sf_dir, job.refresh_delays)
+    delays = stored(clean(spark, sf_dir), job.refresh_delays, job.read_delays)
     return reports.q3_percentiles_of(reports.q3_histogram_from_states(delays))
 
 
 @query("q3_min_max_from_states")
 def q3_min_max_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The min/max report from stored monthly histograms."""
-    delays = stored(spark, sf_dir, job.refresh_delays)
+    delays = stored(clean(spark, sf_dir), job.refresh_delays, job.read_delays)
     return reports.q3_min_max_of(reports.q3_histogram_from_states(delays))
 
 
@@ -550,6 +648,13 @@ def export_q2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exported(spark, report, S.Q2_LABELS, exports.export_q2, "q2")
 
 
+@query("export_q2_all")
+def export_q2_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report with every carrier, exported whole."""
+    report = reports.q2_carriers(clean(spark, sf_dir), threshold=1)
+    return exported(spark, report, S.Q2_LABELS, exports.export_q2, "q2")
+
+
 @query("export_q3_p")
 def export_q3_p(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = reports.q3_percentiles(clean(spark, sf_dir))

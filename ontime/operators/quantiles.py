@@ -4,9 +4,11 @@ The exact routes start from a histogram, one row per (group, value) with a
 count. Building it combines on the map side and shuffles by group *and*
 value, so a group that holds a third of all rows is spread like any other.
 Ranks are then located in two steps: first among value cells, then inside
-the few cells that hold a wanted rank. No task ever sees all values of a
-group. Cells have a fixed relative width, so a group has a bounded number of
-them whatever its values are, and small whole numbers have one each.
+the few cells that hold a wanted rank. Cells have a fixed relative width, so a
+group has a bounded number of them whatever its values are, and small whole
+numbers have one each. A task orders the distinct values of one cell: where
+very many distinct values lie close together far from zero, such as points in
+time of one day, they share a cell; more `cells_per_octave` split it.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from ontime import schema as S
 from ontime.functions import percentile_fields
 
+# The reported percentiles.
 QUARTILES_AND_P90 = (0.25, 0.5, 0.75, 0.9)
 QUARTILES_AND_P90_NAMES = ("p25", "p50", "p75", "p90")
 

@@ -18,6 +18,7 @@ from ontime.functions import max_where, min_where, rate_pct, round2
 DELAY_STATE = {
     "flights": F.sum,
     "cancelled": F.sum,
+    "delay_count": F.sum,
     "delay_sum": F.sum,
     "delay_min": F.min,
     "delay_max": F.max,
@@ -29,6 +30,7 @@ def delay_state_columns(value: str = S.DEP_DELAY, cancelled: str = S.CANCELLED)
     return [
         F.count(F.lit(1)).alias("flights"),
         F.count(F.when(F.col(cancelled) == 1, F.lit(1))).alias("cancelled"),
+        F.count(F.when(flown, F.col(value))).alias("delay_count"),
         F.sum(F.when(flown, F.col(value))).alias("delay_sum"),
         min_where(flown, value).alias("delay_min"),
         max_where(flown, value).alias("delay_max"),
@@ -36,13 +38,15 @@ def delay_state_columns(value: str = S.DEP_DELAY, cancelled: str = S.CANCELLED)
 
 
 def sum_state_columns(columns: Sequence[str], condition: Column | None = None) -> list[Column]:
-    """Records and sums, over the rows that satisfy the condition if there is one."""
+    """Records, and per column its values and their sum, over the rows that
+    satisfy the condition if there is one."""
 
     def chosen(c: Column) -> Column:
         return c if condition is None else F.when(condition, c)
 
     return [
         F.count(chosen(F.lit(1))).alias("records"),
+        *[F.count(chosen(F.col(c))).alias(f"{c.lower()}_count") for c in columns],
         *[F.sum(chosen(F.col(c))).alias(f"{c.lower()}_sum") for c in columns],
     ]
 
@@ -53,7 +57,7 @@ def delay_state(
     value: str = S.DEP_DELAY,
     cancelled: str = S.CANCELLED,
 ) -> DataFrame:
-    """Flights, cancelled flights, and sum, min and max of the delay of flown ones."""
+    """Flights, cancelled flights, and count, sum, min and max of the delays of flown ones."""
     return df.groupBy(*keys).agg(*delay_state_columns(value, cancelled))
 
 
@@ -66,11 +70,11 @@ def merge_delay_state(states: DataFrame, keys: Sequence[str]) -> DataFrame:
 def finalize_delay_state(
     states: DataFrame, keys: Sequence[str], prefix: str = "dep_delay"
 ) -> DataFrame:
-    """Means and rate out of states; NULL, not an error, if no flight was flown."""
-    flown = F.nullif(F.col("flights") - F.col("cancelled"), F.lit(0))
+    """Means and rate out of states; NULL, not an error, if there is no delay."""
+    present = F.nullif(F.col("delay_count"), F.lit(0))
     return states.select(
         *keys,
-        round2(F.col("delay_sum") / flown).alias(f"{prefix}_mean"),
+        round2(F.col("delay_sum") / present).alias(f"{prefix}_mean"),
         round2("delay_min").alias(f"{prefix}_min"),
         round2("delay_max").alias(f"{prefix}_max"),
         round2(rate_pct("cancelled", "flights")).alias("cancellation_rate"),
@@ -78,24 +82,28 @@ def finalize_delay_state(
 
 
 def sum_state(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Number of records and the sum of each column."""
+    """Number of records, and of each column the number of its values and their sum."""
     return df.groupBy(*keys).agg(*sum_state_columns(columns))
 
 
 def merge_sum_state(
     states: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
-    names = ["records", *[f"{c.lower()}_sum" for c in columns]]
+    parts = [f"{c.lower()}_{part}" for part in ("count", "sum") for c in columns]
+    names = ["records", *parts]
     return states.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in names])
 
 
 def finalize_sum_state(
     states: DataFrame, keys: Sequence[str], means: Mapping[str, str]
 ) -> DataFrame:
-    """`means` maps summed column to output name."""
-    records = F.nullif(F.col("records"), F.lit(0))
+    """`means` maps summed column to output name. Nulls do not count in a mean."""
+
+    def mean(c: str) -> Column:
+        return F.col(f"{c.lower()}_sum") / F.nullif(F.col(f"{c.lower()}_count"), F.lit(0))
+
     return states.select(
         *keys,
         "records",
-        *[round2(F.col(f"{c.lower()}_sum") / records).alias(name) for c, name in means.items()],
+        *[round2(mean(c)).alias(name) for c, name in means.items()],
     )

@@ -1,11 +1,14 @@
-"""Raw records to clean table, reports and keyed records, in one job."""
+"""Raw records to clean table, reports and keyed records, in one job or stage by stage."""
 
 from __future__ import annotations
 
 import argparse
+from collections.abc import Mapping
 from dataclasses import dataclass
+from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ontime import schema as S
 from ontime.operators.cleaning import clean_flights
@@ -16,6 +19,11 @@ from ontime.session import session
 from ontime.sinks import write_partitioned, write_report_csv
 from ontime.sources import scan_partitioned, scan_raw
 
+# A full run replaces the tables; an incremental one the months that it brings.
+Replace = Literal["table", "touched"]
+Method = Literal["discrete", "interpolated"]
+STAGES = ("clean", "refresh", "report", "export")
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -44,7 +52,7 @@ class Layout:
 
 
 def write_q3_reports(
-    histogram: DataFrame, percentiles_path: str, min_max_path: str
+    histogram: DataFrame, percentiles_path: str, min_max_path: str, method: Method = "discrete"
 ) -> None:
     """Both q3 report files from one computation of their histogram.
 
@@ -52,30 +60,45 @@ def write_q3_reports(
     of delay; the flights themselves are never cached.
     """
     with cached(histogram) as kept:
-        write_report_csv(
-            report_labels(reports.q3_percentiles_of(kept), S.Q3_PERCENTILES_LABELS),
-            percentiles_path,
-        )
+        percentiles = reports.q3_percentiles_of(kept, interpolate=method == "interpolated")
+        write_report_csv(report_labels(percentiles, S.Q3_PERCENTILES_LABELS), percentiles_path)
         write_report_csv(
             report_labels(reports.q3_min_max_of(kept), S.Q3_MIN_MAX_LABELS), min_max_path
         )
 
 
-def refresh_monthly(flights: DataFrame, layout: Layout) -> str:
-    """Store the monthly states of the months that occur in `flights`; others stay."""
+def clean_table(
+    raw: DataFrame, layout: Layout, replace: Replace = "table", rebalance: bool = True
+) -> str:
+    """Store the clean records; `rebalance=False` for input that comes month by month."""
     return write_partitioned(
-        reports.monthly_state(flights), layout.monthly, cluster_by=(), replace="touched"
+        clean_flights(raw), layout.clean, rebalance=rebalance, replace=replace
     )
 
 
-def refresh_delays(flights: DataFrame, layout: Layout) -> str:
-    """Store the delay histograms of the months that occur in `flights`; others stay."""
-    return write_partitioned(reports.monthly_delays(flights), layout.delays, replace="touched")
+def refresh_monthly(flights: DataFrame, layout: Layout, replace: Replace = "table") -> str:
+    """Store the monthly states of `flights`; `touched` keeps those of other months."""
+    return write_partitioned(
+        reports.monthly_state(flights), layout.monthly, cluster_by=(), replace=replace
+    )
+
+
+def refresh_delays(flights: DataFrame, layout: Layout, replace: Replace = "table") -> str:
+    """Store the delay histograms of `flights`; `touched` keeps those of other months."""
+    return write_partitioned(reports.monthly_delays(flights), layout.delays, replace=replace)
+
+
+def refresh_states(flights: DataFrame, layout: Layout, replace: Replace = "table") -> None:
+    refresh_monthly(flights, layout, replace)
+    refresh_delays(flights, layout, replace)
 
 
-def refresh_states(flights: DataFrame, layout: Layout) -> None:
-    refresh_monthly(flights, layout)
-    refresh_delays(flights, layout)
+def read_monthly(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(S.MONTHLY_STATE_SCHEMA).parquet(path)
+
+
+def read_delays(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(S.MONTHLY_DELAYS_SCHEMA).parquet(path)
 
 
 def write_reports(
@@ -84,9 +107,10 @@ def write_reports(
     months: tuple[int, int] = reports.FIRST_MONTHS,
     threshold: int = 500,
     k: int = 10,
+    method: Method = "discrete",
 ) -> None:
     """All four report files from the stored states."""
-    monthly, delays = spark.read.parquet(layout.monthly), spark.read.parquet(layout.delays)
+    monthly, delays = read_monthly(spark, layout.monthly), read_delays(spark, layout.delays)
     q1 = reports.q1_from_states(monthly, months=months)
     write_report_csv(report_labels(q1, S.Q1_LABELS), layout.report("q1"))
     q2 = reports.q2_from_states(monthly, months, threshold, k)
@@ -95,18 +119,38 @@ def write_reports(
         reports.q3_histogram_from_states(delays, months=months),
         layout.report("q3_percentiles"),
         layout.report("q3_min_max"),
+        method,
     )
 
 
-def export_reports(spark: SparkSession, layout: Layout, k: int = 10) -> None:
-    """All four reports to keyed records. The first failure ends the job."""
-    upsert, replace = exports.parquet_sinks(layout.records)
+def export_reports(
+    spark: SparkSession,
+    layout: Layout,
+    sink: str = "parquet",
+    options: Mapping[str, str] | None = None,
+) -> None:
+    """All four reports to keyed records, whole. The first failure ends the job.
+
+    `sink` is `parquet` for keyed tables below the root, else the format name
+    of a key-value connector on the classpath, with its options.
+    """
+    if sink == "parquet":
+        upsert, replace = exports.parquet_sinks(layout.records)
+    else:
+        upsert, replace = exports.connector_sinks(sink, options)
     exports.export_q1(spark, layout.report("q1"), upsert)
-    exports.export_q2(spark, layout.report("q2"), replace, k)
+    exports.export_q2(spark, layout.report("q2"), replace)
     exports.export_q3_p(spark, layout.report("q3_percentiles"), upsert)
     exports.export_q3_mm(spark, layout.report("q3_min_max"), upsert)
 
 
+def touched_months(spark: SparkSession, raw_path: str, fmt: str, layout: Layout) -> DataFrame:
+    """The clean records of the months that occur in the raw input: twelve at most."""
+    raw = clean_flights(scan_raw(spark, raw_path, fmt))
+    months = [row[0] for row in raw.select(S.MONTH).distinct().collect()]
+    return scan_partitioned(spark, layout.clean).filter(F.col(S.MONTH).isin(months))
+
+
 def run(
     spark: SparkSession,
     raw_path: str,
@@ -115,17 +159,33 @@ def run(
     months: tuple[int, int] = reports.FIRST_MONTHS,
     threshold: int = 500,
     k: int = 10,
+    replace: Replace = "table",
+    method: Method = "discrete",
+    sink: str = "parquet",
+    options: Mapping[str, str] | None = None,
+    rebalance: bool = True,
+    stages: tuple[str, ...] = STAGES,
 ) -> Layout:
-    """Clean, summarise by month, report and export.
+    """Clean, summarise by month, report and export, or only some of it.
 
     Each stage reads what the one before has written. The clean table is
-    scanned once per kind of state; reports never scan it.
+    scanned once per kind of state; reports never scan it. By default tables
+    are replaced, so a run gives what its input holds and no more;
+    `replace="touched"` replaces the months of the input, in the clean table
+    and the states alike, and reads only those.
     """
     layout = Layout(root.rstrip("/"))
-    write_partitioned(clean_flights(scan_raw(spark, raw_path, fmt)), layout.clean)
-    refresh_states(scan_partitioned(spark, layout.clean), layout)
-    write_reports(spark, layout, months, threshold, k)
-    export_reports(spark, layout, k)
+    if "clean" in stages:
+        clean_table(scan_raw(spark, raw_path, fmt), layout, replace, rebalance)
+    if "refresh" in stages:
+        clean = scan_partitioned(spark, layout.clean)
+        if replace == "touched":
+            clean = touched_months(spark, raw_path, fmt, layout)
+        refresh_states(clean, layout, replace)
+    if "report" in stages:
+        write_reports(spark, layout, months, threshold, k, method)
+    if "export" in stages:
+        export_reports(spark, layout, sink, options)
     return layout
 
 
@@ -133,10 +193,16 @@ def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("raw_path")
     parser.add_argument("root")
+    parser.add_argument("--stages", nargs="+", choices=STAGES, default=STAGES)
     parser.add_argument("--format", default="avro")
+    parser.add_argument("--incremental", action="store_true", help="replace only the input's months")
+    parser.add_argument("--no-rebalance", action="store_true", help="input comes month by month")
     parser.add_argument("--months", type=int, nargs=2, default=reports.FIRST_MONTHS)
     parser.add_argument("--min-records", type=int, default=500)
     parser.add_argument("--top", type=int, default=10)
+    parser.add_argument("--percentiles", choices=("discrete", "interpolated"), default="discrete")
+    parser.add_argument("--sink", default="parquet", help="parquet, or a connector's format name")
+    parser.add_argument("--sink-option", action="append", default=[], metavar="NAME=VALUE")
     args = parser.parse_args()
     run(
         session(),
@@ -146,6 +212,12 @@ def main() -> None:
         tuple(args.months),
         args.min_records,
         args.top,
+        "touched" if args.incremental else "table",
+        args.percentiles,
+        args.sink,
+        dict(option.split("=", 1) for option in args.sink_option),
+        not args.no_rebalance,
+        tuple(args.stages),
     )
 
 

@@ -22,6 +22,7 @@ from ontime.operators.filters import (
 )
 from ontime.operators.ranking import sorted_report, top_k
 
+# What the studied reports ask for.
 FIRST_MONTHS = (1, 4)
 Q1_CARRIERS = ("AA", "DL")
 Q3_CARRIERS = ("AA", "DL", "UA", "WN")

@@ -8,9 +8,10 @@ from conftest import records
 from ontime import schema as S
 from ontime.operators.cleaning import clean_flights
 from ontime.operators.reuse import cached
-from ontime.plans import job, reports
+from ontime.operators import labels
+from ontime.plans import exports, job, reports
 from ontime.plans.bench import measure
-from ontime.sinks import read_keyed
+from ontime.sinks import read_keyed, write_report_csv
 from ontime.sources import flights, scan_csv_report, scan_partitioned
 
 
@@ -86,6 +87,96 @@ def test_command_line_with_delimited_input(spark, small_dir, clean, tmp_path, mo
     assert months == {5, 6}
 
 
+def test_a_full_run_replaces_everything(spark, small_dir, clean, tmp_path):
+    raw = flights(spark, small_dir)
+    raw.write.parquet(str(tmp_path / "all"))
+    raw.filter("MONTH <= 2").write.parquet(str(tmp_path / "some"))
+    out = str(tmp_path / "out")
+    for part in ("all", "some"):
+        layout = job.run(spark, str(tmp_path / part), out, "parquet", (1, 12), threshold=50)
+    assert {r[0] for r in job.read_monthly(spark, layout.monthly).select(S.MONTH).collect()} == {1, 2}
+    q2 = scan_csv_report(spark, layout.report("q2"), S.labelled(S.Q2_SCHEMA, S.Q2_LABELS))
+    expected = reports.q2_top_carriers(clean.filter("MONTH <= 2"), (1, 12), threshold=50)
+    assert [tuple(r) for r in q2.collect()] == [tuple(r) for r in expected.collect()]
+
+
+def test_an_incremental_run_replaces_its_months(spark, small_dir, clean, tmp_path):
+    raw = flights(spark, small_dir)
+    raw.filter("MONTH <= 3").write.parquet(str(tmp_path / "first"))
+    raw.filter("MONTH BETWEEN 3 AND 4 AND OP_UNIQUE_CARRIER <> 'AA'").write.parquet(
+        str(tmp_path / "second")
+    )
+    out = str(tmp_path / "out")
+    job.run(spark, str(tmp_path / "first"), out, "parquet", stages=("clean", "refresh"))
+    layout = job.run(
+        spark, str(tmp_path / "second"), out, "parquet", replace="touched", stages=("clean", "refresh")
+    )
+    expected = clean.filter("MONTH <= 2 OR (MONTH <= 4 AND OP_UNIQUE_CARRIER <> 'AA')")
+    stored = scan_partitioned(spark, layout.clean)
+    assert stored.exceptAll(expected.select(*stored.columns)).count() == 0
+    assert stored.count() == expected.count()
+    q2 = reports.q2_from_states(job.read_monthly(spark, layout.monthly), threshold=20)
+    assert q2.collect() == reports.q2_top_carriers(expected, threshold=20).collect()
+
+
+def test_stages_run_alone(spark, small_dir, tmp_path, monkeypatch):
+    flights(spark, small_dir).write.parquet(str(tmp_path / "raw"))
+    out = str(tmp_path / "out")
+
+    def stage(*options):
+        monkeypatch.setattr(
+            "sys.argv", ["job", str(tmp_path / "raw"), out, "--format", "parquet", *options]
+        )
+        job.main()
+
+    layout = job.Layout(out)
+    stage("--stages", "clean", "--no-rebalance")
+    assert glob.glob(f"{layout.clean}/MONTH=*")
+    assert not glob.glob(layout.monthly)
+    stage("--stages", "refresh")
+    assert glob.glob(f"{layout.delays}/MONTH=*")
+    stage("--stages", "report", "--min-records", "50", "--percentiles", "interpolated")
+    q3 = scan_csv_report(
+        spark,
+        layout.report("q3_percentiles"),
+        S.labelled(S.Q3_PERCENTILES_SCHEMA, S.Q3_PERCENTILES_LABELS),
+    )
+    stored = scan_partitioned(spark, layout.clean)
+    expected = reports.q3_percentiles(stored, method="interpolated")
+    assert [tuple(r) for r in q3.collect()] == [tuple(r) for r in expected.collect()]
+    assert not glob.glob(layout.records)
+    stage("--stages", "export")
+    assert read_keyed(spark, layout.records, "q1").count() == 8
+
+
+def test_export_through_another_sink(spark, layout, tmp_path):
+    path = str(tmp_path / "sink")
+    job.export_reports(spark, layout, "json", {"path": path})
+    assert spark.read.json(path).count() > 0
+
+
+def test_input_that_cleaning_empties(spark, make_flights, tmp_path):
+    make_flights({S.CARRIER: None}).write.parquet(str(tmp_path / "raw"))
+    layout = job.run(spark, str(tmp_path / "raw"), str(tmp_path / "out"), "parquet")
+    assert reports.q1_from_states(job.read_monthly(spark, layout.monthly)).columns == S.Q1_SCHEMA.names
+    for name, schema, headings in (
+        ("q1", S.Q1_SCHEMA, S.Q1_LABELS),
+        ("q2", S.Q2_SCHEMA, S.Q2_LABELS),
+        ("q3_percentiles", S.Q3_PERCENTILES_SCHEMA, S.Q3_PERCENTILES_LABELS),
+    ):
+        back = scan_csv_report(spark, layout.report(name), S.labelled(schema, headings))
+        assert back.count() == 0
+    assert read_keyed(spark, layout.records, "q2").count() == 0
+
+
+def test_the_export_has_every_row_of_the_report(spark, tmp_path):
+    rows = [(f"C{i:02}", 100, float(i), 0.0, 0.0, 0.0, 0.0, 0.0) for i in range(23)]
+    report = labels.report_labels(spark.createDataFrame(rows, S.Q2_SCHEMA), S.Q2_LABELS)
+    path = write_report_csv(report, str(tmp_path / "q2"))
+    positions = records(exports.q2_records(spark, path))
+    assert {r["compagnia"]: r["posizione"] for r in positions} == {f"C{i:02}": 23 - i for i in range(23)}
+
+
 def test_export_fails_loudly(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         job.export_reports(spark, job.Layout(str(tmp_path)))
@@ -94,9 +185,11 @@ def test_export_fails_loudly(spark, tmp_path):
 def test_states_refresh_month_by_month(spark, clean, tmp_path):
     layout = job.Layout(str(tmp_path))
     for first in (1, 3, 5):
-        job.refresh_states(clean.filter(f"MONTH IN ({first}, {first + 1})"), layout)
-    job.refresh_states(clean.filter("MONTH = 2"), layout)
-    monthly, delays = spark.read.parquet(layout.monthly), spark.read.parquet(layout.delays)
+        job.refresh_states(clean.filter(f"MONTH IN ({first}, {first + 1})"), layout, "touched")
+    job.refresh_states(clean.filter("MONTH = 2"), layout, "touched")
+    monthly, delays = job.read_monthly(spark, layout.monthly), job.read_delays(spark, layout.delays)
+    assert monthly.columns == spark.read.parquet(layout.monthly).columns
+    assert delays.schema == spark.read.parquet(layout.delays).schema
     q1 = reports.q1_from_states(monthly)
     assert q1.collect() == reports.q1_monthly_delay(clean).collect()
     q2 = reports.q2_from_states(monthly, threshold=100)

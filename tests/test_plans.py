@@ -6,8 +6,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
 from ontime import schema as S
+from ontime.catalog import QUERIES
 from ontime.operators import quantiles
 from ontime.operators.cleaning import clean_flights, require_fields
 from ontime.operators.reuse import cached
@@ -96,9 +96,9 @@ def test_cache_holds_the_named_columns_only(stored):
     assert {c.split("#")[0].strip() for c in relation[1].split(",")} == {S.CARRIER, S.DEP_DELAY}
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_plan_of_every_query(name, spark, small_dir):
-    df = contract.queries()[name](spark, small_dir)
+    df = QUERIES[name](spark, small_dir)
     text = plan(df)
     for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition"):
         assert operator not in text
