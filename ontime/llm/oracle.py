@@ -113,7 +113,7 @@ signals AS (
   FROM d LEFT JOIN cov USING (k) LEFT JOIN dups USING (k) LEFT JOIN rest USING (k)),
 judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM signals)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, words_left,
-  NOT base_failed AND NOT (words_left < 10 OR 100 * words_left < 20 * n_words) AS kept
+  NOT base_failed AND NOT 100 * words_left < 20 * n_words AS kept
 FROM judged
 """
 

@@ -163,9 +163,7 @@ def judged(spark: SparkSession, docs: DataFrame, host: str = "source") -> DataFr
         F.size(words(F.col("clean_text"))).cast("long")
     )
     rows = rows.select("*", left.alias("words_left"), base_failed(F.col("signals")).alias("base_failed"))
-    depleted = (F.col("words_left") < MIN_WORDS) | (
-        100 * F.col("words_left") < MIN_LEFT_PERCENT * F.col("signals.n_words")
-    )
+    depleted = 100 * F.col("words_left") < MIN_LEFT_PERCENT * F.col("signals.n_words")
     return rows.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 

@@ -32,7 +32,7 @@ def quality(docs):
             continue
         left = "\n".join(x for x in text.split("\n") if norm(x) not in frequent[source])
         n = len(helpers.words(left))
-        if n >= 10 and 100 * n >= 20 * len(tokens):
+        if 100 * n >= 20 * len(tokens):
             kept.append((doc_id, left, source))
     return kept
 
