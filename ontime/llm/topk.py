@@ -36,7 +36,7 @@ BLOCK_ROWS = 4096
 QUERY_BLOCK_ROWS = 1024
 BUCKET_ROWS = 256
 # From this cosine on, coordinates are worth looking at first.
-COORDINATE_COSINE = 0.8
+COORDINATE_COSINE = 0.95
 FOCUS_COORDINATES = 4
 EXACT = 2.0**53
 # The longest vectors, which give each query a score to start with.
@@ -93,46 +93,68 @@ class Block:
         self.lengths = lengths[order]
         self.vectors = np.stack(candidates["vector"].to_numpy())[order]
 
-    def search(self, query_id: int, query: np.ndarray, start: float):
-        """Positions and scores; `start` is a score that k candidates are known to reach."""
-        length = float(np.sqrt(query @ query))
-        found, scores, threshold = np.empty(0, np.int64), np.empty(0), start
+    def search(
+        self, ids: np.ndarray, queries: np.ndarray, start: np.ndarray
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Positions and scores of the best for each query.
+
+        `start` has a score for each query that k candidates are known to reach.
+        """
+        sizes = np.sqrt((queries * queries).sum(axis=1))
+        threshold = start.copy()
+        best_of = [(np.empty(0, np.int64), np.empty(0)) for _ in ids]
         for first in range(0, len(self.ids), BUCKET_ROWS):
-            if threshold > 0 and length * self.lengths[first] * (1 + ROUNDING) < threshold:
+            rows = np.arange(first, min(first + BUCKET_ROWS, len(self.ids)))
+            longest = sizes * self.lengths[first]
+            active = (threshold <= 0) | (longest * (1 + ROUNDING) >= threshold)
+            if not active.any():
                 break
-            stop = min(first + BUCKET_ROWS, len(self.ids))
-            rows = self.survivors(query, length, threshold, first, stop)
-            rows = rows[(self.ids[rows] != query_id) | ~self.known[rows]]
-            if not len(rows):
-                continue
-            found = np.concatenate([found, rows])
-            scores = np.concatenate([scores, products(query[None, :], self.vectors[rows])[0]])
-            kept = best(scores, self.ids[found], self.k)
-            found, scores = found[kept], scores[kept]
-            if len(scores) == self.k:
-                threshold = max(threshold, float(scores[-1]))
-        return found, scores
-
-    def survivors(
-        self, query: np.ndarray, length: float, threshold: float, first: int, stop: int
-    ) -> np.ndarray:
-        """Rows of a bucket that may reach the threshold, by length or by coordinates."""
-        if threshold <= 0 or not length:
-            return np.arange(first, stop)
-        lengths = self.lengths[first:stop]
-        cosine = threshold / (length * lengths[0]) * (1 - ROUNDING)
-        if cosine < COORDINATE_COSINE:
-            return first + np.flatnonzero(lengths * length * (1 + ROUNDING) >= threshold)
-        # A vector within the angle of the least cosine has each coordinate's
-        # own angle to the axis within as much of the query's.
-        unit = query / length
+            with np.errstate(divide="ignore", invalid="ignore"):
+                cosine = np.where(threshold > 0, threshold / longest * (1 - ROUNDING), -1.0)
+            by_coordinates = active & (cosine >= COORDINATE_COSINE)
+            for n in np.flatnonzero(by_coordinates):
+                near = rows[self.in_range(queries[n] / sizes[n], cosine[n], rows)]
+                if len(near):
+                    scores = products(queries[n : n + 1], self.vectors[near])[0]
+                    self.keep(n, ids[n], near, scores, threshold, best_of)
+            by_length = np.flatnonzero(active & ~by_coordinates)
+            if len(by_length):
+                # Rows come longest first: those that any of these queries needs.
+                need = np.where(threshold > 0, threshold / np.maximum(sizes, 1e-300), 0.0)
+                least = need[by_length].min() * (1 - ROUNDING)
+                enough = rows[self.lengths[rows] >= least]
+                scores = products(queries[by_length], self.vectors[enough])
+                hits = (scores >= threshold[by_length, None]).any(axis=1)
+                for at in np.flatnonzero(hits):
+                    self.keep(by_length[at], ids[by_length[at]], enough, scores[at], threshold, best_of)
+        return best_of
+
+    def keep(self, n, query_id, rows, scores, threshold, best_of) -> None:
+        """Take rows that reach a query's threshold among its best, and raise the threshold."""
+        good = scores >= threshold[n]
+        good &= (self.ids[rows] != query_id) | ~self.known[rows]
+        if not good.any():
+            return
+        found = np.concatenate([best_of[n][0], rows[good]])
+        values = np.concatenate([best_of[n][1], scores[good]])
+        kept = best(values, self.ids[found], self.k)
+        best_of[n] = (found[kept], values[kept])
+        if len(kept) == self.k:
+            threshold[n] = max(threshold[n], float(values[kept[-1]]))
+
+    def in_range(self, unit: np.ndarray, cosine: float, rows: np.ndarray) -> np.ndarray:
+        """Rows whose coordinates, where the query's are largest, are within reach.
+
+        A vector within the angle of the least cosine has each coordinate's
+        own angle to the axis within as much of the query's.
+        """
         focus = np.argsort(-np.abs(unit))[:FOCUS_COORDINATES]
         angle = np.arccos(np.clip(unit[focus], -1, 1))
         reach = np.arccos(min(cosine, 1.0))
         low = np.cos(np.minimum(angle + reach, np.pi)) - NARROW
         high = np.cos(np.maximum(angle - reach, 0)) + NARROW
-        units = self.vectors[first:stop][:, focus] / lengths[:, None]
-        return first + np.flatnonzero(((units >= low) & (units <= high)).all(axis=1))
+        units = self.vectors[rows][:, focus] / self.lengths[rows, None]
+        return ((units >= low) & (units <= high)).all(axis=1)
 
 
 def exact_top_k(
@@ -170,13 +192,15 @@ def exact_top_k(
         parts = []
         if len(asking) and len(block):
             searched = Block(block, k)
-            for row in asking.itertuples():
-                found, scores = searched.search(row.vec_id, np.asarray(row.vector), row.start)
-                ids = pd.array(searched.ids[found], dtype="Int64")
-                ids[~searched.known[found]] = pd.NA
-                part = {"query_id": row.vec_id, "vec_id": ids, "score": scores.astype(np.int64)}
+            queries = np.stack(asking["vector"].to_numpy())
+            found = searched.search(asking["vec_id"].to_numpy(), queries, asking["start"].to_numpy())
+            for query_id, (rows, scores) in zip(asking["vec_id"], found, strict=True):
+                ids = pd.array(searched.ids[rows], dtype="Int64")
+                ids[~searched.known[rows]] = pd.NA
+                part = {"query_id": query_id, "vec_id": ids, "score": scores.astype(np.int64)}
                 parts.append(pd.DataFrame(part))
-        return pd.concat(parts) if parts else pd.DataFrame({c: [] for c in ("query_id", "vec_id", "score")}, dtype="Int64")
+        nothing = pd.DataFrame({c: [] for c in ("query_id", "vec_id", "score")}, dtype="Int64")
+        return pd.concat(parts) if parts else nothing
 
     found = asked.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(search, FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
@@ -197,11 +221,15 @@ def start_scores(stored: DataFrame, asked: DataFrame, k: int) -> DataFrame:
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            start = []
-            for row in batch.itertuples():
-                block = by_dimension.get(row.dimension)
-                scores = () if block is None else block.search(row.vec_id, np.asarray(row.vector), -np.inf)[1]
-                start.append(float(scores[-1]) if len(scores) == k else -np.inf)
+            start = pd.Series(-np.inf, index=batch.index)
+            for dimension, rows in batch.groupby("dimension"):
+                if dimension in by_dimension:
+                    queries = np.stack(rows["vector"].to_numpy())
+                    unknown = np.full(len(rows), -np.inf)
+                    found = by_dimension[dimension].search(rows["vec_id"].to_numpy(), queries, unknown)
+                    start[rows.index] = [
+                        float(scores[-1]) if len(scores) == k else -np.inf for _, scores in found
+                    ]
             yield batch.assign(start=start)
 
     fields = ", ".join(f"{name} {kind}" for name, kind in asked.dtypes)
