@@ -5,8 +5,8 @@ met before become rows (word, position, token) of an embedded SQL engine; a
 recursive query joins neighbouring tokens with the merge table and contracts,
 per word and step, the leftmost pair of the smallest rank, until no word has a
 pair left. Ids are decoded by a join with the vocabulary and an aggregation in
-order of position. What lies between two spaces is encoded and decoded once
-and kept; a text's ids and bytes are those of its chunks in order.
+order of position. What lies between two single spaces is encoded and decoded
+once and kept; a text's ids and bytes are those of its chunks in order.
 
 Spark deals out the texts; nothing is shuffled. A task holds one Arrow batch
 of texts, a bounded cache of words and the vocabulary, which is one file of
@@ -22,7 +22,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Collection, Iterator
 from itertools import filterfalse
 
 import numpy as np
@@ -30,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Entries of the two caches of a Python worker, some 150 and 300 bytes each.
-CACHED_WORDS = 500_000
-CACHED_CHUNKS = 300_000
+CACHED_WORDS = 300_000
+CACHED_CHUNKS = 1_000_000
 # Tokens that one decoding query aggregates, and words that one encodes.
 DECODE_TOKENS = 400_000
 ENCODE_WORDS = 20_000
@@ -110,11 +111,13 @@ class Codec:
         import duckdb
         import regex
 
+        self.ranks = ranks
         self.split = regex.compile(pattern).findall
         self.sql = duckdb.connect(config={"threads": 1, "memory_limit": SQL_MEMORY})
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)])
         self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, tuple[bytes, bytes] | None] = {}
+        self.ids: dict[str, bytes | None] = {}
+        self.bytes: dict[str, bytes | None] = {}
         left, right, merged = map(pa.array, zip(*merge_rows(ranks), strict=True))
         rows = pa.table({"l": left, "r": right, "merged": merged})
         self.load("merges", rows)
@@ -133,18 +136,22 @@ class Codec:
         self.sql.execute(f"CREATE TABLE {name} AS SELECT * FROM incoming")
         self.sql.unregister("incoming")
 
-    def encode_words(self, words: list[str]) -> None:
-        """Put words into the cache: the recursive query, some words at a time."""
-        for start in range(0, len(words), ENCODE_WORDS):
-            some = words[start : start + ENCODE_WORDS]
+    def merged(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words: one token's own, or by the recursive query, some words at a time."""
+        spelt = {word: word.encode() for word in words}
+        found = {w: self.ranks[b].to_bytes(4, "little") for w, b in spelt.items() if b in self.ranks}
+        rest = [word for word in words if word not in found]
+        for start in range(0, len(rest), ENCODE_WORDS):
+            some = rest[start : start + ENCODE_WORDS]
             self.sql.register("letters", self.letters(some))
-            found = self.sql.sql(MERGE_STEPS).to_arrow_table()
+            rows = self.sql.sql(MERGE_STEPS).to_arrow_table()
             self.sql.unregister("letters")
-            ids = found.column("ids").combine_chunks()
+            ids = rows.column("ids").combine_chunks()
             flat = ids.values.cast(pa.uint32()).to_numpy().astype("<u4").tobytes()
             ends = ids.offsets.to_numpy() * 4
             for word, a, b in zip(some, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                self.words[word] = flat[a:b]
+                found[word] = flat[a:b]
+        return found
 
     def letters(self, words: list[str]) -> pa.Table:
         """The bytes of words as token rows; nothing follows the last one of a word."""
@@ -168,51 +175,73 @@ class Codec:
         """Encode and decode chunks that follow a space, and keep both results.
 
         Only chunks without a blank at either end are independent of their
-        neighbours; others are kept as None, which marks their texts.
+        neighbours; others are kept as None, which marks their texts. Letters
+        alone are one word with their space, as the pattern has it.
         """
         clean = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
-        self.chunks.update(dict.fromkeys(chunks - set(clean)))
-        ids = self.encode_whole([" " + chunk for chunk in clean])
-        self.chunks.update(zip(clean, zip(ids, self.decode(ids), strict=True), strict=True))
-
-    def encode_whole(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts that the pattern splits as a whole."""
+        self.ids.update(dict.fromkeys(chunks - set(clean)))
+        spelt = [[" " + c] if c.isalpha() else self.split(" " + c) for c in clean]
+        ids = self.joined(spelt, {words[0] for words in spelt if len(words) == 1})
+        self.ids.update(zip(clean, ids, strict=True))
+        self.bytes.update(zip(clean, self.decode(ids), strict=True))
+
+    def joined(self, spelt: list[list[str]], passing: Collection[str] = ()) -> list[bytes]:
+        """Ids of texts given as words. Words are kept, but for `passing` ones."""
+        known: dict[str, bytes] = {}
+        fresh = []
+        for word in {word for words in spelt for word in words}:
+            ids = self.words.get(word) or (self.ids.get(word[1:]) if word[0] == " " else None)
+            if ids:
+                known[word] = ids
+            else:
+                fresh.append(word)
+        known |= (new := self.merged(fresh))
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
-        spelt = list(map(self.split, texts))
-        self.encode_words(list({word for words in spelt for word in words} - self.words.keys()))
-        return [b"".join(map(self.words.__getitem__, words)) for words in spelt]
+        self.words.update((word, ids) for word, ids in new.items() if word not in passing)
+        return [b"".join(map(known.__getitem__, words)) for words in spelt]
 
-    def encode(self, texts: list[str]) -> list[tuple[list[bytes], list[bytes]]]:
-        """For each text, its ids as little-endian unsigned 32-bit integers and
-        the bytes that they decode to, both as pieces in order.
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """For each text, its ids as little-endian unsigned 32-bit integers, and
+        the bytes that they decode to.
 
-        Where no blank is next to another, every space begins a word. Such
-        texts are cut at their spaces, and each chunk is encoded and decoded
-        once; any other text is encoded and decoded as a whole.
+        A space between two characters that are no blanks begins a word. Texts
+        are cut there, and each chunk is encoded and decoded once. Where no
+        blank is next to another these are all spaces, which is tried first.
         """
-        if len(self.chunks) > CACHED_CHUNKS:
-            self.chunks.clear()
+        if len(self.ids) > CACHED_CHUNKS:
+            self.ids.clear()
+            self.bytes.clear()
         cut = [text.split(" ") for text in texts]
-        fresh = set()
+        fresh: set[str] = set()
         for chunks in cut:
-            fresh.update(filterfalse(self.chunks.__contains__, chunks[1:]))
+            fresh.update(filterfalse(self.ids.__contains__, chunks[1:]))
         self.learn(fresh)
-        results: list = [None] * len(texts)
-        whole = []
-        known = self.chunks.__getitem__
-        for n, (head, *rest) in enumerate(cut):
-            found = list(map(known, rest))
-            if None in found or head[-1:].isspace():
-                whole.append((n, texts[n]))
-            else:
-                results[n] = found
-                whole.append((n, head))
-        ids = self.encode_whole([text for _, text in whole])
-        for (n, _), start, text in zip(whole, ids, self.decode(ids), strict=True):
-            first = ((start, text),)
-            results[n] = list(zip(*first, *(results[n] or ()), strict=True))
-        return results
+        found = [self.looked_up(chunks[1:]) for chunks in cut]
+        again = [n for n, chunks in enumerate(cut) if found[n] is None or chunks[0][-1:].isspace()]
+        ends = [""] * len(texts)
+        for n in again:
+            cut[n] = CUT.split(texts[n])
+            if len(cut[n]) > 1:
+                ends[n] = " " + cut[n].pop()
+        self.learn({chunk for n in again for chunk in cut[n][1:]} - self.ids.keys())
+        for n in again:
+            found[n] = self.looked_up(cut[n][1:])
+        # Heads follow no space, and ends may have blanks after them.
+        outer = self.joined([self.split(t) for t in (*(c[0] for c in cut), *ends)])
+        outer = list(zip(outer, self.decode(outer), strict=True))
+        parts = zip(outer[: len(texts)], found, outer[len(texts) :], strict=True)
+        return [tuple(map(b"".join, zip(*three, strict=True))) for three in parts]
+
+    def looked_up(self, chunks: list[str]) -> tuple[bytes, bytes] | None:
+        """Ids and bytes of known chunks, or None if one depends on its neighbours."""
+        try:
+            return (
+                b"".join(map(self.ids.__getitem__, chunks)),
+                b"".join(map(self.bytes.__getitem__, chunks)),
+            )
+        except TypeError:  # of a chunk kept as None
+            return None
 
     def decode(self, encoded: list[bytes]) -> list[bytes]:
         """The bytes of each list of ids; the SQL engine gets so many tokens at a time."""
@@ -250,6 +279,10 @@ class Codec:
             decoded[n] += piece.encode("utf-16-le")[::2]
 
 
+# A space that begins a word whatever is around. Python's blanks include all of
+# the pattern's.
+CUT = re.compile(r"(?<=\S) (?=\S)")
+
 # One codec for each Python worker and vocabulary; workers outlive tasks.
 CODECS: dict[tuple[str, str], Codec] = {}
 
@@ -285,11 +318,10 @@ def token_digests(spark: SparkSession, docs: DataFrame, vocabulary: str, pattern
         for batch in batches:
             counts, digests, decoded = [], [], []
             for texts in groups([text or "" for text in batch.column(1).to_pylist()]):
-                for ids, pieces in codec.encode(texts):
-                    joined = b"".join(ids)
-                    counts.append(len(joined) // 4)
-                    digests.append(hashlib.sha256(joined).hexdigest())
-                    decoded.append(hashlib.sha256(b"".join(pieces)).hexdigest())
+                for ids, back in codec.encode(texts):
+                    counts.append(len(ids) // 4)
+                    digests.append(hashlib.sha256(ids).hexdigest())
+                    decoded.append(hashlib.sha256(back).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
