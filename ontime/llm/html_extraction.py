@@ -10,7 +10,10 @@ shows whether it always holds the same text.
 
 Text in an article or main element, or else in an element that is named as
 content, is the main text; navigation, notices, adverts, forms, comments and
-the like are cut out of it. Pages with neither keep the slots that are no
+the like are cut out of it. A name counts as a whole: `cookie-notice` is a
+notice, `has-sidebar` is none. No name cuts an element that is or holds an
+article or main element, comments excepted, and no id cuts a heading or
+section. Pages with neither keep the slots that are no
 furniture: not mostly links, and not the same on all pages of the host.
 
 Pages are dealt out by Spark and never grouped; what is grouped by host are
@@ -56,9 +59,11 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("iframe noembed noframes noscript script style template textarea xmp".split())
 DROPPED = frozenset(
-    "aside audio button canvas datalist dialog footer form head label math menu nav object option"
-    " search select svg title video".split()
+    "annotation annotation-xml aside audio button canvas datalist dialog footer form head label math"
+    " menu nav object option search select svg title video".split()
 )
+# Dropped, but text where they stand in main text or content.
+TEXT_IN_MAIN = frozenset("label math".split())
 DROPPED_NAMES = frozenset(
     "ad ads adbox advert adverts advertisement alert banner breadcrumb breadcrumbs comment comments"
     " consent cookie cookies copyright disqus footer gdpr login masthead menu modal nav navbar"
@@ -67,31 +72,75 @@ DROPPED_NAMES = frozenset(
     " subscription toast toolbar widget".split()
 )
 CONTENT_NAMES = frozenset("article content entry maincontent post story".split())
+# Parts that may stand before or behind those of DROPPED_NAMES in a name.
+BEFORE_NAMES = CONTENT_NAMES | frozenset("bottom global main page primary secondary site top".split())
+BEHIND_NAMES = frozenset(
+    "area bar block box button buttons container inner item items links list outer section wrap wrapper".split()
+)
+COMMENT_NAMES = frozenset("comment comments disqus respond".split())
+COMMENT_PARTS = COMMENT_NAMES | BEHIND_NAMES | frozenset("body content entry reply thread".split())
+ID_IS_ANCHOR = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)"""
     r"""|</?[a-zA-Z][^>]*+(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)|[^<]++|<""",
     re.DOTALL,
 )
-NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
+NAMES = re.compile(
+    r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE
+)
 HIDDEN = re.compile(
     r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE
 )
 NAME_PARTS = re.compile(r"[a-z]+")
 
 
-def element_zone(name: str, attributes: str, around: str) -> str:
+def is_furniture(token: str) -> bool:
+    """Whether a whole class, id or role names furniture, as `site-footer` does."""
+    parts = NAME_PARTS.findall(token)
+    while parts and parts[0] in BEFORE_NAMES:
+        del parts[0]
+    while len(parts) > 1 and parts[-1] in BEHIND_NAMES:
+        del parts[-1]
+    return bool(parts) and DROPPED_NAMES.issuperset(parts)
+
+
+def is_comment(token: str) -> bool:
+    parts = NAME_PARTS.findall(token)
+    return bool(parts) and parts[0] in COMMENT_NAMES and COMMENT_PARTS.issuperset(parts)
+
+
+def dropped_by(name: str, attributes: str) -> str:
+    """What an element is dropped by: its (e)lement, a (n)ame, a (c)omment's name, or nothing."""
+    if name in DROPPED:
+        return "e"
+    if not attributes:
+        return ""
+    if HIDDEN.search(attributes):
+        return "e"
+    if name in ("html", "body", "main"):
+        return ""
+    tokens = [
+        token
+        for kind, *values in NAMES.findall(attributes)
+        if name not in ID_IS_ANCHOR or kind.lower() != "id"
+        for token in "".join(values).lower().split()
+    ]
+    if any(map(is_comment, tokens)):
+        return "c"
+    return "n" if name != "article" and any(map(is_furniture, tokens)) else ""
+
+
+def element_zone(name: str, attributes: str, around: str, cause: str) -> str:
     """The zone inside an element: d(ropped), m(ain), c(ontent) or r(est)."""
-    if around == "d" or name in DROPPED:
+    if around in ("m", "c") and name in TEXT_IN_MAIN and not (attributes and HIDDEN.search(attributes)):
+        return around
+    if around == "d" or cause:
         return "d"
     parts: set[str] = set()
     if attributes:
-        if HIDDEN.search(attributes):
-            return "d"
-        for groups in NAMES.findall(attributes):
-            parts.update(NAME_PARTS.findall("".join(groups).lower()))
-        if parts & DROPPED_NAMES and name not in ("html", "body", "main"):
-            return "d"
+        for _, *values in NAMES.findall(attributes):
+            parts.update(NAME_PARTS.findall("".join(values).lower()))
     if around == "m" or name in ("article", "main") or "main" in parts:
         return "m"
     if name == "header":
@@ -103,9 +152,21 @@ def element_zone(name: str, attributes: str, around: str) -> str:
 
 def parsed(html: str) -> tuple[list[str], list[str]]:
     """Symbols of a page, tags and slots in order, and the text of each slot."""
+    symbols, texts, spared = read_tags(html, frozenset())
+    if spared:
+        symbols, texts, _ = read_tags(html, spared)
+    return symbols, texts
+
+
+def read_tags(html: str, spared: frozenset[int]) -> tuple[list[str], list[str], frozenset[int]]:
+    """Symbols and texts, and where elements start that a name drops though they hold an article.
+
+    No name drops the elements that start at one of `spared`.
+    """
     symbols: list[str] = []
     texts: list[str] = []
-    stack: list[tuple[str, str, str]] = []
+    stack: list[tuple[str, str, str, str, int]] = []
+    holders: set[int] = set()
     zone = "r"
     parts: list[str] = []
     linked = 0
@@ -124,7 +185,7 @@ def parsed(html: str) -> tuple[list[str], list[str]]:
     match = TOKEN.match
     while at < end:
         token = match(html, at)
-        at = token.end()
+        start, at = at, token.end()
         name = token[2]
         if name is None:
             text = token[0]
@@ -159,28 +220,35 @@ def parsed(html: str) -> tuple[list[str], list[str]]:
             close = re.compile(f"</{name}[^a-zA-Z0-9]|</{name}$", re.IGNORECASE).search(html, at)
             at = html.find(">", close.start()) + 1 or end if close else end
             continue
-        inside = zone
+        inside, cause = zone, ""
         is_block = name in BLOCKS
         if is_block or name in DROPPED or token[3]:
-            inside = element_zone(name, token[3], zone)
+            cause = dropped_by(name, token[3])
+            if start in spared:
+                cause = ""
+            inside = element_zone(name, token[3], zone, cause)
         if is_block or inside != zone:
             flush()
             if name in ("article", "main") and zone == "d" and inside == "d":
                 # Neither stands in navigation; what was to end before did not.
-                inside = reopened(name, token[3], stack)
+                close_menus(stack)
+                inside = element_zone(name, token[3], stack[-1][2] if stack else "r", cause)
+                named = {entry[4]: entry[3] for entry in stack if entry[3]}
+                lifted = ("n",) if name == "article" else ("n", "c")
+                if not cause and all(why in lifted for why in named.values()):
+                    holders.update(named)
             if name not in VOID and not token[3].endswith("/"):
-                stack.append((name, zone, inside))
+                stack.append((name, zone, inside, cause, start))
                 zone = inside
                 symbols.append(f"<{name}>")
     flush()
-    return symbols, texts
+    return symbols, texts, frozenset(holders)
 
 
-def reopened(name: str, attributes: str, stack: list[tuple[str, str, str]]) -> str:
-    """The zone of an article in an element that cannot hold one, which is closed by it."""
+def close_menus(stack: list[tuple[str, str, str, str, int]]) -> None:
+    """An article closes the elements around it that cannot hold one."""
     while stack and stack[-1][2] == "d" and stack[-1][0] in CLOSED_BY_ARTICLE:
         stack.pop()
-    return element_zone(name, attributes, stack[-1][2] if stack else "r")
 
 
 # Elements that hold no article, and those that stand in them.

@@ -100,3 +100,25 @@ def test_many_skeletons_are_merged_level_by_level(spark, monkeypatch):
     monkeypatch.setattr(html_extraction, "MERGE_GROUP", 3)
     pages = [("http://a.org/", "<article>" + "".join(f"<h{1 + (i >> k) % 2}>t{k}</h{1 + (i >> k) % 2}>" for k in range(5)) + "</article>") for i in range(32)]
     assert extracted(spark, pages) == ["\n\n".join(f"t{k}" for k in range(5))] * 32
+
+
+NAMED = {
+    '<div class="content has-sidebar"><article><p>Text</p></article></div>': "Text",
+    '<div class="no-sidebar"><article><p>Text</p></article></div>': "Text",
+    '<div class="sidebar"><p>Out</p><div id="social"><article><p>Text</p></article></div></div>': "Text",
+    '<div class="widget"><nav><ul><li>x<main><p>Text</p></main></div>': "Text",
+    '<article class="post comments-open"><p>Text</p></article>': "Text",
+    '<article class="promo"><p>Text</p></article>': "Text",
+    '<article><h2 id="related-work">A</h2><section id="social"><p>B</p></section><div id="search-results">C</div></article>': "A\n\nB\n\nC",
+    "<article><p>If <math><mi>x</mi></math> <label>then</label> y</p></article>": "If x then y",
+    '<article><p>Text</p><article class="comment-body"><p>C</p></article></article>': "Text",
+    '<article><p>Text</p><div id="comments"><article class="user"><p>C</p></article></div></article>': "Text",
+    '<article><p>Text</p><div class="site-footer">F</div><p class="related">R</p></article>': "Text",
+    '<aside class="widget"><article><p>Out</p></article></aside><article data-id="ad"><p>Text</p></article>': "Text",
+}
+
+
+def test_names_count_as_a_whole_and_drop_no_article(spark):
+    pages = [("http://a.org/", f"<body>{body}</body>") for body in NAMED]
+    for text, (body, expected) in zip(extracted(spark, pages), NAMED.items(), strict=True):
+        assert text == expected, body
