@@ -14,7 +14,9 @@ the like are cut out of it. A name counts as a whole: `cookie-notice` is a
 notice, `has-sidebar` is none. No name cuts an element that is or holds an
 article or main element, comments excepted, and no id cuts a heading or
 section. Pages with neither keep the slots that are no
-furniture: not mostly links, and not the same on all pages of the host.
+furniture: not mostly links, and not the same wherever the host's wrapper has
+them. Copies of a page show nothing about that: only pages that differ count,
+and where nothing else would be left, what is the same stays.
 
 Pages are dealt out by Spark and never grouped; what is grouped by host are
 the distinct skeletons, in groups of bounded size that are merged level by
@@ -45,7 +47,7 @@ from ontime.llm.url_filters import host
 
 # Skeletons or wrappers that one task folds into one wrapper.
 MERGE_GROUP = 64
-# Pages that have to agree on a slot's text before it counts as furniture.
+# Different pages that have to agree on a slot's text before it counts as furniture.
 CONSTANT_PAGES = 3
 MAX_PERIOD = 8
 
@@ -341,7 +343,7 @@ def aligned_slots(wrapper: list[str], skeleton: list[str]) -> list[int]:
 
 
 PAGE = (
-    "page_id long, url string, host string, skeleton string, skeleton_key long,"
+    "page_id long, url string, host string, skeleton string, skeleton_key long, page long,"
     " blocks array<struct<slot:int,text:string>>"
 )
 
@@ -352,7 +354,7 @@ def read_pages(pages: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = pa.list_(pa.struct([("slot", pa.int32()), ("text", pa.string())]))
         for batch in batches:
-            skeletons, keys, blocks = [], [], []
+            skeletons, keys, contents, blocks = [], [], [], []
             for html in batch.column(3).to_pylist():
                 symbols, texts = parsed(html or "")
                 items = folded(symbols)
@@ -363,6 +365,7 @@ def read_pages(pages: DataFrame) -> DataFrame:
                 skeleton = "\n".join(item.symbol for item in items)
                 skeletons.append(skeleton)
                 keys.append(xxhash.xxh3_64_intdigest(skeleton) >> 1)
+                contents.append(xxhash.xxh3_64_intdigest("\0".join(texts).encode("utf-8", "surrogatepass")) >> 1)
                 blocks.append([{"slot": s, "text": t} for s, t in zip(slots, texts, strict=True)])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -371,9 +374,10 @@ def read_pages(pages: DataFrame) -> DataFrame:
                     batch.column(2),
                     pa.array(skeletons, pa.string()),
                     pa.array(keys, pa.int64()),
+                    pa.array(contents, pa.int64()),
                     pa.array(blocks, block),
                 ],
-                ["page_id", "url", "host", "skeleton", "skeleton_key", "blocks"],
+                ["page_id", "url", "host", "skeleton", "skeleton_key", "page", "blocks"],
             )
 
     rows = pages.select("page_id", "url", host(F.col("url")).alias("host"), "html")
@@ -382,12 +386,12 @@ def read_pages(pages: DataFrame) -> DataFrame:
 
 def skeleton_slots(read: DataFrame) -> DataFrame:
     """Per host, skeleton and slot (null if it has none): the least and greatest
-    hash of its texts, and about how many pages have it."""
+    hash of its texts and of the pages that have it, and about how many differ."""
     texts = read.select(
         "host",
         "skeleton_key",
         "skeleton",
-        F.xxhash64("page_id", "url").alias("page"),
+        "page",
         F.explode_outer("blocks").alias("block"),
     )
     text = F.xxhash64("block.text")
@@ -395,6 +399,7 @@ def skeleton_slots(read: DataFrame) -> DataFrame:
         F.first("skeleton").alias("skeleton"),
         F.min(text).alias("least"),
         F.max(text).alias("greatest"),
+        F.array(F.min("page"), F.max("page")).alias("ends"),
         F.approx_count_distinct("page", 0.1).alias("pages"),
     )
 
@@ -453,33 +458,37 @@ def slot_places(skeletons: DataFrame, wrapper_table: DataFrame) -> DataFrame:
 def kept_slots(places: DataFrame, slots: DataFrame) -> DataFrame:
     """(k_host, k_key, kept): the slots of each skeleton that hold main text."""
     joined = places.join(slots, ["host", "skeleton_key", "slot"])
+    # Pages of equal texts can have different skeletons, so pages are not added
+    # up: with fewer than three in each skeleton, the ends are all that there are.
     shared = (
         joined.where("place >= 0")
+        .select("host", "place", "least", "greatest", "pages", F.explode("ends").alias("end"))
         .groupBy(F.col("host").alias("s_host"), F.col("place").alias("s_place"))
         .agg(
             (F.min("least") == F.max("greatest")).alias("same"),
-            F.sum("pages").alias("seen"),
+            F.greatest(F.max("pages"), F.approx_count_distinct("end", 0.1)).alias("seen"),
         )
     )
     judged = joined.join(
         shared, (F.col("host") == F.col("s_host")) & (F.col("place") == F.col("s_place")), "left"
     )
-    furniture = F.col("in_links") | F.coalesce(
-        F.col("same") & (F.col("seen") >= CONSTANT_PAGES), F.lit(False)
-    )
+    constant = F.coalesce(F.col("same") & (F.col("seen") >= CONSTANT_PAGES), F.lit(False))
+    unlinked = (F.col("zone") == "r") & ~F.col("in_links")
     return (
         judged.groupBy(F.col("host").alias("k_host"), F.col("skeleton_key").alias("k_key"))
         .agg(
             F.collect_list(F.when(F.col("zone") == "m", F.col("slot"))).alias("main"),
             F.collect_list(F.when(F.col("zone") == "c", F.col("slot"))).alias("content"),
-            F.collect_list(F.when((F.col("zone") == "r") & ~furniture, F.col("slot"))).alias("rest"),
+            F.collect_list(F.when(unlinked & ~constant, F.col("slot"))).alias("rest"),
+            F.collect_list(F.when(unlinked, F.col("slot"))).alias("unlinked"),
         )
         .select(
             "k_host",
             "k_key",
             F.when(F.size("main") > 0, F.col("main"))
             .when(F.size("content") > 0, F.col("content"))
-            .otherwise(F.col("rest"))
+            .when(F.size("rest") > 0, F.col("rest"))
+            .otherwise(F.col("unlinked"))
             .alias("kept"),
         )
     )

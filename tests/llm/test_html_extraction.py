@@ -122,3 +122,19 @@ def test_names_count_as_a_whole_and_drop_no_article(spark):
     pages = [("http://a.org/", f"<body>{body}</body>") for body in NAMED]
     for text, (body, expected) in zip(extracted(spark, pages), NAMED.items(), strict=True):
         assert text == expected, body
+
+
+def test_copies_of_a_page_do_not_make_its_text_furniture(spark):
+    page = "<body><h1>Title</h1><p>Lead</p><div>Body in one block</div><div><a href=x>Links</a></div></body>"
+    wrapped = "<body><h1>Title</h1><p>Lead</p>%s<div>Body in one block</div></body>"
+    other = "<body><h1>Title %d</h1><p>Lead %d</p><table><tr><td>Cell %d</td></tr></table></body>"
+    whole = "Title\n\nLead\n\nBody in one block"
+    pages = [(f"http://a.org/{i}", page) for i in range(3)]
+    pages += [(f"http://b.org/{i}", page) for i in range(300)]
+    pages += [(f"http://c.org/{i}", page) for i in range(5)]
+    pages += [(f"http://c.org/o{i}", other % (i, i, i)) for i in range(5)]
+    pages += [(f"http://d.org/{i}", wrapped % ("<hr>" * i)) for i in range(5)]
+    got = extracted(spark, pages)
+    assert set(got[:308]) == {whole}
+    assert got[308:313] == [f"Title {i}\n\nLead {i}\n\nCell {i}" for i in range(5)]
+    assert got[313:] == [whole] * 5
