@@ -5,7 +5,9 @@ host's distinct documents is furniture of the site and is removed. A document
 that fails a base rule, or of which removal leaves little, is rejected.
 
 Documents are counted by the hash of their text, so copies of one page do not
-turn its own lines into furniture. A line above the limit takes up at least
+turn its own lines into furniture. Nor do near copies: texts of which the lines
+above the limit would leave too little count as one for each of these lines,
+and the limit is applied again. A line above the limit takes up at least
 its share of a host's lines, so at most `lines per document / share` lines of
 a host can be above it: the list that is sent to the texts is bounded per host.
 
@@ -117,8 +119,9 @@ def base_failed(signals: Column) -> Column:
     )
 
 
-def frequent_lines(docs: DataFrame, host: str = "source") -> DataFrame:
-    """Per host, the hashes of lines in too many of its distinct documents."""
+def candidate_lines(docs: DataFrame, host: str) -> DataFrame:
+    """(f_host, all_documents, candidates): per host, its distinct texts, and the
+    hashes of lines in too many of them."""
     documents = docs.select(
         F.col(host).alias("f_host"),
         F.xxhash64("text").alias("document"),
@@ -135,7 +138,50 @@ def frequent_lines(docs: DataFrame, host: str = "source") -> DataFrame:
     return (
         per_line.where(F.col("documents") >= MIN_LINE_DOCUMENTS)
         .join(per_host, F.col("f_host").eqNullSafe(F.col("t_host")))
-        .where(100 * F.col("documents") > MAX_LINE_PERCENT * F.col("all_documents"))
+        .where(above_limit("documents", "all_documents"))
+        .groupBy("f_host")
+        .agg(F.first("all_documents").alias("all_documents"), F.collect_set("line").alias("candidates"))
+    )
+
+
+def above_limit(documents: str, all_documents: str) -> Column:
+    return (F.col(documents) >= MIN_LINE_DOCUMENTS) & (
+        100 * F.col(documents) > MAX_LINE_PERCENT * F.col(all_documents)
+    )
+
+
+def without(text: Column, listed: Column) -> Column:
+    """The lines of a text that are not listed by their hash."""
+    return F.filter(lines(text), lambda line: ~(has_word(line) & F.array_contains(listed, line_hash(line))))
+
+
+def frequent_lines(spark: SparkSession, docs: DataFrame, host: str = "source") -> DataFrame:
+    """Per host, the hashes of lines in too many of its distinct documents.
+
+    A text that the candidates would deplete is taken for a near copy of the
+    others that share its lines: together they are one document of each line.
+    """
+    candidates, _ = materialise(spark, candidate_lines(docs, host), "candidate-lines")
+    text = F.col("text")
+    texts = docs.select(F.col(host).alias("host"), "text").join(
+        broadcast_if_small(candidates, candidates.count()), F.col("host").eqNullSafe(F.col("f_host"))
+    )
+    hashes = F.transform(F.filter(lines(text), has_word), line_hash)
+    left = F.size(words(F.array_join(without(text, F.col("candidates")), "\n")))
+    found = (
+        texts.select(
+            "f_host",
+            "all_documents",
+            F.array_intersect(hashes, "candidates").alias("hashes"),
+            F.when(100 * left >= MIN_LEFT_PERCENT * F.size(words(text)), F.xxhash64("text")).alias("document"),
+        )
+        .select("f_host", "all_documents", "document", F.explode("hashes").alias("line"))
+        .distinct()
+    )
+    return (
+        found.groupBy("f_host", "line")
+        .agg(F.first("all_documents").alias("all_documents"), F.count("*").alias("documents"))
+        .where(above_limit("documents", "all_documents"))
         .groupBy("f_host")
         .agg(F.collect_set("line").alias("frequent"))
     )
@@ -143,13 +189,10 @@ def frequent_lines(docs: DataFrame, host: str = "source") -> DataFrame:
 
 def judged(spark: SparkSession, docs: DataFrame, host: str = "source") -> DataFrame:
     """Each row under `kept_row`, with signals, the text that is left and the verdict."""
-    frequent, _ = materialise(spark, frequent_lines(docs, host), "frequent-lines")
+    frequent, _ = materialise(spark, frequent_lines(spark, docs, host), "frequent-lines")
     text = F.col("kept_row.text")
     listed = F.coalesce(F.col("frequent"), F.array().cast("array<bigint>"))
-    left_lines = F.filter(
-        lines(text), lambda line: ~(has_word(line) & F.array_contains(listed, line_hash(line)))
-    )
-    clean = F.when(F.size(listed) > 0, F.array_join(left_lines, "\n")).otherwise(text)
+    clean = F.when(F.size(listed) > 0, F.array_join(without(text, listed), "\n")).otherwise(text)
     rows = docs.select(
         F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("kept_row"),
         F.col(host).alias("host"),

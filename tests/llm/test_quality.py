@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import corpus_pipeline
 import helpers
 
 from ontime.llm import quality
@@ -71,6 +72,26 @@ def test_copies_do_not_make_their_lines_frequent(spark):
     assert all(r.kept for r in report)
 
 
+def test_a_large_group_of_near_copies_keeps_one_document(spark):
+    rnd = random.Random(7)
+    banner = "Subscribe to our news letter today and every other day of the week"
+    base = [prose(rnd, 10) for _ in range(20)]
+    rows = []
+    for i in range(80):
+        changed = list(base)
+        changed[i % 20] = f"n{i} " + base[i % 20].split(" ", 1)[1]
+        rows.append((i, "\n".join([*changed, banner]), "s"))
+    rows += [(100 + i, "\n".join([prose(rnd, 10), prose(rnd, 20), banner]), "s") for i in range(200)]
+    docs = documents(spark, rows)
+    report = {r.doc_id: r for r in quality.quality_report(spark, docs).collect()}
+    assert all(r.kept for r in report.values())
+    assert all(r.words_left == r.n_words - 13 for r in report.values())
+    clean = corpus_pipeline.quality_stage(spark, docs, "")
+    left = corpus_pipeline.near_duplicate_stage(spark, clean, "").select("doc_id", "text").collect()
+    assert sorted(r.doc_id for r in left) == [0, *range(100, 300)]
+    assert {r.doc_id: r.text for r in left}[0] == rows[0][1].removesuffix("\n" + banner)
+
+
 def test_empty_table(spark):
     empty = documents(spark, [(1, "a", "s")]).where("false")
     assert quality.quality_report(spark, empty).collect() == []
