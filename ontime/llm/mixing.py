@@ -47,6 +47,9 @@ def source_targets(
     above its limit. With sources in order of limit by weight, the level that
     remains per unit of weight rises up to the first source below its limit
     and falls after it, so its maximum is the final level.
+
+    The windows have no partition: one task orders one row per source, so the
+    number of sources, not of documents, has to fit a task.
     """
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     position = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
