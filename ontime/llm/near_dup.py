@@ -10,7 +10,9 @@ have the same joint distribution of ranks as under random permutations, so
 the estimate is unbiased with SuperMinHash's lower variance.
 
 Classes that agree in all slots of a band are candidates. With 38 bands of 5
-slots, two sets of similarity 0.8 miss each other with probability 3e-7.
+slots, two sets of similarity 0.8 miss each other with probability 3e-7 if
+slots are taken as independent. They are not in tiny sets: in a simulation of
+sets of 4 and 5 shingles, 8 of 600,000 such pairs were missed (1.3e-5).
 
 A bucket never gives all its pairs. First each member meets one member of the
 bucket that is picked by a hash, another one in each band; links are confirmed
@@ -165,6 +167,23 @@ def classes(rows: DataFrame) -> DataFrame:
     )
 
 
+def shared_ids(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """(a, b): representatives of classes that hold rows of one doc_id."""
+    named = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).select("doc_id", "set_key")
+    repeated = (
+        named.groupBy(F.col("doc_id").alias("r_id"))
+        .agg(F.min("set_key").alias("least"), F.max("set_key").alias("greatest"))
+        .where("least <> greatest")
+        .select("r_id")
+    )
+    repeated, _ = materialise(spark, repeated, "repeated-ids")
+    of_ids = named.join(broadcast_if_small(repeated, repeated.count()), F.col("doc_id") == F.col("r_id")).distinct()
+    reps = named.groupBy(F.col("set_key").alias("c_key")).agg(F.min("doc_id").alias("a"))
+    # The least doc_id of a class and each repeated one in it are one group.
+    edges = of_ids.join(reps, F.col("set_key") == F.col("c_key")).select("a", F.col("doc_id").alias("b"))
+    return edges.where("a <> b").distinct()
+
+
 def may_link(a: str, b: str, percent: int) -> Column:
     """Whether sets of these sizes can be as similar as `percent`."""
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
@@ -376,13 +395,14 @@ def near_duplicates(
     pairs, _ = materialise(spark, pairs, "pairs")
     wanted = members.select("rep").distinct()
     sets, _ = materialise(spark, sets_of(docs, wanted, shingle_words), "sets")
-    first = components(spark, confirmed(pairs, sets, percent), "groups")
+    edges = confirmed(pairs, sets, percent).union(shared_ids(spark, rows))
+    first = components(spark, edges, "groups")
     first, _ = materialise(spark, first, "labels")
     clusters, _ = materialise(spark, open_clusters(members, first), "clusters")
     joined = components(spark, cluster_links(clusters, sets, percent), "joined-groups")
     joined = joined.select(F.col("node").alias("j_node"), F.col("label").alias("j_label"))
     named = (
-        labelled(reps.select("rep"), first)
+        labelled(reps.select("rep").distinct(), first)
         .join(joined, F.col("label") == F.col("j_node"), "left")
         .select("rep", F.coalesce("j_label", "label").alias("component"))
     )

@@ -111,6 +111,16 @@ def test_components_by_stars(spark):
     assert set(labels) == {n for a, b in pairs if a != b for n in (a, b)}
 
 
+def test_rows_of_one_id_are_linked_and_do_not_multiply(spark):
+    rows = [(1, "a b c d"), (1, "e f g h"), (1, "i j k l"), (1, "i j k l"), (2, "e f g h")]
+    rows += [(3, "m n o p"), (4, "m n o p"), (4, "q r s t"), (5, "q r s t"), (6, "u v"), (6, None)]
+    docs = spark.createDataFrame([(k, t, "x", "y", "z") for k, t in rows], FIELDS)
+    found = near_dup.near_duplicates(spark, docs, 2).collect()
+    expected = [(1, 1), (1, 1), (1, 1), (1, 1), (2, 1), (3, 3), (4, 3), (4, 3), (5, 3), (6, 6), (6, 6)]
+    assert sorted((r.doc_id, r.component_id) for r in found) == expected
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+
+
 def test_one_of_each_group_stays(spark):
     texts = {1: "a b c d e f", 2: "a b c d e f", 3: "other words", 4: None, 5: None}
     rows = [(k, t, "x", "y", "z") for k, t in texts.items()]
