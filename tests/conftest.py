@@ -63,7 +63,3 @@ def make_flights(spark) -> Callable[..., DataFrame]:
         )
 
     return make
-
-
-def records(df: DataFrame) -> list[dict]:
-    return [row.asDict() for row in df.collect()]

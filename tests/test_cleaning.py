@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import records
+from flight_records import records
 from pyspark.sql import functions as F
 
 from ontime import schema as S

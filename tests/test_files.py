@@ -3,7 +3,7 @@ from __future__ import annotations
 import glob
 
 import pytest
-from conftest import records
+from flight_records import records
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

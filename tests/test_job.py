@@ -3,7 +3,7 @@ from __future__ import annotations
 import glob
 
 import pytest
-from conftest import records
+from flight_records import records
 
 from ontime import schema as S
 from ontime.operators.cleaning import clean_flights

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import numpy as np
 import pytest
-from conftest import records
+from flight_records import records
 
 from ontime import schema as S
 from ontime.operators import quantiles as Q
