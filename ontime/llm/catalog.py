@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime.llm import bpe, chat, html_extraction, mixing, near_dup, pii, quality, topk, url_filters, warc
+from ontime.llm import bpe, chat, exact_dedup, html_extraction, mixing, near_dup, pii, quality, topk, url_filters, warc
 from ontime.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -121,3 +121,8 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
     return topk.exact_top_k(spark, vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+@query("op13_exact_duplicates")
+def exact_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(spark, table(spark, sf_dir, "documents"))

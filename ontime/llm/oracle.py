@@ -182,6 +182,13 @@ ranked AS (
 SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 20
 """
 
+EXACT = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = max(doc_id) OVER same AS kept, sha256(text) AS text_sha256
+FROM t WINDOW same AS (PARTITION BY text)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_source_mix": MIX,
     "op2_chat_calls": CHAT,
@@ -191,4 +198,5 @@ ORACLE: dict[str, str] = {
     "op8_near_duplicates": NEAR,
     "op9_warc_fixity": WARC,
     "op10_exact_top_k": TOP_K,
+    "op13_exact_duplicates": EXACT,
 }
