@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime.llm import bpe, chat, exact_dedup, html_extraction, mixing, near_dup, pii, quality, topk, url_filters, warc
+from ontime.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    html_extraction,
+    mixing,
+    near_dup,
+    pii,
+    quality,
+    token_alignment,
+    topk,
+    url_filters,
+    warc,
+)
 from ontime.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -16,6 +29,8 @@ __all__ = ["ORACLE", "QUERIES"]
 # For the given tables only: keep the key of real data out of the code.
 PSEUDONYM_KEY = "a key for the given tables"
 VOCABULARY = "byte_bpe_50k.tiktoken"
+BYTE_LEVEL_TOKENIZER = "byte_bpe_50k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,3 +141,15 @@ def top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_exact_duplicates")
 def exact_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op12_token_alignment")
+def token_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
+    return token_alignment.aligned_documents(
+        spark,
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path(BYTE_LEVEL_TOKENIZER),
+        public_tokenizers.path(PIECE_TOKENIZER),
+        outputs={"groups_sha256": digest},
+    )
