@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ontime.llm import (
     bpe,
     chat,
+    collocations,
     exact_dedup,
     html_extraction,
     mixing,
@@ -143,6 +144,11 @@ def exact_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+@query("op11_collocations")
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark, table(spark, sf_dir, "documents"))
+
+
 @query("op12_token_alignment")
 def token_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))

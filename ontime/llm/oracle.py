@@ -182,6 +182,40 @@ ranked AS (
 SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 20
 """
 
+PHRASES = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: list_slice(w, i, i + k - 1))) AS g
+  FROM pieces, (VALUES (1), (2), (3)) sizes(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, g, CAST(count(*) AS HUGEINT) AS n FROM grams GROUP BY lang, k, g),
+totals AS (SELECT lang, sum(n) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, g, n AS a FROM f WHERE k > 1 AND n >= 10),
+cuts AS (
+  SELECT c.lang, c.k, c.g, c.a, cut, x.n AS l, y.n AS r, CAST(1000000 AS HUGEINT) * c.a * c.a // (x.n * y.n) AS score
+  FROM candidates c JOIN (VALUES (1), (2)) cuts(cut) ON cut < c.k
+  JOIN f x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, cut)
+  JOIN f y ON y.lang = c.lang AND y.g = list_slice(c.g, cut + 1, c.k)),
+least AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, part, max(a) AS longer FROM (
+    SELECT lang, a, unnest([list_slice(g, 1, 2), list_slice(g, 2, 3)]) AS part FROM candidates WHERE k = 3)
+  GROUP BY lang, part),
+left_over AS (
+  SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM least
+  WHERE NOT EXISTS (
+    SELECT 1 FROM inside i WHERE i.lang = least.lang AND i.part = least.g AND 100 * i.longer >= 50 * least.a)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM left_over)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(t.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals t USING (lang) WHERE rank <= 2000
+"""
+
 EXACT = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -198,5 +232,6 @@ ORACLE: dict[str, str] = {
     "op8_near_duplicates": NEAR,
     "op9_warc_fixity": WARC,
     "op10_exact_top_k": TOP_K,
+    "op11_collocations": PHRASES,
     "op13_exact_duplicates": EXACT,
 }
