@@ -1,7 +1,6 @@
 """Writers: partitioned tables, report files, keyed records, discarded rows."""
 
 from ontime.sinks.files import noop_run, write_partitioned, write_report_csv
-from ontime.sinks.keyed import compact_keyed, expire_keyed
 from ontime.sinks.keyed import (
     keyed_replace,
     keyed_upsert,
@@ -10,8 +9,6 @@ from ontime.sinks.keyed import (
 )
 
 __all__ = [
-    "compact_keyed",
-    "expire_keyed",
     "keyed_replace",
     "keyed_upsert",
     "noop_run",

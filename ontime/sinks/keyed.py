@@ -1,90 +1,56 @@
-"""Keyed records `table:key -> fields`, as versioned Parquet folders.
+"""Keyed records `table:key -> fields`, as Parquet partitioned by a hash of the key.
 
-A write adds one version folder and leaves the others alone. A replacement is
-a full version; an upsert is a delta, which holds its batch and nothing else.
-Readers take the last full version and the deltas after it, and of each key
-the record of the latest. Compaction writes what a reader sees as a full
-version, and retention removes versions that no reader of the latest needs.
-
-A version counts once its success marker is there, so a write that dies with
-its executors can simply run again. Writers claim a version number by
-creating a file that only one of them can create.
+An upsert reads the buckets that its batch touches, and no others, and
+replaces them by dynamic partition overwrite; a replacement is a static one.
+Spark moves files into place when the job commits, so a write that fails
+before leaves the table as it was, and one that fails while committing can
+run again: the same batch gives the same records. One writer at a time.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime.functions import composite_key
+from ontime.operators.reuse import cached
 from ontime.schema import require_columns
 
-_VERSION = re.compile(r"version=(\d+)-(full|delta)$")
-_VERSION_COLUMN = "_version"
-
+# Buckets of a new table. An upsert rewrites the buckets that it touches, so
+# tables of many keys want many; a table keeps its number until replaced.
+BUCKETS = 16
+_BUCKETS, _BUCKET = "_buckets", "_bucket"
 
-def _file_system(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target, target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
+def _folder(root: str, table: str) -> str:
+    return f"{root.rstrip('/')}/{table}"
 
-def _versions(spark: SparkSession, folder: str) -> dict[int, str]:
-    """Complete versions and whether each is `full` or a `delta`, from a listing."""
-    marker = "/_SUCCESS"
-    pattern, system = _file_system(spark, f"{folder}/version=*{marker}")
-    names = [s.getPath().toString().removesuffix(marker) for s in system.globStatus(pattern) or []]
-    found = [match for match in map(_VERSION.search, names) if match]
-    return {int(match[1]): match[2] for match in sorted(found, key=lambda m: int(m[1]))}
 
+def _matching(spark: SparkSession, pattern: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return [status.getPath().toString() for status in system.globStatus(path) or []]
 
-def _claim(spark: SparkSession, folder: str) -> int:
-    """The next version number, which no other writer has or will have."""
-    pattern, system = _file_system(spark, f"{folder}/claim-*")
-    taken = [int(s.getPath().getName()[6:]) for s in system.globStatus(pattern) or []]
-    version = max(taken, default=0) + 1
-    while not system.createNewFile(_file_system(spark, f"{folder}/claim-{version}")[0]):
-        version += 1
-    return version
 
+def _stored_buckets(spark: SparkSession, folder: str) -> int | None:
+    """The number of buckets in the table's folder names, or None without a table."""
+    names = _matching(spark, f"{folder}/{_BUCKETS}=*")
+    return int(names[0].rsplit("=", 1)[1]) if names else None
 
-def _folder(root: str, table: str) -> str:
-    return f"{root.rstrip('/')}/{table}"
 
+def _read(spark: SparkSession, folder: str, paths: list[str]) -> DataFrame:
+    reader = spark.read.option("mergeSchema", "true").option("basePath", folder)
+    return reader.parquet(*paths)
 
-def _needed(versions: dict[int, str], version: int) -> list[int]:
-    """The last full version up to `version`, and the deltas after it."""
-    upto = [v for v in versions if v <= version]
-    full = [v for v in upto if versions[v] == "full"]
-    return [v for v in upto if v >= max(full, default=0)]
 
-
-def read_keyed(
-    spark: SparkSession, root: str, table: str, version: int | None = None
-) -> DataFrame | None:
-    """The records as of the latest complete version, or None if there is none yet."""
+def read_keyed(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    """The stored records, or None if there is no such table yet."""
     folder = _folder(root, table)
-    versions = _versions(spark, folder)
-    if version is None:
-        if not versions:
-            return None
-        version = max(versions)
-    elif version not in versions:
-        raise ValueError(f"no complete version {version} in {folder}")
-    needed = _needed(versions, version)
-    parts = [
-        spark.read.parquet(f"{folder}/version={v}-{versions[v]}").withColumn(
-            _VERSION_COLUMN, F.lit(v)
-        )
-        for v in needed
-    ]
-    if len(parts) == 1:
-        return parts[0].drop(_VERSION_COLUMN)
-    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return one_per_key(together, "key", _VERSION_COLUMN).drop(_VERSION_COLUMN)
+    if _stored_buckets(spark, folder) is None:
+        return None
+    return _read(spark, folder, [folder]).drop(_BUCKETS, _BUCKET)
 
 
 def one_per_key(records: DataFrame, key: str = "key", order_by: str | None = None) -> DataFrame:
@@ -116,50 +82,77 @@ def _records(batch: DataFrame, table: str, key: str, order_by: str | None) -> Da
     return one_per_key(named, key, order_by).withColumnRenamed(key, "key")
 
 
-def _write_version(records: DataFrame, folder: str, kind: str) -> str:
-    version = _claim(records.sparkSession, folder)
-    path = f"{folder}/version={version}-{kind}"
-    records.write.mode("errorifexists").parquet(path)
-    return path
+def _in_buckets(records: DataFrame, buckets: int) -> DataFrame:
+    return records.withColumns(
+        {
+            _BUCKETS: F.lit(buckets),
+            _BUCKET: F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"),
+        }
+    )
+
+
+def _write(records: DataFrame, folder: str, mode: str) -> str:
+    """Files of the advisory size: AQE splits large buckets and gathers small ones."""
+    (
+        records.hint("rebalance", _BUCKET)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", mode)
+        .partitionBy(_BUCKETS, _BUCKET)
+        .parquet(folder)
+    )
+    return folder
 
 
 def keyed_upsert(
-    batch: DataFrame, root: str, table: str, key: str = "key", order_by: str | None = None
+    batch: DataFrame,
+    root: str,
+    table: str,
+    key: str = "key",
+    order_by: str | None = None,
+    buckets: int = BUCKETS,
 ) -> str:
     """Write records under their key: known keys get the new fields, others stay.
 
-    The batch is computed once and written as it is; stored records are not
-    touched. Of records of one key, `order_by` names the column by which the
-    last one counts; without it, records that differ end the job.
+    Only the buckets of the batch are read and written. Of records of one key,
+    `order_by` names the column by which the last one counts; without it,
+    records that differ end the job.
     """
-    return _write_version(_records(batch, table, key, order_by), _folder(root, table), "delta")
+    spark, folder = batch.sparkSession, _folder(root, table)
+    stored = _stored_buckets(spark, folder)
+    with cached(_in_buckets(_records(batch, table, key, order_by), stored or buckets)) as fresh:
+        if stored is None:
+            return keyed_write_new(fresh, folder)
+        # At most one small number per bucket comes to the driver.
+        touched = {f"{_BUCKET}={row[0]}" for row in fresh.select(_BUCKET).distinct().collect()}
+        every = _matching(spark, f"{folder}/{_BUCKETS}={stored}/{_BUCKET}=*")
+        paths = [path for path in every if path.rsplit("/", 1)[1] in touched]
+        merged = fresh
+        if paths:
+            others = _read(spark, folder, paths).join(fresh.select("key"), "key", "left_anti")
+            merged = others.unionByName(fresh, allowMissingColumns=True)
+        return _write(merged, folder, "dynamic") if touched else folder
 
 
 def keyed_replace(
-    batch: DataFrame, root: str, table: str, key: str = "key", order_by: str | None = None
+    batch: DataFrame,
+    root: str,
+    table: str,
+    key: str = "key",
+    order_by: str | None = None,
+    buckets: int = BUCKETS,
 ) -> str:
     """Write records under their key; keys of earlier writes are gone."""
-    return _write_version(_records(batch, table, key, order_by), _folder(root, table), "full")
-
+    records = _in_buckets(_records(batch, table, key, order_by), buckets)
+    return keyed_write_new(records, _folder(root, table))
 
-def compact_keyed(spark: SparkSession, root: str, table: str) -> str | None:
-    """Write what a reader sees as a full version, which later reads start from."""
-    records = read_keyed(spark, root, table)
-    return None if records is None else _write_version(records, _folder(root, table), "full")
 
-
-def expire_keyed(spark: SparkSession, root: str, table: str, keep: int = 1) -> list[int]:
-    """Remove versions that none of the `keep` latest ones needs; returns their numbers."""
-    folder = _folder(root, table)
-    versions = _versions(spark, folder)
-    if keep < 1:
-        raise ValueError("keep at least the latest version")
-    needed = {n for v in list(versions)[-keep:] for n in _needed(versions, v)}
-    gone = [v for v in versions if v not in needed]
-    for v in gone:
-        target, system = _file_system(spark, f"{folder}/version={v}-{versions[v]}")
-        system.delete(target, True)
-    return gone
+def keyed_write_new(records: DataFrame, folder: str) -> str:
+    """A table of these records alone. Without any, an empty file keeps the columns."""
+    _write(records, folder, "static")
+    if _stored_buckets(records.sparkSession, folder) is None:
+        empty = records.limit(0).drop(_BUCKETS, _BUCKET)
+        empty.write.mode("overwrite").parquet(f"{folder}/{_BUCKETS}=1/{_BUCKET}=0")
+    return folder
 
 
 def write_keyed_connector(
