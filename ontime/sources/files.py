@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from typing import Literal
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ontime import schema as S
+from ontime.sources.delimited import scan_csv
 
 
 def scan_raw(spark: SparkSession, path: str, fmt: str = "avro") -> DataFrame:
@@ -53,58 +52,3 @@ def scan_partitioned(
 def scan_csv_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A report written with a header; headings that differ from the schema fail."""
     return spark.read.schema(schema).csv(path, header=True, enforceSchema=False)
-
-
-# Holds the original line of a record that does not parse.
-BAD_RECORD = "_bad_record"
-
-
-def scan_csv(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType = S.FLIGHT_SCHEMA,
-    bad_rows: Literal["fail", "mark"] = "fail",
-) -> DataFrame:
-    """Delimited raw records in whatever column order the header gives.
-
-    Known columns get their declared type, others stay text. A record with a
-    field that does not parse, or with too few or too many fields, ends the
-    job, or else (`mark`) has its line in the column `_bad_record`. Spark
-    converts only the columns that a query reads; ingestion and the clean
-    table read all of them.
-    """
-    known = {f.name: f.dataType for f in schema.fields}
-    header = S.require_columns(spark.read.csv(path, header=True), known).columns
-    declared = T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in header])
-    reader = spark.read
-    if bad_rows == "fail":
-        reader = reader.option("mode", "FAILFAST")
-    else:
-        declared = declared.add(BAD_RECORD, T.StringType())
-        reader = reader.option("mode", "PERMISSIVE").option(
-            "columnNameOfCorruptRecord", BAD_RECORD
-        )
-    return reader.schema(declared).csv(path, header=True, enforceSchema=False)
-
-
-def ingest_csv(
-    spark: SparkSession,
-    path: str,
-    target: str,
-    fmt: str = "parquet",
-    bad_rows_to: str | None = None,
-) -> str:
-    """Delimited raw records to self-describing files that cleaning can read.
-
-    Records that do not parse end the job, unless a second folder is named:
-    then they go there, each with its line and the fields that did parse.
-    """
-    if bad_rows_to is None:
-        scan_csv(spark, path).write.format(fmt).mode("overwrite").save(target)
-        return target
-    marked = scan_csv(spark, path, bad_rows="mark")
-    is_bad = F.col(BAD_RECORD).isNotNull()
-    good = marked.filter(~is_bad).drop(BAD_RECORD)
-    good.write.format(fmt).mode("overwrite").save(target)
-    marked.filter(is_bad).write.format(fmt).mode("overwrite").save(bad_rows_to)
-    return target

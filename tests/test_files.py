@@ -15,6 +15,7 @@ from ontime.sinks import noop_run, write_partitioned, write_report_csv
 from ontime.sources import (
     flights,
     ingest_csv,
+    ingest_new_csv,
     scan_avro,
     scan_csv,
     scan_csv_report,
@@ -137,6 +138,85 @@ def test_csv_in_another_column_order_with_extra_columns(spark, tmp_path):
     assert clean_flights(stored).count() == 1
 
 
+RECORD = dict(zip(S.FLIGHT_SCHEMA.names, ["1", "AA", "900", "0.0", "0.0", *["1.0"] * 7], strict=True))
+
+
+def csv_file(path, columns, *overrides):
+    rows = [{**RECORD, **extra} for extra in overrides]
+    path.parent.mkdir(exist_ok=True)
+    path.write_text("".join(",".join(line) + "\n" for line in [columns, *([r[c] for c in columns] for r in rows)]))
+
+
+def test_csv_files_with_headers_of_their_own(spark, tmp_path):
+    names = S.FLIGHT_SCHEMA.names
+    folder = tmp_path / "csv"
+    csv_file(folder / "a.csv", names, {S.MONTH: "1"}, {S.MONTH: "2"})
+    csv_file(folder / "b.csv", names[::-1], {S.MONTH: "3"})
+    csv_file(folder / "c.csv", [*names[5:], "TAIL", *names[:5]], {S.MONTH: "4", "TAIL": "N4"})
+    csv_file(folder / "d.csv", names, {S.MONTH: "5"})
+    (folder / "empty.csv").write_text("")
+    csv_file(folder / "header.csv", names)
+    found = {r[S.MONTH]: r for r in records(scan_csv(spark, str(folder)))}
+    assert sorted(found) == [1, 2, 3, 4, 5]
+    assert {m: r["TAIL"] for m, r in found.items() if r["TAIL"]} == {4: "N4"}
+    assert all(r[S.CARRIER] == "AA" and r[S.SCHEDULED_DEPARTURE] == 900 for r in found.values())
+    assert scan_raw(spark, ingest_csv(spark, str(folder), str(tmp_path / "raw")), "parquet").count() == 5
+    csv_file(folder / "e.csv", names[1:], {})
+    with pytest.raises(ValueError, match="missing columns .'MONTH'.; .*e.csv"):
+        scan_csv(spark, str(folder))
+
+
+def test_no_csv_records(spark, tmp_path):
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "a.csv").write_text("")
+    assert scan_csv(spark, str(tmp_path / "csv")).schema == S.FLIGHT_SCHEMA
+    assert scan_csv(spark, str(tmp_path / "csv"), bad_rows="mark").count() == 0
+
+
+def test_only_files_not_seen_before_are_ingested(spark, tmp_path):
+    names = S.FLIGHT_SCHEMA.names
+    folder, target, bad = tmp_path / "csv", str(tmp_path / "raw"), str(tmp_path / "bad")
+    places = dict(checkpoint=str(tmp_path / "seen"), bad_rows_to=bad)
+    csv_file(folder / "a.csv", names, {S.MONTH: "1"}, {S.MONTH: "x"})
+    csv_file(folder / "b.csv", names[::-1], {S.MONTH: "2"})
+    ingest_new_csv(spark, str(folder), target, **places)
+
+    def months(batch):
+        rows = spark.read.parquet(target).where(F.col("ingest_batch") == batch)
+        return sorted(r[S.MONTH] for r in records(rows))
+
+    assert months(0) == [1, 2]
+    assert [r["ingest_batch"] for r in records(spark.read.parquet(bad))] == [0]
+    ingest_new_csv(spark, str(folder), target, **places)
+    assert scan_raw(spark, target, "parquet").count() == 2
+    (folder / "a.csv").unlink()
+    csv_file(folder / "c.csv", [*names, "TAIL"], {S.MONTH: "3", "TAIL": "N3"})
+    ingest_new_csv(spark, str(folder), target, **places)
+    assert months(1) == [3]
+    assert scan_raw(spark, target, "parquet").count() == 3
+
+
+def test_a_batch_of_files_that_failed_is_ingested_once(spark, tmp_path):
+    names = S.FLIGHT_SCHEMA.names
+    folder, target, seen = tmp_path / "csv", str(tmp_path / "raw"), str(tmp_path / "seen")
+    csv_file(folder / "a.csv", names, {S.MONTH: "1"}, {S.MONTH: "x"})
+    with pytest.raises(Exception, match="(?i)malformed"):
+        ingest_new_csv(spark, str(folder), target, seen)
+    csv_file(folder / "a.csv", names, {S.MONTH: "1"}, {S.MONTH: "2"})
+    ingest_new_csv(spark, str(folder), target, seen)
+    assert sorted(r[S.MONTH] for r in records(scan_raw(spark, target, "parquet"))) == [1, 2]
+
+
+def test_few_files_to_a_batch(spark, tmp_path):
+    folder, target = tmp_path / "csv", str(tmp_path / "raw")
+    for month in range(1, 6):
+        csv_file(folder / f"{month}.csv", S.FLIGHT_SCHEMA.names, {S.MONTH: str(month)})
+    ingest_new_csv(spark, str(folder), target, str(tmp_path / "seen"), files_per_batch=2)
+    found = spark.read.parquet(target)
+    assert sorted(r[S.MONTH] for r in records(found)) == [1, 2, 3, 4, 5]
+    assert found.select("ingest_batch").distinct().count() == 3
+
+
 def test_csv_bad_fields_end_the_job(spark, tmp_path):
     fields = ["1", "AA", "900", "0.0", "0.0", "1.0", "1.0", "0.0", "0.0", "0.0", "0.0", "x"]
     (tmp_path / "a.csv").write_text(f"{','.join(S.FLIGHT_SCHEMA.names)}\n{','.join(fields)}\n")
