@@ -329,24 +329,47 @@ _AFTER_COMMON = {
   ORDER BY arr_delay_mean DESC, carrier LIMIT 10""",
     "q3_percentiles_from_states": "SELECT * FROM q3_p ORDER BY carrier, hour_bucket",
     "q3_min_max_from_states": "SELECT * FROM q3_mm ORDER BY carrier",
-    "export_q1": f"SELECT 'q1:' || carrier || ':' || month AS key, {Q1_FIELDS} FROM q1",
+    "export_q1": f"SELECT 'q1:' || carrier || ':' || month AS key, {Q1_FIELDS} FROM q1_all",
     "export_q2": """SELECT 'q2:' || position AS key, position AS posizione, carrier AS compagnia,
     records AS num_voli, arr_delay_mean AS ritardo_medio_arr,
     carrier_delay_mean AS ritardo_veicolo, weather_delay_mean AS ritardo_meteo,
     nas_delay_mean AS ritardo_nas, security_delay_mean AS ritardo_sicurezza,
-    late_aircraft_delay_mean AS ritardo_volo_precedente FROM board WHERE position <= 10""",
+    late_aircraft_delay_mean AS ritardo_volo_precedente FROM all_board WHERE position <= 10""",
     "export_q2_all": """SELECT 'q2:' || row_number() OVER o AS key,
     CAST(row_number() OVER o AS INT) AS posizione, carrier AS compagnia,
     records AS num_voli, arr_delay_mean AS ritardo_medio_arr,
     carrier_delay_mean AS ritardo_veicolo, weather_delay_mean AS ritardo_meteo,
     nas_delay_mean AS ritardo_nas, security_delay_mean AS ritardo_sicurezza,
-    late_aircraft_delay_mean AS ritardo_volo_precedente FROM carriers
+    late_aircraft_delay_mean AS ritardo_volo_precedente FROM all_carriers
   WINDOW o AS (ORDER BY arr_delay_mean DESC, carrier)""",
-    "export_q3_p": """SELECT 'q3_p:' || carrier || ':' || hour_bucket AS key,
+    "export_q3_p": f"""SELECT 'q3_p:' || carrier || ':' || hour_bucket AS key,
     carrier AS compagnia, hour_bucket AS "Fascia_oraria",
-    p25 AS "P25", p50 AS "P50", p75 AS "P75", p90 AS "P90" FROM q3_p""",
+    p25 AS "P25", p50 AS "P50", p75 AS "P75", p90 AS "P90" FROM (
+      SELECT carrier, hour_bucket, {quantiles('quantile_disc')} FROM all_flown GROUP BY 1, 2)""",
     "export_q3_mm": """SELECT 'q3_mm:' || carrier AS key, carrier AS compagnia,
-    dep_delay_min AS ritardo_min_partenza, dep_delay_max AS ritardo_max_partenza FROM q3_mm""",
+    min(DEP_DELAY) AS ritardo_min_partenza, max(DEP_DELAY) AS ritardo_max_partenza
+  FROM all_flown GROUP BY carrier""",
+    "ingest_csv_headers": """SELECT *, CASE WHEN MONTH > 6 THEN 'N' || MONTH END AS TAIL_NUM FROM raw""",
+    "ingest_csv_new": """SELECT *, CASE WHEN MONTH > 6 THEN 'N' || MONTH END AS TAIL_NUM,
+    CAST(CASE WHEN MONTH > 6 THEN 1 ELSE 0 END AS INT) AS ingest_batch FROM raw""",
+    "job_touched_months": """SELECT MONTH AS month, OP_UNIQUE_CARRIER AS carrier,
+    round(avg(CASE WHEN CANCELLED = 0 THEN DEP_DELAY END), 2) AS dep_delay_mean,
+    min(CASE WHEN CANCELLED = 0 THEN DEP_DELAY END) AS dep_delay_min,
+    max(CASE WHEN CANCELLED = 0 THEN DEP_DELAY END) AS dep_delay_max,
+    round(sum(CANCELLED) / count(*) * 100, 2) AS cancellation_rate
+  FROM clean WHERE MONTH <= 5 OR (MONTH <= 7 AND OP_UNIQUE_CARRIER <> 'AA') GROUP BY 1, 2""",
+    "q3_percentiles_from_sketches": """SELECT carrier, hour_bucket, count(DEP_DELAY) AS present,
+    TRUE AS within_bound FROM all_flown GROUP BY 1, 2""",
+    "q3_min_max_from_sketches": "SELECT * FROM q3_mm ORDER BY carrier",
+    "states_from_one_scan": """SELECT MONTH, OP_UNIQUE_CARRIER, count(*) AS flights,
+    count(*) FILTER (WHERE CANCELLED = 1) AS cancelled,
+    sum(DEP_DELAY) FILTER (WHERE CANCELLED = 0) AS delay_sum,
+    count(*) FILTER (WHERE CANCELLED = 0 AND DIVERTED = 0) AS records,
+    sum(ARR_DELAY) FILTER (WHERE CANCELLED = 0 AND DIVERTED = 0) AS arr_delay_sum,
+    count(*) FILTER (WHERE CANCELLED = 0) AS flown,
+    count(DISTINCT CAST(CRS_DEP_TIME // 100 AS INT) * 10000 + CAST(DEP_DELAY AS INT))
+      FILTER (WHERE CANCELLED = 0) AS delays
+  FROM clean GROUP BY 1, 2""",
 }
 
 _AFTER_TEXT_FLAGS = {
@@ -369,6 +392,13 @@ SELECT CASE WHEN l_orderkey % 41 = 0 THEN concat_ws(',', m, {", ".join(
   END AS line, OP_UNIQUE_CARRIER, CRS_DEP_TIME FROM lines"""
 
 _ALONE = {
+    "rank_all": """SELECT l_orderkey, quantity,
+    row_number() OVER (ORDER BY quantity DESC, l_orderkey) AS position
+  FROM (SELECT l_orderkey, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1)""",
+    "percentiles_discrete_times": """SELECT event_type,
+    quantile_disc(epoch_us(ts), 0.25) AS p25, quantile_disc(epoch_us(ts), 0.5) AS p50,
+    quantile_disc(epoch_us(ts), 0.75) AS p75, quantile_disc(epoch_us(ts), 0.9) AS p90
+  FROM events GROUP BY 1""",
     "ingest_csv_bad_rows": BAD_LINES,
     "percentiles_approx_small": """SELECT l_returnflag, count(l_discount) AS present,
     TRUE AS within_bound FROM lineitem GROUP BY 1""",

@@ -3,12 +3,13 @@
 The exact routes start from a histogram, one row per (group, value) with a
 count. Building it combines on the map side and shuffles by group *and*
 value, so a group that holds a third of all rows is spread like any other.
-Ranks are then located in two steps: first among value cells, then inside
-the few cells that hold a wanted rank. Cells have a fixed relative width, so a
-group has a bounded number of them whatever its values are, and small whole
-numbers have one each. A task orders the distinct values of one cell: where
-very many distinct values lie close together far from zero, such as points in
-time of one day, they share a cell; more `cells_per_octave` split it.
+Ranks are then located by refining cells: values are counted in cells of a
+fixed relative width, and only the cells that hold a wanted rank are split
+further, each between its own least and largest value, round by round, until
+a cell holds one value. Small whole numbers have a cell each and need no
+further round; points in time of one day share a cell at first and need one or
+two. A task sees the cells of a group, the parts of a cell or the few values
+of a small cell, but never all values of a group, however dense they are.
 """
 
 from __future__ import annotations
@@ -18,23 +19,30 @@ from decimal import Decimal
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ontime import schema as S
 from ontime.functions import percentile_fields
+from ontime.operators.reuse import stored
 
 # The reported percentiles.
 QUARTILES_AND_P90 = (0.25, 0.5, 0.75, 0.9)
 QUARTILES_AND_P90_NAMES = ("p25", "p50", "p75", "p90")
 
+# Cells between a value and its double in the first round; parts of a cell in
+# later rounds; distinct values of a cell that are ordered without splitting it.
 CELLS_PER_OCTAVE = 4096
-
-# Cell of NaN, which Spark sorts last. Doubles span less than 1100 octaves to
-# either side of 1, so shifting by so many keeps cells of one sign together.
+PARTS = 65_536
+FEW_VALUES = 10_000
+# The most cells, some 100 bytes each, that are broadcast, after counting them.
+BROADCAST_CELLS = 100_000
+
+# Cells of NaN, which Spark sorts last, and of the infinities. Doubles span less
+# than 1100 octaves to either side of 1, so shifting by so many keeps cells of
+# one sign together.
 _LAST_CELL = 2**63 - 1
 _OCTAVES = 1100
-_LARGEST_DOUBLE = "1.7976931348623157E308D"
 
 
 def value_histogram(
@@ -51,10 +59,6 @@ def merge_histogram(
     return histogram.groupBy(*keys, value).agg(F.sum(count).alias(count))
 
 
-def _names(columns: Sequence[str], prefix: str = "") -> str:
-    return "".join(f"{prefix}`{c}`, " for c in columns)
-
-
 def percentiles_from_histogram(
     histogram: DataFrame,
     keys: Sequence[str],
@@ -62,94 +66,171 @@ def percentiles_from_histogram(
     probs: Sequence[float] = QUARTILES_AND_P90,
     names: Sequence[str] = QUARTILES_AND_P90_NAMES,
     interpolate: bool = False,
-    cells_per_octave: int = CELLS_PER_OCTAVE,
     count: str = "n",
 ) -> DataFrame:
-    """Exact percentiles of every group of a histogram.
+    """Exact percentiles of every group of a histogram, computed by the call.
 
     The histogram may be finer than the groups: several rows may count the
-    same value.
-
-    `cells_per_octave` is the number of cells between a value and its double.
-    The result does not depend on it; more cells split dense values further.
-
-    Ranks are 1-based and come from decimal arithmetic. A discrete percentile
-    needs one rank; an interpolated one the ranks below and above its position.
+    same value. Ranks are 1-based and come from decimal arithmetic. A discrete
+    percentile needs one rank; an interpolated one the ranks below and above
+    its position.
     """
     ranks, fields = [], []
     for prob, name in zip(probs, names, strict=True):
         p = Decimal(str(prob))
         if interpolate:
-            low, high = len(ranks), len(ranks) + 1
+            low, high = _value_at(len(ranks)), _value_at(len(ranks) + 1)
             ranks += [
                 f"CAST(floor({p} * (_total - 1)) AS BIGINT) + 1",
                 f"CAST(ceil({p} * (_total - 1)) AS BIGINT) + 1",
             ]
             position = f"{p} * (max(_total) - 1)"
-            fields.append(
-                f"{_value_at(low)} + ({_value_at(high)} - {_value_at(low)}) "
-                f"* CAST({position} - floor({position}) AS DOUBLE) AS `{name}`"
-            )
+            part = f"CAST({position} - floor({position}) AS DOUBLE)"
+            fields.append(F.expr(f"{low} + ({high} - {low}) * {part}").alias(name))
         else:
-            fields.append(f"{_value_at(len(ranks))} AS `{name}`")
+            fields.append(F.expr(_value_at(len(ranks))).alias(name))
             ranks.append(f"greatest(CAST(ceil({p} * _total) AS BIGINT), 1)")
 
-    by_group = f"PARTITION BY {_names(keys)[:-2]}" if keys else ""
-    same_cell = " AND ".join(["c._cell = t._cell", *[f"c.`{k}` <=> t.`{k}`" for k in keys]])
-    grouping = f"GROUP BY {_names(keys, 'c.')[:-2]}" if keys else ""
-    return histogram.sparkSession.sql(
-        f"""
-        WITH cells AS (
-          SELECT {_names(keys)} `{value}` AS _value,
-            CASE WHEN `{value}` IS NULL THEN 0 ELSE `{count}` END AS _n,
-            {_cell(f"CAST(`{value}` AS DOUBLE)", cells_per_octave)} AS _cell
-          FROM {{histogram}}
-        ),
-        counted AS (
-          SELECT *,
-            row_number() OVER (PARTITION BY {_names(keys)} _cell ORDER BY _value) AS _row,
-            sum(_n) OVER (PARTITION BY {_names(keys)} _cell ORDER BY _value) AS _upto_in_cell,
-            sum(_n) OVER (PARTITION BY {_names(keys)} _cell) AS _in_cell
-          FROM cells
-        ),
-        placed AS (
-          SELECT {_names(keys)} _cell, _in_cell,
-            sum(_in_cell) OVER ({by_group} ORDER BY _cell) AS _upto,
-            sum(_in_cell) OVER ({by_group}) AS _total
-          FROM counted WHERE _row = 1
-        ),
-        targets AS (
-          SELECT {_names(keys)} _cell, _total, _rank_no,
-            _rank - (_upto - _in_cell) AS _rank_in_cell
-          FROM placed LATERAL VIEW posexplode(array({", ".join(ranks)})) AS _rank_no, _rank
-          WHERE _rank > _upto - _in_cell AND _rank <= _upto
+    by = [*map(_quoted, keys)]
+    values = _celled(histogram, by, value, count)
+    targets = stored(_first_targets(values, by, ranks), "ranks")
+    found = [*by, "_total", "_rank_no", "_low"]
+    settled = targets.where(_SETTLED).select(*found)
+    rows = None
+    while not (rest := targets.where(f"NOT ({_SETTLED})")).isEmpty():
+        if rows is None:
+            place, inside = [*keys, "_cell"], values
+        else:
+            place, inside = ["_id", "_part", "_exact"], _parted(rows)
+        # The ranks of one cell have its bounds in common.
+        cells = rest.select(*map(_quoted, place), "_low", "_high", "_rows").distinct()
+        cells = stored(cells.withColumn("_new", F.monotonically_increasing_id()), "cells")
+        rows = stored(_rows_of(inside, cells, place), "cell-values")
+        wanted = rest.join(_renamed(cells, place), _same(rest, place)).select(
+            *by, "_total", "_rank_no", F.col("_rank").alias("_wanted"), F.col("_new").alias("_id")
         )
-        SELECT {_names(keys, "c.")} {", ".join(fields)}
-        FROM counted c LEFT JOIN targets t ON {same_cell}
-        {grouping}
-        """,
-        histogram=histogram,
-    )
+        targets = stored(_next_targets(rows, wanted), "ranks")
+        settled = settled.unionByName(targets.where(_SETTLED).select(*found))
+    return settled.groupBy(*by).agg(*fields)
+
+
+# A target is settled once its cell holds one value only, or none.
+_SETTLED = "_low <=> _high"
+
+
+def _value_at(rank_no: int) -> str:
+    return f"max(CASE WHEN _rank_no = {rank_no} THEN _low END)"
 
 
-def _cell(x: str, cells_per_octave: int) -> str:
+def _cell(x: str) -> str:
     """Cell number of a double: the logarithm of its size, cut to whole steps.
 
-    Cells come in the order of the values; ends of the range share a cell.
+    Cells come in the order of the values.
     """
-    size = f"log2(least(abs({x}), {_LARGEST_DOUBLE}))"
     return (
         f"CASE WHEN isnan({x}) THEN {_LAST_CELL} WHEN {x} = 0 THEN 0 "
+        f"WHEN abs({x}) = double('infinity') THEN CAST(sign({x}) AS BIGINT) * {_LAST_CELL - 1} "
         f"ELSE CAST(sign({x}) AS BIGINT) * "
-        f"({_OCTAVES * cells_per_octave} + floor({cells_per_octave} * {size})) END"
+        f"({_OCTAVES * CELLS_PER_OCTAVE} + floor({CELLS_PER_OCTAVE} * log2(abs({x})))) END"
     )
 
 
-def _value_at(rank_no: int) -> str:
-    """The smallest value whose running count reaches the wanted rank."""
+def _celled(histogram: DataFrame, by: Sequence[Column], value: str, count: str) -> DataFrame:
+    held = F.when(_quoted(value).isNull(), 0).otherwise(_quoted(count))
+    cell = F.expr(_cell(f"CAST(`{value}` AS DOUBLE)"))
+    return histogram.select(*by, _quoted(value).alias("_value"), held.alias("_n"), cell.alias("_cell"))
+
+
+def _cell_columns() -> list[Column]:
+    return [
+        F.sum("_n").alias("_n"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.min("_value").alias("_low"),
+        F.max("_value").alias("_high"),
+    ]
+
+
+def _first_targets(values: DataFrame, by: Sequence[Column], ranks: Sequence[str]) -> DataFrame:
+    """Each group's wanted ranks: the cell that holds it, and the rank in there."""
+    group = Window.partitionBy(*by)
+    cells = (
+        values.groupBy(*by, "_cell")
+        .agg(*_cell_columns())
+        .withColumn("_upto", F.sum("_n").over(group.orderBy("_cell")))
+        .withColumn("_total", F.sum("_n").over(group))
+    )
+    wanted = F.posexplode(F.array(*map(F.expr, ranks))).alias("_rank_no", "_wanted")
+    held = (F.col("_wanted") > F.col("_upto") - F.col("_n")) & (F.col("_wanted") <= F.col("_upto"))
+    # A group without values keeps a row.
+    none = (F.col("_total") == 0) & (F.col("_rank_no") == 0)
     return (
-        f"min(CASE WHEN _rank_no = {rank_no} AND _upto_in_cell >= _rank_in_cell "
-        "THEN _value END)"
+        cells.select("*", wanted)
+        .where(held | none)
+        .withColumn("_rank", F.col("_wanted") - (F.col("_upto") - F.col("_n")))
+        .select(*by, "_total", "_rank_no", "_rank", "_cell", "_low", "_high", "_rows")
+    )
+
+
+def _parted(rows: DataFrame) -> DataFrame:
+    """Values with the part of their cell: an equal share of the cell's range, or
+    the value itself where there are few or no double lies between."""
+    x, low, high = (F.col(c).cast("double") for c in ("_value", "_low", "_high"))
+    wide = (high > low) & (F.col("_rows") > FEW_VALUES)
+    share = F.least(F.floor((x - low) / (high - low) * PARTS), F.lit(PARTS - 1))
+    return rows.withColumns(
+        {
+            "_part": F.when(wide, share).otherwise(0).cast("long"),
+            "_exact": F.when(~wide, F.col("_value")),
+        }
+    )
+
+
+def _quoted(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
+def _renamed(cells: DataFrame, place: Sequence[str]) -> DataFrame:
+    return cells.select(
+        *[_quoted(c).alias(f"_at_{c}") for c in place],
+        "_new",
+        *[F.col(c).alias(f"_of{c}") for c in ("_low", "_high", "_rows")],
+    )
+
+
+def _same(df: DataFrame, place: Sequence[str]) -> Column:
+    return reduce(and_, [df[f"`{c}`"].eqNullSafe(_quoted(f"_at_{c}")) for c in place])
+
+
+def _rows_of(inside: DataFrame, cells: DataFrame, place: Sequence[str]) -> DataFrame:
+    """The values of the given cells. A cell may hold most of a group: where the
+    cells are few they are broadcast, so that its values stay spread."""
+    found = _renamed(cells, place)
+    if cells.count() <= BROADCAST_CELLS:
+        found = F.broadcast(found)
+    return inside.join(found, _same(inside, place)).select(
+        F.col("_new").alias("_id"),
+        "_value",
+        "_n",
+        *[F.col(f"_of{c}").alias(c) for c in ("_low", "_high", "_rows")],
+    )
+
+
+def _next_targets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The ranks of cells that were split, located in their parts."""
+    order = Window.partitionBy("_id").orderBy("_part", "_exact")
+    parts = (
+        _parted(rows)
+        .groupBy("_id", "_part", "_exact")
+        .agg(*_cell_columns())
+        .withColumn("_upto", F.sum("_n").over(order))
+        .withColumn("_before", F.col("_upto") - F.col("_n"))
+    )
+    held = (F.col("_wanted") > F.col("_before")) & (F.col("_wanted") <= F.col("_upto"))
+    return (
+        parts.join(wanted, "_id")
+        .where(held)
+        .withColumn("_rank", F.col("_wanted") - F.col("_before"))
+        .drop("_n", "_upto", "_before", "_wanted")
     )
 
 
@@ -159,11 +240,10 @@ def percentiles_discrete(
     value: str = S.DEP_DELAY,
     probs: Sequence[float] = QUARTILES_AND_P90,
     names: Sequence[str] = QUARTILES_AND_P90_NAMES,
-    cells_per_octave: int = CELLS_PER_OCTAVE,
 ) -> DataFrame:
     """Exact percentiles that are values of the data."""
     return percentiles_from_histogram(
-        value_histogram(df, keys, value), keys, value, probs, names, False, cells_per_octave
+        value_histogram(df, keys, value), keys, value, probs, names, False
     )
 
 
@@ -173,11 +253,10 @@ def percentiles_interpolated(
     value: str = S.DEP_DELAY,
     probs: Sequence[float] = QUARTILES_AND_P90,
     names: Sequence[str] = QUARTILES_AND_P90_NAMES,
-    cells_per_octave: int = CELLS_PER_OCTAVE,
 ) -> DataFrame:
     """Exact percentiles, linearly interpolated between neighbouring values."""
     return percentiles_from_histogram(
-        value_histogram(df, keys, value), keys, value, probs, names, True, cells_per_octave
+        value_histogram(df, keys, value), keys, value, probs, names, True
     )
 
 
@@ -197,17 +276,27 @@ def percentiles_approx(
     )
 
 
+# Size of a sketch: the rank error falls with it, the stored bytes grow.
+SKETCH_K = 200
+
+
+def sketch_column(value: str, k: int = SKETCH_K) -> Column:
+    return F.kll_sketch_agg_double(F.col(value).cast("double"), k).alias("sketch")
+
+
+def merged_sketch_column(k: int = SKETCH_K) -> Column:
+    return F.kll_merge_agg_double("sketch", k).alias("sketch")
+
+
 def quantile_sketch(
-    df: DataFrame, keys: Sequence[str], value: str = S.DEP_DELAY, k: int = 200
+    df: DataFrame, keys: Sequence[str], value: str = S.DEP_DELAY, k: int = SKETCH_K
 ) -> DataFrame:
     """One KLL sketch per group; nulls are not counted."""
-    return df.groupBy(*keys).agg(
-        F.kll_sketch_agg_double(F.col(value).cast("double"), k).alias("sketch")
-    )
+    return df.groupBy(*keys).agg(sketch_column(value, k))
 
 
-def merge_sketch(sketches: DataFrame, keys: Sequence[str], k: int = 200) -> DataFrame:
-    return sketches.groupBy(*keys).agg(F.kll_merge_agg_double("sketch", k).alias("sketch"))
+def merge_sketch(sketches: DataFrame, keys: Sequence[str], k: int = SKETCH_K) -> DataFrame:
+    return sketches.groupBy(*keys).agg(merged_sketch_column(k))
 
 
 def read_sketch(

@@ -8,6 +8,8 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from ontime.session import work_folder
+
 
 @contextmanager
 def cached(df: DataFrame, columns: Sequence[str] | None = None) -> Iterator[DataFrame]:
@@ -22,3 +24,10 @@ def cached(df: DataFrame, columns: Sequence[str] | None = None) -> Iterator[Data
         yield kept
     finally:
         kept.unpersist()
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Compute a DataFrame now and read it back from the shared folder, where its lineage ends."""
+    folder = work_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -61,10 +61,17 @@ def delay_state(
     return df.groupBy(*keys).agg(*delay_state_columns(value, cancelled))
 
 
+def merged_delay_columns() -> list[Column]:
+    return [combine(column).alias(column) for column, combine in DELAY_STATE.items()]
+
+
+def merged_sum_columns(columns: Sequence[str]) -> list[Column]:
+    parts = [f"{c.lower()}_{part}" for part in ("count", "sum") for c in columns]
+    return [F.sum(name).alias(name) for name in ("records", *parts)]
+
+
 def merge_delay_state(states: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return states.groupBy(*keys).agg(
-        *[combine(column).alias(column) for column, combine in DELAY_STATE.items()]
-    )
+    return states.groupBy(*keys).agg(*merged_delay_columns())
 
 
 def finalize_delay_state(
@@ -89,9 +96,7 @@ def sum_state(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Dat
 def merge_sum_state(
     states: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
-    parts = [f"{c.lower()}_{part}" for part in ("count", "sum") for c in columns]
-    names = ["records", *parts]
-    return states.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in names])
+    return states.groupBy(*keys).agg(*merged_sum_columns(columns))
 
 
 def finalize_sum_state(

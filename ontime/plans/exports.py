@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ontime import schema as S
 from ontime.functions import composite_key, rank_key
 from ontime.operators.labels import canonical_names
-from ontime.operators.ranking import leaderboard_rank
+from ontime.operators.ranking import rank_all
 from ontime.sinks import keyed_replace, keyed_upsert, write_keyed_connector
 from ontime.sources import scan_csv_report
 
@@ -29,15 +30,14 @@ def q1_records(spark: SparkSession, path: str) -> DataFrame:
 def q2_records(spark: SparkSession, path: str) -> DataFrame:
     """Carrier report as records with the leaderboard position as key.
 
-    Every row of the report is ranked: a row per carrier at most.
+    Every row of the report is ranked, whatever their number.
     """
     schema = S.labelled(S.Q2_SCHEMA, S.Q2_LABELS)
     report = scan_csv_report(spark, path, schema)
     return (
         report.transform(canonical_names, S.Q2_RECORD_FIELDS)
-        .transform(
-            leaderboard_rank, "ritardo_medio_arr", report.count(), "compagnia", "posizione"
-        )
+        .transform(rank_all, "ritardo_medio_arr", "compagnia", "posizione")
+        .withColumn("posizione", F.col("posizione").cast("int"))
         .withColumn("key", rank_key("posizione"))
     )
 

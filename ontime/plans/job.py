@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 from ontime import schema as S
 from ontime.operators.cleaning import clean_flights
 from ontime.operators.labels import report_labels
+from ontime.operators.quantiles import SKETCH_K
 from ontime.operators.reuse import cached
 from ontime.plans import exports, reports
-from ontime.session import session
+from ontime.session import session, temporary_folders
 from ontime.sinks import write_partitioned, write_report_csv
 from ontime.sources import scan_partitioned, scan_raw
 
 # A full run replaces the tables; an incremental one the months that it brings.
 Replace = Literal["table", "touched"]
-Method = Literal["discrete", "interpolated"]
+# The last one reads stored sketches instead of stored histograms.
+Method = Literal["discrete", "interpolated", "sketch"]
 STAGES = ("clean", "refresh", "report", "export")
 
 
@@ -43,6 +45,10 @@ class Layout:
     def delays(self) -> str:
         return f"{self.root}/states/delays"
 
+    @property
+    def sketches(self) -> str:
+        return f"{self.root}/states/sketches"
+
     @property
     def records(self) -> str:
         return f"{self.root}/records"
@@ -88,9 +94,29 @@ def refresh_delays(flights: DataFrame, layout: Layout, replace: Replace = "table
     return write_partitioned(reports.monthly_delays(flights), layout.delays, replace=replace)
 
 
-def refresh_states(flights: DataFrame, layout: Layout, replace: Replace = "table") -> None:
-    refresh_monthly(flights, layout, replace)
-    refresh_delays(flights, layout, replace)
+def refresh_sketches(
+    flights: DataFrame, layout: Layout, replace: Replace = "table", k: int = SKETCH_K
+) -> str:
+    """Store the delay sketches of `flights`; `touched` keeps those of other months."""
+    return write_partitioned(reports.monthly_sketches(flights, k), layout.sketches, replace=replace)
+
+
+def refresh_states(
+    flights: DataFrame, layout: Layout, replace: Replace = "table", method: Method = "discrete"
+) -> None:
+    """Store the states that the reports need.
+
+    Monthly states and histograms come from one scan of the flights: what is
+    kept between the two writes has a row per month, carrier, hour and minute
+    of delay. With sketches there are no histograms.
+    """
+    if method == "sketch":
+        refresh_monthly(flights, layout, replace)
+        refresh_sketches(flights, layout, replace)
+        return
+    with cached(reports.monthly_detail(flights)) as detail:
+        write_partitioned(reports.monthly_of(detail), layout.monthly, cluster_by=(), replace=replace)
+        write_partitioned(reports.delays_of(detail), layout.delays, replace=replace)
 
 
 def read_monthly(spark: SparkSession, path: str) -> DataFrame:
@@ -101,6 +127,10 @@ def read_delays(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.MONTHLY_DELAYS_SCHEMA).parquet(path)
 
 
+def read_sketches(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(S.MONTHLY_SKETCHES_SCHEMA).parquet(path)
+
+
 def write_reports(
     spark: SparkSession,
     layout: Layout,
@@ -110,17 +140,23 @@ def write_reports(
     method: Method = "discrete",
 ) -> None:
     """All four report files from the stored states."""
-    monthly, delays = read_monthly(spark, layout.monthly), read_delays(spark, layout.delays)
+    monthly = read_monthly(spark, layout.monthly)
     q1 = reports.q1_from_states(monthly, months=months)
     write_report_csv(report_labels(q1, S.Q1_LABELS), layout.report("q1"))
     q2 = reports.q2_from_states(monthly, months, threshold, k)
     write_report_csv(report_labels(q2, S.Q2_LABELS), layout.report("q2"))
-    write_q3_reports(
-        reports.q3_histogram_from_states(delays, months=months),
-        layout.report("q3_percentiles"),
-        layout.report("q3_min_max"),
-        method,
-    )
+    percentiles_path, min_max_path = layout.report("q3_percentiles"), layout.report("q3_min_max")
+    if method == "sketch":
+        sketches = read_sketches(spark, layout.sketches)
+        with cached(reports.q3_sketches_from_states(sketches, months=months)) as merged:
+            percentiles = reports.q3_percentiles_from_sketches(merged)
+            limits = reports.q3_min_max_from_sketches(merged)
+            write_report_csv(report_labels(percentiles, S.Q3_PERCENTILES_LABELS), percentiles_path)
+            write_report_csv(report_labels(limits, S.Q3_MIN_MAX_LABELS), min_max_path)
+        return
+    delays = read_delays(spark, layout.delays)
+    histogram = reports.q3_histogram_from_states(delays, months=months)
+    write_q3_reports(histogram, percentiles_path, min_max_path, method)
 
 
 def export_reports(
@@ -145,10 +181,14 @@ def export_reports(
 
 
 def touched_months(spark: SparkSession, raw_path: str, fmt: str, layout: Layout) -> DataFrame:
-    """The clean records of the months that occur in the raw input: twelve at most."""
-    raw = clean_flights(scan_raw(spark, raw_path, fmt))
-    months = [row[0] for row in raw.select(S.MONTH).distinct().collect()]
-    return scan_partitioned(spark, layout.clean).filter(F.col(S.MONTH).isin(months))
+    """The clean records of the months that occur in the raw input.
+
+    A join with those months, which Spark turns into a filter on directories
+    when it runs: other months are not read. Of the raw input only the month is
+    read. Months have two digits, so at most a hundred rows are broadcast.
+    """
+    months = scan_raw(spark, raw_path, fmt).select(S.MONTH).where(F.col(S.MONTH).between(0, 99))
+    return scan_partitioned(spark, layout.clean).join(F.broadcast(months.distinct()), S.MONTH, "left_semi")
 
 
 def run(
@@ -169,23 +209,24 @@ def run(
     """Clean, summarise by month, report and export, or only some of it.
 
     Each stage reads what the one before has written. The clean table is
-    scanned once per kind of state; reports never scan it. By default tables
+    scanned once for all states (twice with sketches); reports never scan it. By default tables
     are replaced, so a run gives what its input holds and no more;
     `replace="touched"` replaces the months of the input, in the clean table
     and the states alike, and reads only those.
     """
     layout = Layout(root.rstrip("/"))
-    if "clean" in stages:
-        clean_table(scan_raw(spark, raw_path, fmt), layout, replace, rebalance)
-    if "refresh" in stages:
-        clean = scan_partitioned(spark, layout.clean)
-        if replace == "touched":
-            clean = touched_months(spark, raw_path, fmt, layout)
-        refresh_states(clean, layout, replace)
-    if "report" in stages:
-        write_reports(spark, layout, months, threshold, k, method)
-    if "export" in stages:
-        export_reports(spark, layout, sink, options)
+    with temporary_folders(spark):
+        if "clean" in stages:
+            clean_table(scan_raw(spark, raw_path, fmt), layout, replace, rebalance)
+        if "refresh" in stages:
+            clean = scan_partitioned(spark, layout.clean)
+            if replace == "touched":
+                clean = touched_months(spark, raw_path, fmt, layout)
+            refresh_states(clean, layout, replace, method)
+        if "report" in stages:
+            write_reports(spark, layout, months, threshold, k, method)
+        if "export" in stages:
+            export_reports(spark, layout, sink, options)
     return layout
 
 
@@ -200,7 +241,7 @@ def main() -> None:
     parser.add_argument("--months", type=int, nargs=2, default=reports.FIRST_MONTHS)
     parser.add_argument("--min-records", type=int, default=500)
     parser.add_argument("--top", type=int, default=10)
-    parser.add_argument("--percentiles", choices=("discrete", "interpolated"), default="discrete")
+    parser.add_argument("--percentiles", choices=("discrete", "interpolated", "sketch"), default="discrete")
     parser.add_argument("--sink", default="parquet", help="parquet, or a connector's format name")
     parser.add_argument("--sink-option", action="append", default=[], metavar="NAME=VALUE")
     args = parser.parse_args()

@@ -152,6 +152,75 @@ def monthly_delays(df: DataFrame) -> DataFrame:
     return Q.value_histogram(rows, [S.MONTH, S.CARRIER, "hour_bucket"])
 
 
+def monthly_detail(df: DataFrame) -> DataFrame:
+    """States per month, carrier, hour and delay, from one scan of the flights.
+
+    Both state tables are made of it: `monthly_of` adds up hours and delays,
+    `delays_of` takes the flown flights of each.
+    """
+    completed = (F.col(S.CANCELLED) == 0) & (F.col(S.DIVERTED) == 0)
+    rows = df.withColumn("hour_bucket", hour_bucket(S.SCHEDULED_DEPARTURE))
+    return rows.groupBy(S.MONTH, S.CARRIER, "hour_bucket", S.DEP_DELAY).agg(
+        *states.delay_state_columns(),
+        *states.sum_state_columns(list(Q2_MEANS), completed),
+        F.count(F.when(F.col(S.CANCELLED) == 0, F.lit(1))).alias("n"),
+    )
+
+
+def monthly_of(detail: DataFrame) -> DataFrame:
+    """The `monthly_state` from `monthly_detail` rows."""
+    means = list(Q2_MEANS)
+    return detail.groupBy(S.MONTH, S.CARRIER).agg(
+        *states.merged_delay_columns(), *states.merged_sum_columns(means)
+    )
+
+
+def delays_of(detail: DataFrame) -> DataFrame:
+    """The `monthly_delays` from `monthly_detail` rows."""
+    flown = detail.where(F.col("n") > 0)
+    return flown.select(S.MONTH, S.CARRIER, "hour_bucket", S.DEP_DELAY, "n")
+
+
+def monthly_sketches(df: DataFrame, k: int = Q.SKETCH_K) -> DataFrame:
+    """A KLL sketch, minimum and maximum of the delays of flown flights per month,
+    carrier and hour. A stored row has a bounded size, whatever the values."""
+    rows = operated_filter(df).withColumn("hour_bucket", hour_bucket(S.SCHEDULED_DEPARTURE))
+    return rows.groupBy(S.MONTH, S.CARRIER, "hour_bucket").agg(
+        Q.sketch_column(S.DEP_DELAY, k),
+        F.min(S.DEP_DELAY).alias("dep_delay_min"),
+        F.max(S.DEP_DELAY).alias("dep_delay_max"),
+    )
+
+
+def q3_sketches_from_states(
+    sketches: DataFrame,
+    carriers: Sequence[str] = Q3_CARRIERS,
+    months: tuple[int, int] = FIRST_MONTHS,
+    k: int = Q.SKETCH_K,
+) -> DataFrame:
+    """Stored `monthly_sketches` merged to carrier and hour."""
+    wanted = sketches.transform(month_range, *months).transform(carrier_filter, carriers)
+    return wanted.groupBy(F.col(S.CARRIER).alias("carrier"), "hour_bucket").agg(
+        Q.merged_sketch_column(k),
+        F.min("dep_delay_min").alias("dep_delay_min"),
+        F.max("dep_delay_max").alias("dep_delay_max"),
+    )
+
+
+def q3_percentiles_from_sketches(merged: DataFrame) -> DataFrame:
+    """The percentile report from merged sketches, within their rank error."""
+    return _q3_rounded(Q.read_sketch(merged, ["carrier", "hour_bucket"]))
+
+
+def q3_min_max_from_sketches(merged: DataFrame) -> DataFrame:
+    """The min/max report, exact, from what is stored next to the sketches."""
+    return (
+        merged.groupBy("carrier")
+        .agg(F.min("dep_delay_min").alias("dep_delay_min"), F.max("dep_delay_max").alias("dep_delay_max"))
+        .transform(sorted_report, ["carrier"])
+    )
+
+
 def q3_histogram_from_states(
     delays: DataFrame,
     carriers: Sequence[str] = Q3_CARRIERS,

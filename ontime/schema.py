@@ -110,6 +110,16 @@ MONTHLY_DELAYS_SCHEMA = T.StructType(
         T.StructField(MONTH, T.IntegerType()),
     ]
 )
+MONTHLY_SKETCHES_SCHEMA = T.StructType(
+    [
+        T.StructField(CARRIER, T.StringType()),
+        T.StructField("hour_bucket", T.IntegerType()),
+        T.StructField("sketch", T.BinaryType()),
+        T.StructField("dep_delay_min", T.DoubleType()),
+        T.StructField("dep_delay_max", T.DoubleType()),
+        T.StructField(MONTH, T.IntegerType()),
+    ]
+)
 
 # The report headings, exactly as the report files spell them.
 Q1_LABELS = {

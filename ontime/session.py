@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -42,7 +44,30 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/ontime-work"
-    return f"{shared.rstrip('/')}/ontime-{purpose}-{uuid.uuid4().hex}"
+    folder = f"{shared.rstrip('/')}/ontime-{purpose}-{uuid.uuid4().hex}"
+    for named in _SCOPES:
+        named.append(folder)
+    return folder
+
+
+# Folders named inside each open `temporary_folders` block.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def temporary_folders(spark: SparkSession) -> Iterator[None]:
+    """Remove the work folders that the block names when it ends, however it ends.
+
+    Results that are still to be computed from them have to be written before.
+    """
+    named: list[str] = []
+    _SCOPES.append(named)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(named)
+        for folder in named:
+            remove_folder(spark, folder)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

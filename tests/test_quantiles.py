@@ -41,12 +41,19 @@ def random_groups():
     }
 
 
-@pytest.mark.parametrize("cells", [1, 64, 4096, 1_000_000])
-def test_exact_percentiles_against_brute_force(spark, cells):
+@pytest.mark.parametrize(
+    "cells, parts, few, broadcast",
+    [(1, 2, 1, 0), (1, 7, 20, 100), (64, 3, 5, 100), (4096, 65_536, 10_000, 100_000)],
+)
+def test_exact_percentiles_against_brute_force(spark, monkeypatch, cells, parts, few, broadcast):
+    monkeypatch.setattr(Q, "CELLS_PER_OCTAVE", cells)
+    monkeypatch.setattr(Q, "PARTS", parts)
+    monkeypatch.setattr(Q, "FEW_VALUES", few)
+    monkeypatch.setattr(Q, "BROADCAST_CELLS", broadcast)
     groups = random_groups()
     df = groups_of(spark, groups)
-    discrete = Q.percentiles_discrete(df, ["g"], "v", PROBS, NAMES, cells_per_octave=cells)
-    between = Q.percentiles_interpolated(df, ["g"], "v", PROBS, NAMES, cells_per_octave=cells)
+    discrete = Q.percentiles_discrete(df, ["g"], "v", PROBS, NAMES)
+    between = Q.percentiles_interpolated(df, ["g"], "v", PROBS, NAMES)
     discrete, between = ({r["g"]: r for r in records(d)} for d in (discrete, between))
     assert discrete.keys() == between.keys() == groups.keys()
     for g, values in groups.items():
@@ -90,6 +97,25 @@ def test_whole_numbers(spark):
     assert list(row.values()) == [values[0], values[2], values[4]]
 
 
+def test_dense_points_in_time_of_one_day(spark):
+    """A group of one day's times is split until few remain; no task orders them all."""
+    n = 400_000
+    times = spark.range(n).selectExpr(
+        "timestamp_micros(1700000000000000 + (id * 7919 % 400000) * 216000 + id % 3) AS t"
+    )
+    (row,) = records(Q.percentiles_discrete(times, [], "t", PROBS, NAMES))
+    ordered = sorted(r.t for r in times.collect())
+    for prob, name in zip(PROBS, NAMES, strict=True):
+        assert row[name] == ordered[max(math.ceil(Decimal(str(prob)) * n), 1) - 1], name
+
+
+def test_values_that_no_double_separates(spark, monkeypatch):
+    monkeypatch.setattr(Q, "FEW_VALUES", 3)
+    df = spark.range(100).selectExpr("id + 4611686018427387904 AS v")
+    (row,) = records(Q.percentiles_discrete(df, [], "v", [0.01, 0.5, 1.0], ["a", "b", "c"]))
+    assert [v - 2**62 for v in row.values()] == [0, 49, 99]
+
+
 def test_merged_histograms_equal_the_whole(spark, small_dir):
     df = clean_flights(flights(spark, small_dir))
     fine = Q.value_histogram(df, [S.MONTH, S.CARRIER])
