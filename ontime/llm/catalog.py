@@ -57,8 +57,7 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_chat_calls")
 def chat_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls, results = chat.conversation_calls(table(spark, sf_dir, "conversations"))
-    return chat.linked_calls(spark, calls, results, chat.REPLY_SCHEMAS)
+    return chat.formatted_turns(spark, table(spark, sf_dir, "conversations"))
 
 
 @query("op5_pseudonyms")

@@ -37,28 +37,36 @@ LEFT JOIN ends e ON s.source IS NOT DISTINCT FROM e.source
 """
 
 CHAT = r"""
-WITH replies AS (
-  SELECT conv_id, turn, min(text) AS text FROM conversations
-  WHERE role = 'assistant' GROUP BY conv_id, turn),
+WITH asked AS (SELECT DISTINCT conv_id, turn, text FROM conversations WHERE role = 'user'),
 starts AS (
-  SELECT r.*, p.prompt, p.prompt IS NOT NULL AS answered,
-    NOT EXISTS (SELECT 1 FROM replies q WHERE q.conv_id = r.conv_id AND q.turn = r.turn - 2) AS first
-  FROM replies r LEFT JOIN (
-    SELECT conv_id, turn + 1 AS turn, min(text) AS prompt FROM conversations GROUP BY ALL) p
-  USING (conv_id, turn)),
+  SELECT *, EXISTS (SELECT 1 FROM asked q WHERE q.conv_id = a.conv_id AND q.turn = a.turn - 2) AS follows FROM asked a),
 runs AS (
-  SELECT *, max(CASE WHEN first THEN turn END) OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS head FROM starts),
+  SELECT *, max(CASE WHEN NOT follows THEN turn END) OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS head FROM starts),
 calls AS (
-  SELECT conv_id, turn, text, 'call-' || conv_id || '-' || turn AS call_id,
-    CASE WHEN answered THEN 'reply' ELSE 'open' END AS tool,
-    CASE WHEN answered THEN '{"prompt":' || CAST(to_json(prompt) AS VARCHAR) || ',"turn":' || turn || '}'
-      ELSE '{"turn":' || turn || '}' END AS arguments,
+  SELECT conv_id, turn, 'call-' || conv_id || '-' || turn AS call_id,
+    CASE WHEN turn > 1 THEN 'follow' ELSE 'open' END AS tool,
+    '{' || CASE WHEN follows THEN '"after":"call-' || conv_id || '-' || (turn - 2) || '",' ELSE '' END
+      || '"prompt":' || CAST(to_json(text) AS VARCHAR) || ',"turn":' || turn || '}' AS arguments,
+    concat_ws(',', CASE WHEN turn > 1 AND NOT follows THEN 'after' WHEN turn <= 1 AND follows THEN 'after' END,
+      CASE WHEN length(text) NOT BETWEEN 1 AND 400 THEN 'prompt' END) AS errors,
     CAST((turn - head) // 2 AS BIGINT) AS depth
-  FROM runs)
-SELECT conv_id AS thread, call_id, depth, 'ok' AS status, '' AS errors,
-  '{"arguments":' || CAST(to_json(arguments) AS VARCHAR) || ',"id":"' || call_id || '","result":'
-    || CAST(to_json(text) AS VARCHAR) || ',"tool":"' || tool || '"}' AS json
-FROM calls
+  FROM runs),
+answers AS (
+  SELECT conv_id, turn AS position, text, 'call-' || conv_id || '-' || (turn - 1) AS call_id
+  FROM conversations WHERE role = 'assistant'),
+linked AS (
+  SELECT coalesce(c.conv_id, a.conv_id) AS thread, coalesce(c.call_id, a.call_id) AS call_id, tool, position, depth,
+    CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN errors <> '' THEN 'invalid'
+      WHEN a.call_id IS NULL THEN 'unanswered' ELSE 'ok' END AS status, errors, arguments, text
+  FROM calls c FULL JOIN answers a USING (conv_id, call_id))
+SELECT thread, call_id, tool, position, depth, status, errors,
+  '{"arguments":' || coalesce(CAST(to_json(arguments) AS VARCHAR), 'null') || ',"id":"' || call_id || '","result":'
+    || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"tool":' || coalesce('"' || tool || '"', 'null') || '}' AS json
+FROM linked
+UNION ALL
+SELECT conv_id, NULL, NULL, turn, NULL, 'message', NULL,
+  '{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || '}'
+FROM conversations WHERE coalesce(role, '') NOT IN ('user', 'assistant')
 """
 
 URLS = r"""
@@ -184,35 +192,45 @@ SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <
 
 PHRASES = r"""
 WITH pieces AS (
-  SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
     SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
       '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
-grams AS (
-  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: list_slice(w, i, i + k - 1))) AS g
-  FROM pieces, (VALUES (1), (2), (3)) sizes(k) WHERE len(w) >= k),
-f AS (SELECT lang, k, g, CAST(count(*) AS HUGEINT) AS n FROM grams GROUP BY lang, k, g),
-totals AS (SELECT lang, sum(n) AS n FROM f WHERE k = 1 GROUP BY lang),
-candidates AS (SELECT lang, k, g, n AS a FROM f WHERE k > 1 AND n >= 10),
-cuts AS (
-  SELECT c.lang, c.k, c.g, c.a, cut, x.n AS l, y.n AS r, CAST(1000000 AS HUGEINT) * c.a * c.a // (x.n * y.n) AS score
-  FROM candidates c JOIN (VALUES (1), (2)) cuts(cut) ON cut < c.k
-  JOIN f x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, cut)
-  JOIN f y ON y.lang = c.lang AND y.g = list_slice(c.g, cut + 1, c.k)),
-least AS (
-  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+one AS (SELECT lang, g, CAST(count(*) AS HUGEINT) AS n FROM (SELECT lang, unnest(w) AS g FROM pieces) x GROUP BY lang, g),
+two AS (
+  SELECT lang, g, CAST(count(*) AS HUGEINT) AS n FROM (
+    SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
+    FROM pieces WHERE len(w) > 1) x GROUP BY lang, g),
+three AS (
+  SELECT lang, g, CAST(count(*) AS HUGEINT) AS n FROM (
+    SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g
+    FROM pieces WHERE len(w) > 2) x GROUP BY lang, g HAVING count(*) >= 10),
+parts AS (
+  SELECT lang, g, n, split_part(g, ' ', 1) AS head, split_part(g, ' ', 3) AS last,
+    split_part(g, ' ', 1) || ' ' || split_part(g, ' ', 2) AS start, split_part(g, ' ', 2) || ' ' || split_part(g, ' ', 3) AS rest
+  FROM three),
 inside AS (
-  SELECT lang, part, max(a) AS longer FROM (
-    SELECT lang, a, unnest([list_slice(g, 1, 2), list_slice(g, 2, 3)]) AS part FROM candidates WHERE k = 3)
-  GROUP BY lang, part),
-left_over AS (
-  SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM least
-  WHERE NOT EXISTS (
-    SELECT 1 FROM inside i WHERE i.lang = least.lang AND i.part = least.g AND 100 * i.longer >= 50 * least.a)),
+  SELECT lang, part, max(n) AS longer FROM (
+    SELECT lang, start AS part, n FROM parts UNION ALL SELECT lang, rest, n FROM parts) x GROUP BY lang, part),
+cuts AS (
+  SELECT c.lang, c.g, c.n AS a, 1 AS cut, x.n AS l, y.n AS r
+  FROM two c JOIN one x ON x.lang = c.lang AND x.g = split_part(c.g, ' ', 1)
+  JOIN one y ON y.lang = c.lang AND y.g = split_part(c.g, ' ', 2)
+  LEFT JOIN inside i ON i.lang = c.lang AND i.part = c.g
+  WHERE c.n >= 10 AND (i.longer IS NULL OR 100 * i.longer < 50 * c.n)
+  UNION ALL
+  SELECT c.lang, c.g, c.n, 1, x.n, y.n FROM parts c
+  JOIN one x ON x.lang = c.lang AND x.g = c.head JOIN two y ON y.lang = c.lang AND y.g = c.rest
+  UNION ALL
+  SELECT c.lang, c.g, c.n, 2, x.n, y.n FROM parts c
+  JOIN two x ON x.lang = c.lang AND x.g = c.start JOIN one y ON y.lang = c.lang AND y.g = c.last),
+scored AS (SELECT *, CAST(1000000 AS HUGEINT) * a * a // (l * r) AS score FROM cuts),
+least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM left_over)
-SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
-  CAST(t.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM least),
+totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM one GROUP BY lang)
+SELECT lang, rank, g AS phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  t.n, CAST(score AS BIGINT) AS score
 FROM ranked JOIN totals t USING (lang) WHERE rank <= 2000
 """
 
