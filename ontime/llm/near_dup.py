@@ -11,16 +11,22 @@ the estimate is unbiased with SuperMinHash's lower variance.
 
 Classes that agree in all slots of a band are candidates. With 38 bands of 5
 slots, two sets of similarity 0.8 miss each other with probability 3e-7 if
-slots are taken as independent. They are not in tiny sets: in a simulation of
-sets of 4 and 5 shingles, 8 of 600,000 such pairs were missed (1.3e-5).
+slots are taken as independent; in tiny sets they are not, so sets of up to
+`TINY_SET` shingles are all candidates of each other.
 
 A bucket never gives all its pairs. First each member meets one member of the
 bucket that is picked by a hash, another one in each band; links are confirmed
-on full sets, and labels spread over them. Then, in buckets that still hold
-members of several groups, those outside the bucket's largest group are
-compared with all members of other groups, blocks of fixed size at a time,
-and give only links that join groups. So groups are as if all candidates had
-been compared, while a large group of near copies costs few pairs.
+on full sets, and labels spread over them. Then the members of buckets that
+still hold several groups are compared by prefix filtering: in an order of
+shingles from rare to frequent, two sets that are similar enough share one of
+the first few shingles of either, fewer of the smaller one. Documents that
+have a template in common but are not similar enough have none in common
+there, and meet nobody. What does meet is compared in blocks of fixed size:
+those outside the largest group of a shingle with all members of other groups,
+giving only links that join groups. So groups are as if all candidates had
+been compared, while a large group of near copies costs few pairs. The order
+comes from counts over a bounded sample of the sets; it has no influence on
+the result, only on how many meet.
 
 Defined results: null and blank texts have no shingles and are linked with
 nothing; texts with fewer words than a shingle are one shingle; repeated rows
@@ -36,6 +42,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +57,12 @@ BLOCK_MEMBERS = 256
 # Signatures of sets up to this size are made from all ranks at once.
 SMALL_SET = 48
 CACHED_WORDS = 400_000
+# Sets that are compared with all others of their size, band or no band.
+TINY_SET = 25
+# Sets whose shingles are counted for an order, and shingles that have a place
+# in it by their count, 16 bytes each, which go to every task.
+SAMPLE_SETS = 50_000
+FREQUENT_SHINGLES = 500_000
 
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -284,24 +297,107 @@ def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def open_clusters(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets that hold several groups, by the bucket's largest group.
+def open_members(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
+    """(rep, label) of sets in buckets that hold several groups, and of tiny sets."""
+    named = labelled(members.where("members > 2").select("bucket", "rep"), labels)
+    several = (
+        named.groupBy(F.col("bucket").alias("g_bucket"))
+        .agg(F.min("label").alias("least"), F.max("label").alias("greatest"))
+        .where("least <> greatest")
+        .select("g_bucket")
+    )
+    met = named.join(several, F.col("bucket") == F.col("g_bucket"), "left_semi").select("rep", "label")
+    tiny = labelled(reps.where(F.col("n_shingles") <= TINY_SET).select("rep"), labels)
+    return met.union(tiny).distinct()
+
+
+def frequent_shingles(sets: DataFrame, n_sets: int) -> np.ndarray:
+    """The shingles of most sets in a sample, from less to more frequent."""
+    every = max(1, n_sets // SAMPLE_SETS)
+    counted = (
+        sets.where(F.pmod(F.xxhash64("rep"), F.lit(every)) == 0)
+        .select(F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .count()
+        .where("count > 1")
+    )
+    rows = counted.orderBy(F.desc("count"), "shingle").limit(FREQUENT_SHINGLES).toArrow()
+    return rows.column("shingle").to_numpy()[::-1].astype(np.int64)
+
+
+def prefix_lengths(size: int, percent: int) -> tuple[int, int]:
+    """Of a set, how many first shingles a larger and a smaller partner may look at.
+
+    A set of similarity `percent` and of at least this size shares so many
+    shingles that one is among the first few of this one; as the larger one of
+    a pair, a set needs some more.
+    """
+    as_smaller = size + (-2 * percent * size) // (100 + percent) + 1
+    as_larger = size + (-percent * size) // 100 + 1
+    return as_smaller, as_larger
+
+
+PREFIX = "token long, rep long, label long, n_shingles long, smaller boolean"
+
+
+def prefix_rows(opened: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
+    """The first shingles of each open set in the order from rare to frequent."""
+    by_value = np.argsort(frequent)
+    known = frequent[by_value]
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens, owners, smaller = [], [], []
+            for row, shingles in enumerate(batch.column(2)):
+                own = shingles.values.to_numpy()
+                order = np.arange(len(own))
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                    rank = np.where(known[at] == own, by_value[at] + 1, 0)
+                    order = np.lexsort((own, rank))
+                as_smaller, as_larger = prefix_lengths(len(own), percent)
+                tokens.append(own[order[:as_larger]])
+                owners.append(np.full(len(tokens[-1]), row))
+                smaller.append(np.arange(len(tokens[-1])) < as_smaller)
+            if not tokens:
+                continue
+            owner = pa.array(np.concatenate(owners))
+            sizes = pc.list_value_length(batch.column(2)).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(tokens)),
+                    batch.column(0).take(owner),
+                    batch.column(1).take(owner),
+                    sizes.take(owner),
+                    pa.array(np.concatenate(smaller)),
+                ],
+                ["token", "rep", "label", "n_shingles", "smaller"],
+            )
+
+    return opened.select("rep", "label", "shingles").mapInArrow(first, PREFIX)
 
-    (cluster, rep, label, n_shingles, outside): once for each cluster, which is
-    a group together with all that meets it in a bucket where it is the
-    largest; `outside` are those of other groups.
+
+def open_clusters(prefixes: DataFrame) -> DataFrame:
+    """Sets that share a first shingle with another group, by that shingle's largest group.
+
+    (cluster, rep, label, outside): once for each cluster, which is a group
+    together with all that meets it at a shingle where it is the largest;
+    `outside` are those of other groups.
     """
-    named = labelled(members.where("members > 2").select("bucket", "rep", "n_shingles"), labels)
-    groups = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    groups = prefixes.groupBy("token", "label").agg(F.count("*").alias("n"), F.max("smaller").alias("smaller"))
     largest = (
-        groups.groupBy(F.col("bucket").alias("g_bucket"))
-        .agg(F.count("*").alias("groups"), F.min(F.struct((-F.col("n")).alias("n"), "label")).alias("main"))
-        .where("groups > 1")
-        .select("g_bucket", F.col("main.label").alias("cluster"))
+        groups.groupBy(F.col("token").alias("g_token"))
+        .agg(
+            F.count("*").alias("groups"),
+            F.max("smaller").alias("smaller"),
+            F.min(F.struct((-F.col("n")).alias("n"), "label")).alias("main"),
+        )
+        .where("groups > 1 AND smaller")
+        .select("g_token", F.col("main.label").alias("cluster"))
     )
     return (
-        named.join(largest, F.col("bucket") == F.col("g_bucket"))
-        .select("cluster", "rep", "label", "n_shingles", (F.col("label") != F.col("cluster")).alias("outside"))
+        prefixes.join(largest, F.col("token") == F.col("g_token"))
+        .select("cluster", "rep", "label", (F.col("label") != F.col("cluster")).alias("outside"))
         .distinct()
     )
 
@@ -393,12 +489,17 @@ def near_duplicates(
     )
     pairs = pairs.where(may_link("n_shingles", "picked_shingles", percent)).select("a", "b").distinct()
     pairs, _ = materialise(spark, pairs, "pairs")
-    wanted = members.select("rep").distinct()
+    tiny = reps.where(F.col("n_shingles") <= TINY_SET).select("rep")
+    wanted = members.select("rep").union(tiny).distinct()
     sets, _ = materialise(spark, sets_of(docs, wanted, shingle_words), "sets")
     edges = confirmed(pairs, sets, percent).union(shared_ids(spark, rows))
     first = components(spark, edges, "groups")
     first, _ = materialise(spark, first, "labels")
-    clusters, _ = materialise(spark, open_clusters(members, first), "clusters")
+    opened = open_members(members, first, reps).join(sets, F.col("rep") == F.col("s_rep")).drop("s_rep")
+    opened, _ = materialise(spark, opened, "open-sets")
+    prefixes = prefix_rows(opened, frequent_shingles(opened, opened.count()), percent)
+    prefixes, _ = materialise(spark, prefixes, "prefixes")
+    clusters, _ = materialise(spark, open_clusters(prefixes), "clusters")
     joined = components(spark, cluster_links(clusters, sets, percent), "joined-groups")
     joined = joined.select(F.col("node").alias("j_node"), F.col("label").alias("j_label"))
     named = (
@@ -427,22 +528,32 @@ def near_duplicates(
     )
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """A column name that the table does not have, whatever the case of its letters."""
+    taken = {column.lower() for column in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def deduplicated(spark: SparkSession, docs: DataFrame, **choices) -> DataFrame:
-    """One document of each group, columns kept; of rows with one doc_id, one stays."""
-    report, _ = materialise(spark, near_duplicates(spark, docs, **choices), "near-duplicates")
-    dropped = report.where(~F.col("kept")).select(F.col("doc_id").alias("x_id"))
-    repeated = (
-        report.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("x_id"))
-    )
-    gone = dropped.union(repeated)
-    gone = broadcast_if_small(gone, gone.count())
-    once = docs.join(gone, F.col("doc_id") == F.col("x_id"), "left_anti")
-    if repeated.isEmpty():
-        return once
-    of_kept = report.where("kept").select(F.col("doc_id").alias("k_id")).distinct()
-    again = (
-        docs.join(repeated, F.col("doc_id") == F.col("x_id"), "left_semi")
-        .join(of_kept, F.col("doc_id") == F.col("k_id"), "left_semi")
-        .dropDuplicates(["doc_id"])
+    """One document of each group, columns kept: the one with the least doc_id,
+    null last.
+
+    Rows are numbered, and the number is the key, so that documents that share
+    a doc_id but not their text all stay, and of equal rows one does.
+    """
+    number = free_name("_row", docs.columns)
+    numbered, _ = materialise(spark, docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    own = numbered.select(F.col(number).alias("doc_id"), F.col("`text`").alias("text"))
+    report, _ = materialise(spark, near_duplicates(spark, own, **choices), "near-duplicates")
+    groups = report.join(
+        report.where(~F.col("kept")).select("component_id").distinct(), "component_id", "left_semi"
+    ).select("component_id", F.col("doc_id").alias("n_row"))
+    ids = numbered.select(F.col(number).alias("n_row"), F.col("`doc_id`").alias("n_id"))
+    rank = F.struct(F.col("n_id").isNull().alias("none"), "n_id", "n_row")
+    chosen = (
+        groups.join(ids, "n_row").groupBy("component_id").agg(F.min(rank)["n_row"].alias("n_row"))
     )
-    return once.union(again)
+    gone = groups.join(chosen.select("n_row"), "n_row", "left_anti").select(F.col("n_row").alias(number))
+    return numbered.join(gone, number, "left_anti").drop(number)

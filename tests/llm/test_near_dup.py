@@ -61,6 +61,77 @@ def test_five_words(spark):
     assert {k: r.component_id for k, r in report(spark, texts, 5).items()} == expected
 
 
+def test_tiny_sets_are_exact(spark):
+    """Pairs of few shingles at the limit, which bands alone may miss."""
+    rnd = random.Random(12)
+    texts = {}
+    for n in range(0, 3000, 2):
+        shared = [f"s{n}x{i}" for i in range(rnd.randrange(4, 21))]
+        texts[n] = " ".join(shared)
+        texts[n + 1] = " ".join([*shared, *(f"own{n}y{i}" for i in range((len(shared) + 1) // 4))])
+    got = report(spark, texts, 1)
+    expected = {}
+    for n in range(0, 3000, 2):
+        a, b = (helpers.shingles(texts[k], 1) for k in (n, n + 1))
+        linked = 100 * len(a & b) >= 80 * len(a | b)
+        expected |= {n: n, n + 1: n if linked else n + 1}
+    assert {k: r.component_id for k, r in got.items()} == expected
+
+
+def test_prefixes_lose_no_pair():
+    """Sets at every similarity from 0.8 share a first shingle, whatever the order."""
+    rnd = np.random.default_rng(5)
+    for _ in range(3000):
+        n = int(rnd.integers(1, 60))
+        other = int(rnd.integers(-(-80 * n // 100), n + 1))
+        least = -(-80 * (n + other) // 180)
+        if least > other:
+            continue
+        common = int(rnd.integers(least, other + 1))
+        order = rnd.permutation(n + other - common)
+        larger, smaller = order[:n], order[n - common : n - common + other]
+        assert len(set(larger) & set(smaller)) == common
+        first = set(np.sort(larger)[: near_dup.prefix_lengths(n, 80)[1]])
+        assert first & set(np.sort(smaller)[: near_dup.prefix_lengths(other, 80)[0]])
+
+
+def family(rnd, n, start, own=17):
+    """Documents of 100 words, most of which are their common template."""
+    template = [f"t{start}x{i}" for i in range(100 - own)]
+    return {start + k: " ".join([*template, *(f"o{start + k}x{i}" for i in range(own))]) for k in range(n)}
+
+
+def test_families_that_are_not_linked_meet_nobody(spark, monkeypatch):
+    """Documents of one template at similarity 0.71: no set is sent to another."""
+    sent = []
+    links = near_dup.cluster_links
+
+    def counted(clusters, sets, percent):
+        sent.append(clusters.count())
+        return links(clusters, sets, percent)
+
+    monkeypatch.setattr(near_dup, "cluster_links", counted)
+    texts = family(random.Random(1), 600, 0)
+    got = report(spark, texts, 1)
+    assert {k: r.component_id for k, r in got.items()} == {k: k for k in texts}
+    assert sent == [0]
+
+
+def test_families_and_copies_together(spark):
+    """Linked and unlinked members of several templates, against all pairs."""
+    rnd = random.Random(2)
+    texts = {}
+    for f, own in enumerate((17, 12, 10, 5)):
+        some = family(rnd, 60, 1000 * f, own)
+        for key in rnd.sample(sorted(some), 15):
+            words = some[key].split(" ")
+            words[rnd.randrange(80)] = f"changed{key}"
+            some[key + 500] = " ".join(words)
+        texts |= some
+    expected = helpers.groups(texts, 1)
+    assert {k: r.component_id for k, r in report(spark, texts, 1).items()} == expected
+
+
 def test_a_chain_is_one_group(spark):
     tokens = [f"t{i}" for i in range(140)]
     texts = {i: " ".join(tokens[i : i + 40]) for i in range(0, 100, 2)}
@@ -128,7 +199,20 @@ def test_one_of_each_group_stays(spark):
     docs = spark.createDataFrame(rows, FIELDS)
     kept = near_dup.deduplicated(spark, docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 3, 4, 5]
+    # Rows of one doc_id are documents of their own unless their texts are copies.
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 4, 5]
+
+
+def test_different_texts_of_one_id_all_stay(spark):
+    words = [f"w{n}" for n in range(60)]
+    rows = [(1, " ".join(words[:30])), (1, " ".join(words[30:])), (2, " ".join(words[:30])), (2, "short")]
+    rows += [(None, " ".join(words[30:])), (None, "alone here"), (3, "short"), (3, "short")]
+    docs = spark.createDataFrame([(k, t, n, n, "x", "y") for n, (k, t) in enumerate(rows)],
+        "doc_id long, text string, x_id int, k_id int, _row string, n_row string")
+    kept = near_dup.deduplicated(spark, docs.repartition(3))
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert found == sorted([rows[0], rows[1], rows[3], rows[5]], key=repr)
 
 
 def test_empty_table(spark):
