@@ -1,16 +1,18 @@
 """Exact top-k search by inner product with norm-bucketed retrieval.
 
-Vectors are dealt into blocks; in a block they are ordered by length and cut
-into buckets. For a query and a bucket, the query's k-th best score so far,
-divided by its own length and the bucket's, is the least cosine that a vector
-of the bucket needs. Above 1 the bucket is skipped; where it is high, the
-range that it leaves for the query's largest coordinates sorts vectors out;
-otherwise all those long enough are multiplied. Every product is verified in
-full, so pruning never changes a result.
+All vectors are ordered by length and cut into blocks, and blocks into buckets.
+For a query and a bucket, the query's k-th best score so far, divided by its
+own length and the bucket's, is the least cosine that a vector of the bucket
+needs. Above 1 the bucket is skipped; where it is high, the range that it
+leaves for the query's largest coordinates sorts vectors out; otherwise all
+those long enough are multiplied. Every product is verified in full, so
+pruning never changes a result.
 
 A first round over the block of the longest vectors gives each query a score
-to start with. Queries are blocks too: a task holds one block of each, and
-sends back k rows per query.
+to start with, and with it the least length that a vector needs. Queries are
+ordered by that and cut into blocks too. A block of vectors is sent to the
+blocks of queries that its longest one may be of use to, and to no others. A
+task holds one block of each, and sends back k rows per query.
 
 Defined results: vectors that are null, empty or hold null or non-finite
 components take no part; vectors of different dimension do not meet; equal
@@ -27,10 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ontime.llm.common import materialise
+from ontime.llm.common import broadcast_if_small, materialise
+from ontime.operators.ranking import rank_all
 
 BLOCK_ROWS = 4096
 QUERY_BLOCK_ROWS = 1024
@@ -51,7 +54,13 @@ FOUND = "query_id long, vec_id long, score long"
 
 def quantised(vectors: DataFrame, scale: int = 64, column: str = "embedding") -> DataFrame:
     """vec_id, whole-number components as doubles, length and dimension; bad rows left out."""
-    whole = F.transform(column, lambda x: F.floor(x.cast("double") * scale).cast("double"))
+
+    def whole_number(x: Column) -> Column:
+        # From 2^53 on every double is whole, and `floor` would end at 2^63.
+        scaled = x.cast("double") * scale
+        return F.when(F.abs(scaled) < EXACT, F.floor(scaled).cast("double")).otherwise(scaled)
+
+    whole = F.transform(column, whole_number)
     bad = F.exists(
         column,
         lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == F.lit(float("inf"))),
@@ -173,19 +182,15 @@ def exact_top_k(
     vectors = vectors.withColumn("known", F.col("vec_id").isNotNull()).withColumn(
         "vec_id", F.coalesce("vec_id", F.lit(LAST_ID))
     )
-    stored, _ = materialise(spark, vectors, "vectors")
-    asked, _ = materialise(spark, asked, "queries")
-    n_blocks = -(-stored.count() // BLOCK_ROWS) or 1
-    n_query_blocks = -(-asked.count() // QUERY_BLOCK_ROWS) or 1
-    starts = start_scores(stored, asked, k)
-
-    def dealt(rows: DataFrame, name: str, blocks: int, other: str, others: int) -> DataFrame:
-        block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
-        copies = F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
-        return rows.withColumn(name, block.cast("int")).withColumn(other, copies)
-
-    candidates = dealt(stored, "block", n_blocks, "query_block", n_query_blocks)
-    asked = dealt(starts, "query_block", n_query_blocks, "block", n_blocks)
+    # Both tables are written in order of what prunes them.
+    stored = in_blocks(vectors, "length", "block", BLOCK_ROWS)
+    need = F.when((F.col("start") > 0) & (F.col("length") > 0), F.col("start") / F.col("length")).otherwise(0.0)
+    starts = start_scores(vectors, asked, k).withColumn("need", need * (1 - ROUNDING))
+    starts = in_blocks(starts, "need", "query_block", QUERY_BLOCK_ROWS)
+    pairs, _ = materialise(spark, useful_pairs(stored, starts), "block-pairs")
+    pairs = broadcast_if_small(pairs, pairs.count())
+    candidates = stored.join(pairs, ["dimension", "block"])
+    asked = starts.join(pairs, ["dimension", "query_block"])
     keys = ["dimension", "block", "query_block"]
 
     def search(asking: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
@@ -211,6 +216,27 @@ def exact_top_k(
     )
 
 
+def in_blocks(rows: DataFrame, by: str, name: str, size: int) -> DataFrame:
+    """Rows with the number of their block when cut in falling order of a column."""
+    placed = rank_all(rows, by, "vec_id", "_place")
+    return placed.withColumn(name, F.floor((F.col("_place") - 1) / size).cast("long")).drop("_place")
+
+
+def useful_pairs(stored: DataFrame, asked: DataFrame) -> DataFrame:
+    """dimension, block, query_block where a vector may be long enough for a query.
+
+    Of blocks there are a few thousandths as many as rows; those of the queries
+    meet a block in one array per dimension, with a number each.
+    """
+    longest = stored.groupBy("dimension", "block").agg(F.max("length").alias("longest"))
+    least = asked.groupBy("dimension", "query_block").agg(F.min("need").alias("need"))
+    listed = least.groupBy("dimension").agg(F.collect_list(F.struct("query_block", "need")).alias("listed"))
+    useful = F.filter("listed", lambda one: one["need"] <= F.col("longest") * (1 + ROUNDING))
+    return longest.join(listed, "dimension").select(
+        "dimension", "block", F.explode(F.transform(useful, lambda one: one["query_block"])).alias("query_block")
+    )
+
+
 def start_scores(stored: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     """Queries with the k-th best score among the longest vectors, or minus infinity.
 

@@ -86,3 +86,45 @@ def test_empty_table(spark):
     assert search(spark, [(1, [1.0])], step=20) == []
     vectors = topk.quantised(spark.createDataFrame([], FIELDS))
     assert topk.exact_top_k(spark, vectors, vectors).collect() == []
+
+
+def test_every_finite_double_is_floored(spark):
+    values = [1e300, 3e18, 2.0**57, 2.0**53 / 64 - 0.3, -(2.0**60) - 512, -1e-9, 0.0, -0.51, 123456.789]
+    df = spark.createDataFrame([(1, values)], "vec_id long, embedding array<double>")
+    (row,) = topk.quantised(df).collect()
+    assert [int(x) for x in row.vector] == [math.floor(64 * x) for x in values]
+
+
+def test_scores_beyond_64_bits_end_the_job(spark):
+    rows = [(i, [3e18 + i * 1e16, 1.0]) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = topk.quantised(df)
+    with pytest.raises(Exception, match="(?i)int too"):
+        topk.exact_top_k(spark, vectors, vectors).collect()
+
+
+def test_blocks_too_short_for_all_queries_are_not_sent(spark, monkeypatch):
+    """Of vectors of spread lengths most blocks meet no block of queries."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(topk, "QUERY_BLOCK_ROWS", 10)
+    monkeypatch.setattr(topk, "START_ROWS", 60)
+    rnd = random.Random(9)
+    rows = [(i, [f32(2.0 ** -(i // 50) * rnd.uniform(0.5, 1)) for _ in range(4)]) for i in range(1000)]
+    vectors = topk.quantised(spark.createDataFrame([(i, v, "x", "y") for i, v in rows], FIELDS), scale=2**20)
+    sent = []
+    pairs = topk.useful_pairs
+
+    def counted(stored, asked):
+        found = pairs(stored, asked)
+        sent.append((found.count(), stored.select("block").distinct().count() * asked.select("query_block").distinct().count()))
+        return found
+
+    monkeypatch.setattr(topk, "useful_pairs", counted)
+    found = topk.exact_top_k(spark, vectors, vectors.where("vec_id % 20 = 0"), 20)
+    usable = {i: [math.floor(2**20 * x) for x in v] for i, v in rows}
+    for query in (0, 500, 980):
+        scores = sorted((-sum(a * b for a, b in zip(usable[query], v)), i) for i, v in usable.items() if i != query)
+        got = found.where(f"query_id = {query}").orderBy("rank").collect()
+        assert [(-r.score, r.vec_id) for r in got] == scores[:20]
+    ((useful, every),) = sent
+    assert useful < every / 3
