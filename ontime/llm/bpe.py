@@ -36,6 +36,10 @@ CACHED_CHUNKS = 1_000_000
 # Tokens that one decoding query aggregates, and words that one encodes.
 DECODE_TOKENS = 400_000
 ENCODE_WORDS = 20_000
+# Words of more bytes than this are contracted many pairs to a step, about so
+# many bytes of them at a time.
+LONG_WORD = 400
+LONG_BYTES = 200_000
 # Texts of an Arrow batch are handled in groups of about so many characters.
 GROUP_CHARS = 2_000_000
 SQL_MEMORY = "160MB"
@@ -82,6 +86,63 @@ WITH RECURSIVE steps AS (
 SELECT word, list(token ORDER BY position) AS ids FROM steps WHERE NOT open GROUP BY word ORDER BY word
 """
 
+# The same for long words, many pairs to a step. Pairs of the smallest rank that
+# do not overlap are contracted from left to right, up to the first one whose
+# new token makes a pair of a smaller rank still with a neighbour, since that
+# pair is next. So each step ends where as many single ones would.
+LONG_MERGE_STEPS = """
+WITH RECURSIVE steps AS (
+  SELECT word, position, token, next_position, next_token, true AS open FROM letters
+  UNION ALL
+  (
+    WITH met AS (
+      SELECT s.word, s.position, s.token, s.next_token, m.merged
+      FROM steps s LEFT JOIN merges m ON m.l = s.token AND m.r = s.next_token
+      WHERE s.open
+    ),
+    least AS (SELECT word, min(merged) AS merged FROM met GROUP BY word),
+    marked AS (
+      SELECT t.*, b.merged AS least, coalesce(t.merged = b.merged, false) AS hit,
+        lag(t.token) OVER o AS before, lead(t.next_token) OVER o AS after
+      FROM met t JOIN least b USING (word)
+      WINDOW o AS (PARTITION BY word ORDER BY position)
+    ),
+    runs AS (
+      SELECT *, sum(CASE WHEN hit THEN 0 ELSE 1 END) OVER (PARTITION BY word ORDER BY position) AS run
+      FROM marked
+    ),
+    turns AS (
+      SELECT *, hit AND row_number() OVER (PARTITION BY word, run, hit ORDER BY position) % 2 = 1 AS turn
+      FROM runs
+    ),
+    lower AS (
+      SELECT t.word, min(t.position) AS place
+      FROM turns t
+      LEFT JOIN merges x ON x.l = t.before AND x.r = t.least
+      LEFT JOIN merges y ON y.l = t.least AND y.r = t.after
+      LEFT JOIN merges z ON z.l = t.least AND z.r = t.least
+      WHERE t.turn AND least(x.merged, y.merged, z.merged) < t.least
+      GROUP BY t.word
+    ),
+    taken AS (
+      SELECT t.word, t.position, t.token, t.least, t.turn AND (l.place IS NULL OR t.position <= l.place) AS taken
+      FROM turns t LEFT JOIN lower l USING (word)
+    ),
+    kept AS (
+      SELECT * FROM (
+        SELECT *, coalesce(lag(taken) OVER (PARTITION BY word ORDER BY position), false) AS gone FROM taken
+      ) x WHERE NOT gone
+    )
+    SELECT word, position, CASE WHEN taken THEN least ELSE token END,
+      lead(position) OVER o,
+      lead(CASE WHEN taken THEN least ELSE token END) OVER o,
+      least IS NOT NULL
+    FROM kept WINDOW o AS (PARTITION BY word ORDER BY position)
+  )
+)
+SELECT word, list(token ORDER BY position) AS ids FROM steps WHERE NOT open GROUP BY word ORDER BY word
+"""
+
 DECODE = """
 SELECT string_agg(v.piece, '' ORDER BY i.position) AS piece
 FROM ids i JOIN vocabulary v USING (token) GROUP BY i.text ORDER BY i.text
@@ -141,17 +202,27 @@ class Codec:
         spelt = {word: word.encode() for word in words}
         found = {w: self.ranks[b].to_bytes(4, "little") for w, b in spelt.items() if b in self.ranks}
         rest = [word for word in words if word not in found]
-        for start in range(0, len(rest), ENCODE_WORDS):
-            some = rest[start : start + ENCODE_WORDS]
-            self.sql.register("letters", self.letters(some))
-            rows = self.sql.sql(MERGE_STEPS).to_arrow_table()
-            self.sql.unregister("letters")
-            ids = rows.column("ids").combine_chunks()
-            flat = ids.values.cast(pa.uint32()).to_numpy().astype("<u4").tobytes()
-            ends = ids.offsets.to_numpy() * 4
-            for word, a, b in zip(some, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                found[word] = flat[a:b]
-        return found
+        short = [word for word in rest if len(spelt[word]) <= LONG_WORD]
+        for start in range(0, len(short), ENCODE_WORDS):
+            found |= self.contracted(short[start : start + ENCODE_WORDS], MERGE_STEPS)
+        some: list[str] = []
+        for word in rest:
+            if len(spelt[word]) > LONG_WORD:
+                some.append(word)
+                if sum(len(spelt[w]) for w in some) >= LONG_BYTES:
+                    found |= self.contracted(some, LONG_MERGE_STEPS)
+                    some = []
+        return found | self.contracted(some, LONG_MERGE_STEPS) if some else found
+
+    def contracted(self, words: list[str], steps: str) -> dict[str, bytes]:
+        """The ids that words come down to in a recursive query."""
+        self.sql.register("letters", self.letters(words))
+        rows = self.sql.sql(steps).to_arrow_table()
+        self.sql.unregister("letters")
+        ids = rows.column("ids").combine_chunks()
+        flat = ids.values.cast(pa.uint32()).to_numpy().astype("<u4").tobytes()
+        ends = (ids.offsets.to_numpy() * 4).tolist()
+        return {word: flat[a:b] for word, a, b in zip(words, ends[:-1], ends[1:], strict=True)}
 
     def letters(self, words: list[str]) -> pa.Table:
         """The bytes of words as token rows; nothing follows the last one of a word."""

@@ -71,3 +71,25 @@ def test_table_with_nulls_repeats_and_other_columns(spark, library):
         expected.append((k, len(ids), packed, hashlib.sha256((text or "").encode()).hexdigest()))
     assert sorted(map(tuple, found), key=key) == sorted(expected, key=key)
     assert bpe.token_digests(spark, docs.where("false"), PATH, PATTERN).collect() == []
+
+
+@pytest.mark.parametrize("alphabet", ["ACGT", "ab", "a", "aeinrstghl", "ng", "日本é", "0123456789abcdef"])
+def test_long_words_many_pairs_to_a_step(codec, library, alphabet, monkeypatch):
+    monkeypatch.setattr(bpe, "LONG_WORD", 1)
+    monkeypatch.setattr(bpe, "LONG_BYTES", 1500)
+    rnd = random.Random(alphabet)
+    words = ["".join(rnd.choices(alphabet, k=n)) for n in (1, 2, 3, 4, 7, 30, 200, 700) for _ in range(5)]
+    found = codec.merged(list(dict.fromkeys(words)))
+    for word in words:
+        ids = library._encode_single_piece(word.encode())
+        assert found[word] == struct.pack(f"<{len(ids)}I", *ids)
+
+
+def test_one_word_of_many_letters(ranks, library):
+    """A run of 100,000 letters: steps go with the ranks in it, not with its length."""
+    rnd = random.Random(5)
+    word = "".join(rnd.choices("ACGT", k=100_000))
+    ((ids, decoded),) = bpe.Codec(ranks, PATTERN).encode([word])
+    expected = library.encode_ordinary(word)
+    assert ids == struct.pack(f"<{len(expected)}I", *expected)
+    assert decoded == word.encode()
