@@ -4,9 +4,11 @@ import random
 import re
 
 import helpers
+import plain_pii
 import pytest
 
 from ontime.llm import pii
+from ontime.llm.catalog import PSEUDONYM_KEY, QUERIES
 
 
 def replaced(spark, texts, key="k"):
@@ -88,3 +90,36 @@ def test_permutations_do_not_merge_values(spark, kind):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pii.pseudonymised(docs, "k").collect() == []
+
+
+def test_the_query_is_the_plain_version(spark, small_dir):
+    texts = dict(spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id", "text").collect())
+    found = {r.doc_id: (r.text, r.n_pii) for r in QUERIES["op5_pseudonyms"](spark, small_dir).collect()}
+    assert found == {k: plain_pii.pseudonymised(t, PSEUDONYM_KEY, pii.PATTERN) for k, t in texts.items()}
+    assert sum(n for _, n in found.values()) > 10
+
+
+def test_all_kinds_are_the_plain_version(spark):
+    rnd = random.Random(11)
+    n = lambda size: "".join(rnd.choices("0123456789", k=size))
+    makers = [
+        lambda: f"{n(4)} {n(4)} {n(4)} {n(4)}",
+        lambda: next(b + c for b in [n(rnd.randrange(12, 19))] for c in "0123456789" if helpers.luhn(b + c)),
+        lambda: f"{n(4)}-{n(6)}-{n(5)}",
+        lambda: ".".join(str(rnd.randrange(300)) for _ in range(4)),
+        lambda: f"{rnd.randrange(1600, 2200)}-{rnd.randrange(14):02}-{rnd.randrange(33):02}",
+        lambda: f"{rnd.randrange(1, 32)}{(s := rnd.choice('./'))}{rnd.randrange(1, 32)}{s}{rnd.randrange(1690, 2110)}",
+        lambda: f"{n(3)}-{n(2)}-{n(4)}",
+        lambda: f"{rnd.choice(['', '+1 ', '1-', '+1'])}({n(3)}) {n(3)}-{n(4)}",
+        lambda: f"{n(3)}-{n(3)}-{n(4)}",
+        lambda: f"+1{rnd.choice(' .-')}{n(3)} {n(3)} {n(4)}",
+        lambda: f"+{rnd.choice(['44', '49', '331'])} {n(3)} {n(4)} {n(rnd.randrange(2, 5))}",
+        lambda: f"{n(2)}.Ab_{n(3)}@Mail.host-{n(1)}.example.CO",
+        lambda: f"api_key: {n(4)}abc+/{n(5)}",
+        lambda: f'PassWord ="{n(12)}"',
+        lambda: f"AKIA{n(8)}ABCDEFGH",
+    ]
+    texts = [f"{rnd.choice(['', 'é ', '('])}{rnd.choice(makers)()}{rnd.choice([' ', ', ', '; x', ')'])}{rnd.choice(makers)()}." for _ in range(800)]
+    got = replaced(spark, texts)
+    for i, text in enumerate(texts):
+        assert got[i] == plain_pii.pseudonymised(text, "k", pii.PATTERN), text
