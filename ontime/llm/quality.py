@@ -151,8 +151,22 @@ def above_limit(documents: str, all_documents: str) -> Column:
 
 
 def without(text: Column, listed: Column) -> Column:
-    """The lines of a text that are not listed by their hash."""
-    return F.filter(lines(text), lambda line: ~(has_word(line) & F.array_contains(listed, line_hash(line))))
+    """The lines of a text that are not listed by their hash.
+
+    The list is met with all of the text's lines at once, by hashing, so that
+    its length does not count for every line.
+    """
+
+    def kept(found: Column) -> Column:
+        return F.filter(lines(text), lambda line: ~(has_word(line) & F.array_contains(found, line_hash(line))))
+
+    own = F.transform(F.filter(lines(text), has_word), line_hash)
+    return let(F.array_intersect(own, listed), lambda found: F.when(F.size(found) > 0, kept(found)).otherwise(lines(text)))
+
+
+def listed_hashes(hosts: DataFrame, column: str) -> int:
+    """How many hashes the lists of all hosts hold together."""
+    return hosts.agg(F.coalesce(F.sum(F.size(column) + 1), F.lit(0))).first()[0]
 
 
 def frequent_lines(spark: SparkSession, docs: DataFrame, host: str = "source") -> DataFrame:
@@ -164,7 +178,7 @@ def frequent_lines(spark: SparkSession, docs: DataFrame, host: str = "source") -
     candidates, _ = materialise(spark, candidate_lines(docs, host), "candidate-lines")
     text = F.col("text")
     texts = docs.select(F.col(host).alias("host"), "text").join(
-        broadcast_if_small(candidates, candidates.count()), F.col("host").eqNullSafe(F.col("f_host"))
+        broadcast_if_small(candidates, listed_hashes(candidates, "candidates")), F.col("host").eqNullSafe(F.col("f_host"))
     )
     hashes = F.transform(F.filter(lines(text), has_word), line_hash)
     left = F.size(words(F.array_join(without(text, F.col("candidates")), "\n")))
@@ -197,7 +211,7 @@ def judged(spark: SparkSession, docs: DataFrame, host: str = "source") -> DataFr
         F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("kept_row"),
         F.col(host).alias("host"),
     ).join(
-        broadcast_if_small(frequent, frequent.count()),
+        broadcast_if_small(frequent, listed_hashes(frequent, "frequent")),
         F.col("host").eqNullSafe(F.col("f_host")),
         "left",
     )
@@ -218,9 +232,15 @@ def quality_report(spark: SparkSession, docs: DataFrame, host: str = "source") -
 
 
 def quality_documents(spark: SparkSession, docs: DataFrame, host: str = "source") -> DataFrame:
-    """The documents that pass, without the lines above the limit; columns kept."""
+    """The documents that pass, without the lines above the limit; columns kept.
+
+    The judged rows are written before the filter: merged with the projections
+    below it, it would compute the signals of a text once for each use.
+    """
+    rows = judged(spark, docs, host).select("kept_row", "clean_text", "kept")
+    written, _ = materialise(spark, rows, "judged")
     fields = [
         F.col("clean_text").alias(name) if name == "text" else F.col(f"kept_row.`{name}`")
         for name in docs.columns
     ]
-    return judged(spark, docs, host).where("kept").select(*fields)
+    return written.where("kept").select(*fields)
