@@ -10,7 +10,8 @@ shows whether it always holds the same text.
 
 Text in an article or main element, or else in an element that is named as
 content, is the main text; navigation, notices, adverts, forms, comments and
-the like are cut out of it. A name counts as a whole: `cookie-notice` is a
+the like are cut out of it. Text before it, such as a title, goes with it if it
+stands outside links and differs over the host's pages. A name counts as a whole: `cookie-notice` is a
 notice, `has-sidebar` is none. No name cuts an element that is or holds an
 article or main element, comments excepted, and no id cuts a heading or
 section. Pages with neither keep the slots that are no
@@ -67,7 +68,7 @@ DROPPED = frozenset(
 # Dropped, but text where they stand in main text or content.
 TEXT_IN_MAIN = frozenset("label math".split())
 DROPPED_NAMES = frozenset(
-    "ad ads adbox advert adverts advertisement alert banner breadcrumb breadcrumbs comment comments"
+    "ad ads adbox advert adverts advertisement alert banner bio breadcrumb breadcrumbs comment comments"
     " consent cookie cookies copyright disqus footer gdpr login masthead menu modal nav navbar"
     " navigation newsletter notice overlay pager pagination popup promo promotion recommended"
     " related respond search share sharing sidebar signup skip social sponsor sponsored subscribe"
@@ -75,12 +76,19 @@ DROPPED_NAMES = frozenset(
 )
 CONTENT_NAMES = frozenset("article content entry maincontent post story".split())
 # Parts that may stand before or behind those of DROPPED_NAMES in a name.
-BEFORE_NAMES = CONTENT_NAMES | frozenset("bottom global main page primary secondary site top".split())
+BEFORE_NAMES = CONTENT_NAMES | frozenset(
+    "author bottom global inline main page primary reader readers secondary site top user".split()
+)
 BEHIND_NAMES = frozenset(
-    "area bar block box button buttons container inner item items links list outer section wrap wrapper".split()
+    "area articles bar block box button buttons container inner item items links list outer posts section"
+    " slot unit wrap wrapper".split()
 )
 COMMENT_NAMES = frozenset("comment comments disqus respond".split())
-COMMENT_PARTS = COMMENT_NAMES | BEHIND_NAMES | frozenset("body content entry reply thread".split())
+COMMENT_PARTS = (
+    COMMENT_NAMES
+    | BEHIND_NAMES
+    | frozenset("article body content entry post reader readers reply thread user".split())
+)
 ID_IS_ANCHOR = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 
 TOKEN = re.compile(
@@ -109,7 +117,7 @@ def is_furniture(token: str) -> bool:
 
 def is_comment(token: str) -> bool:
     parts = NAME_PARTS.findall(token)
-    return bool(parts) and parts[0] in COMMENT_NAMES and COMMENT_PARTS.issuperset(parts)
+    return not COMMENT_NAMES.isdisjoint(parts) and COMMENT_PARTS.issuperset(parts)
 
 
 def dropped_by(name: str, attributes: str) -> str:
@@ -472,12 +480,17 @@ def kept_slots(places: DataFrame, slots: DataFrame) -> DataFrame:
     judged = joined.join(
         shared, (F.col("host") == F.col("s_host")) & (F.col("place") == F.col("s_place")), "left"
     )
-    constant = F.coalesce(F.col("same") & (F.col("seen") >= CONSTANT_PAGES), F.lit(False))
+    known = F.col("seen") >= CONSTANT_PAGES
+    constant = F.coalesce(F.col("same") & known, F.lit(False))
+    varied = F.coalesce(~F.col("same") & known, F.lit(False))
     unlinked = (F.col("zone") == "r") & ~F.col("in_links")
+    # Before the main text, what differs from page to page belongs to it.
+    lead = F.filter("varied", lambda slot: slot < F.array_min("main"))
     return (
         judged.groupBy(F.col("host").alias("k_host"), F.col("skeleton_key").alias("k_key"))
         .agg(
             F.collect_list(F.when(F.col("zone") == "m", F.col("slot"))).alias("main"),
+            F.collect_list(F.when(unlinked & varied, F.col("slot"))).alias("varied"),
             F.collect_list(F.when(F.col("zone") == "c", F.col("slot"))).alias("content"),
             F.collect_list(F.when(unlinked & ~constant, F.col("slot"))).alias("rest"),
             F.collect_list(F.when(unlinked, F.col("slot"))).alias("unlinked"),
@@ -485,7 +498,7 @@ def kept_slots(places: DataFrame, slots: DataFrame) -> DataFrame:
         .select(
             "k_host",
             "k_key",
-            F.when(F.size("main") > 0, F.col("main"))
+            F.when(F.size("main") > 0, F.concat(lead, "main"))
             .when(F.size("content") > 0, F.col("content"))
             .when(F.size("rest") > 0, F.col("rest"))
             .otherwise(F.col("unlinked"))
@@ -496,7 +509,8 @@ def kept_slots(places: DataFrame, slots: DataFrame) -> DataFrame:
 
 def main_texts(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, the main text, its length in code points."""
-    read = read_pages(pages)
+    # Parsing is the dearest part: its result is written, and read twice.
+    read, _ = materialise(spark, read_pages(pages), "read-pages")
     slots, _ = materialise(spark, skeleton_slots(read), "slots")
     skeletons = slots.groupBy("host", "skeleton_key").agg(F.first("skeleton").alias("skeleton"))
     slots = slots.drop("skeleton")

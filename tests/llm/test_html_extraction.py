@@ -114,6 +114,10 @@ NAMED = {
     '<article><p>Text</p><article class="comment-body"><p>C</p></article></article>': "Text",
     '<article><p>Text</p><div id="comments"><article class="user"><p>C</p></article></div></article>': "Text",
     '<article><p>Text</p><div class="site-footer">F</div><p class="related">R</p></article>': "Text",
+    '<article><p>Text</p><div class="ad-slot">A</div><div class="related-posts"><p>R</p></div></article>': "Text",
+    '<article><p>Text</p><div class="author-bio"><p>B</p></div><div class="inline-ad">A</div></article>': "Text",
+    '<article><p>Text</p><div class="user-comments"><p>C</p></div><div id="reader-comments">D</div></article>': "Text",
+    '<article><h2 id="slot-machines">A</h2><p class="unit">B</p><div class="biology">C</div></article>': "A\n\nB\n\nC",
     '<aside class="widget"><article><p>Out</p></article></aside><article data-id="ad"><p>Text</p></article>': "Text",
 }
 
@@ -138,3 +142,16 @@ def test_copies_of_a_page_do_not_make_its_text_furniture(spark):
     assert set(got[:308]) == {whole}
     assert got[308:313] == [f"Title {i}\n\nLead {i}\n\nCell {i}" for i in range(5)]
     assert got[313:] == [whole] * 5
+
+
+def test_a_title_before_the_article_is_told_by_the_wrapper(spark):
+    """What differs over the host's pages goes with the article, what does not stays out."""
+    page = (
+        "<body><div>Welcome to our site</div><h1>Title %d</h1><p>Lead %d</p>"
+        "<p><a href=x>Story number %d</a></p><article><p>Text %d</p></article><p>After %d</p></body>"
+    )
+    pages = [(f"http://a.org/{i}", page % (i, i, i, i, i)) for i in range(6)]
+    pages += [(f"http://b.org/{i}", page % (1, 1, 1, 1, 1)) for i in range(6)]
+    got = extracted(spark, pages)
+    assert got[:6] == [f"Title {i}\n\nLead {i}\n\nText {i}" for i in range(6)]
+    assert got[6:] == ["Text 1"] * 6
