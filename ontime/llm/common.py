@@ -14,7 +14,8 @@ BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
-# The most rows that any operator here broadcasts, after counting them.
+# The most rows, or elements of the arrays in them, that any operator here
+# broadcasts, after counting them.
 BROADCAST_ROWS = 200_000
 
 

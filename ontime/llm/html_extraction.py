@@ -521,7 +521,7 @@ def main_texts(spark: SparkSession, pages: DataFrame) -> DataFrame:
     return (
         read.drop("skeleton")
         .join(
-            broadcast_if_small(kept, kept.count()),
+            broadcast_if_small(kept, kept.agg(F.coalesce(F.sum(F.size("kept") + 1), F.lit(0))).first()[0]),
             (F.col("host") == F.col("k_host")) & (F.col("skeleton_key") == F.col("k_key")),
             "left",
         )
