@@ -7,8 +7,9 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from ontime.session import temporary_folders
 from ontime.sinks import noop_run, write_report_csv
 
 
@@ -38,17 +39,19 @@ class Timing:
 def measure(
     build: Callable[[], DataFrame], runs: int = 10, report_path: str | None = None
 ) -> Timing:
-    """Time `runs` runs; the plan is built anew each time.
+    """Time `runs` runs; the plan is built anew each time, and what it stores on
+    the way is removed after each.
 
     With a `report_path` the last run writes the report file instead.
     """
     seconds = []
     for i in range(runs):
-        start = time.perf_counter()
-        df = build()
-        if report_path is not None and i == runs - 1:
-            write_report_csv(df, report_path)
-        else:
-            noop_run(df)
-        seconds.append(time.perf_counter() - start)
+        with temporary_folders(SparkSession.active()):
+            start = time.perf_counter()
+            df = build()
+            if report_path is not None and i == runs - 1:
+                write_report_csv(df, report_path)
+            else:
+                noop_run(df)
+            seconds.append(time.perf_counter() - start)
     return Timing(tuple(seconds))
