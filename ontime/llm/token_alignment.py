@@ -33,11 +33,12 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator, Mapping
-from itertools import accumulate
+from collections.abc import Iterable, Iterator, Mapping
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,13 +48,15 @@ from ontime.llm.common import materialise
 
 # Distinct links of documents that a block holds before it is closed; some 40
 # bytes each in memory.
-BLOCK_LINKS = 2_000_000
-# Chunks that a Python worker keeps, some 500 bytes each.
+BLOCK_LINKS = 1_000_000
+# Chunks that a Python worker keeps, some 400 bytes each, and learns at once.
 CACHED_CHUNKS = 250_000
+LEARNT_CHUNKS = 20_000
 
 SPACE = "▁"
-# A space with a blank, or nothing, next to it; and the spaces to cut at.
-UNCLEAR_SPACE = re.compile(r"(?<!\S) | (?!\S)")
+# Marks that may end a chunk.
+MARKS = ".,;:!?"
+# The spaces to cut at.
 CUT = re.compile(r"(?<=\S) (?=\S)")
 
 ALIGNED = T.StructType(
@@ -94,33 +97,78 @@ def byte_level_pieces(path: str) -> dict[int, bytes]:
     return {number: bytes(map(alphabet.__getitem__, token)) for token, number in vocabulary.items()}
 
 
-def slices(
-    left: list[int], right: list[int], left_sizes: list[int], right_sizes: list[int]
-) -> Iterator[tuple[list[int], list[int], list[int], list[int]]]:
-    """Groups of ids between common ends, each with the ends of its tokens."""
-    ends, other_ends = list(accumulate(left_sizes)), list(accumulate(right_sizes))
-    index = dict(zip(ends, range(1, len(ends) + 1), strict=True))
-    other_index = dict(zip(other_ends, range(1, len(other_ends) + 1), strict=True))
-    i = j = 0
-    for end in sorted(index.keys() & other_index.keys()):
-        to, other_to = index[end], other_index[end]
-        yield left[i:to], right[j:other_to], ends[i:to], other_ends[j:other_to]
-        i, j = to, other_to
-
-
-def links(
-    left: list[int], right: list[int], ends: list[int], other_ends: list[int]
-) -> Iterator[tuple[int, int]]:
-    """Pairs of tokens of one group that share a byte, in order."""
-    if len(left) == 1 or len(right) == 1:
-        yield from ((a, b) for a in left for b in right)
-        return
-    i = j = 0
-    while i < len(left) and j < len(right):
-        yield left[i], right[j]
-        end, other_end = ends[i], other_ends[j]
-        i += end <= other_end
-        j += other_end <= end
+def spelt(ids: np.ndarray, starts: np.ndarray, pieces: list[bytes], chunks: list[bytes]) -> np.ndarray:
+    """For each chunk whether its tokens' bytes are its own."""
+    sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+    token_bytes = [pieces[n] for n in ids.tolist()]
+    upto = np.append(0, np.cumsum(np.fromiter(map(len, token_bytes), np.int64, len(ids))))
+    right = upto[starts[1:]] - upto[starts[:-1]] == sizes
+    if right.all() and b"".join(token_bytes) == b"".join(chunks):
+        return right
+    bounds = zip(starts[:-1].tolist(), starts[1:].tolist(), chunks, strict=True)
+    return np.array([b"".join(token_bytes[i:j]) == chunk for i, j, chunk in bounds])
+
+
+def slice_ends(ends: np.ndarray, other_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ends that both sides have, in order, and the tokens of either side up to each."""
+    index = dict(zip(ends.tolist(), range(1, len(ends) + 1), strict=True))
+    other_index = dict(zip(other_ends.tolist(), range(1, len(other_ends) + 1), strict=True))
+    common = sorted(index.keys() & other_index.keys())
+    return (
+        np.array(common, np.int64),
+        np.fromiter(map(index.__getitem__, common), np.int64, len(common)),
+        np.fromiter(map(other_index.__getitem__, common), np.int64, len(common)),
+    )
+
+
+def slice_links(ends: np.ndarray, other_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens that share a byte, in order: the end of the shared bytes, and both indexes.
+
+    Between two neighbouring ends of either side lie bytes of one token of
+    each; within a slice each such stretch is a link, and no link has two.
+    """
+    both = np.concatenate([ends, other_ends])
+    both.sort(kind="stable")
+    stretches = both[np.append(True, both[1:] != both[:-1])[: len(both)]]
+    return stretches, np.searchsorted(ends, stretches), np.searchsorted(other_ends, stretches)
+
+
+def id_lists(ids: np.ndarray, upto: np.ndarray) -> pa.Array:
+    """Slices of ids, each as text with commas."""
+    listed = pa.ListArray.from_arrays(
+        pa.array(np.append(0, upto), pa.int32()), pa.array(ids, pa.int32()).cast(pa.string())
+    )
+    return pc.binary_join(listed, ",")
+
+
+def odd_edges(chunk: str) -> bool:
+    """Whether a chunk is empty, or begins or ends with a blank."""
+    return not chunk or chunk[0].isspace() or chunk[-1].isspace()
+
+
+ODD = -1
+
+
+class Places(dict):
+    """Numbers of chunks in order of appearance, and those that are new.
+
+    A chunk with odd edges has none, since it depends on its neighbours, unless
+    a text was cut with care: it then stands in a tuple.
+    """
+
+    def __init__(self, known: Iterable[str | tuple[str]] = ()):
+        super().__init__((chunk, at) for at, chunk in enumerate(known))
+        self.count = len(self)
+        self.fresh: list[str | tuple[str]] = []
+
+    def __missing__(self, chunk: str | tuple[str]) -> int:
+        if type(chunk) is str and odd_edges(chunk):
+            self[chunk] = ODD
+            return ODD
+        self[chunk] = place = self.count
+        self.count += 1
+        self.fresh.append(chunk)
+        return place
 
 
 class Aligner:
@@ -133,7 +181,8 @@ class Aligner:
 
         self.left = Tokenizer.from_file(left_path)
         self.left.encode_special_tokens = True
-        self.left_bytes = byte_level_pieces(left_path)
+        pieces = byte_level_pieces(left_path)
+        self.left_bytes = [pieces.get(n, b"") for n in range(max(pieces) + 1)]
         self.right = sentencepiece.SentencePieceProcessor(model_file=right_path)
         pieces = [self.right.id_to_piece(n) for n in range(self.right.get_piece_size())]
         if any(SPACE in piece.lstrip(SPACE) for piece in pieces):
@@ -142,50 +191,148 @@ class Aligner:
             bytes([int(piece[3:-1], 16)]) if self.right.is_byte(n) else piece.replace(SPACE, " ").encode()
             for n, piece in enumerate(pieces)
         ]
-        self.chunks: dict[str, tuple[str, int, int, int, bytes] | None] = {}
-
-    def aligned(self, chunk: str, left: list[int], right: list[int]):
-        """(groups as text, left, right and number of groups, pairs), or None."""
-        a = [self.left_bytes[n] for n in left]
-        b = [self.right_bytes[n] for n in right]
-        spelt = b" " + chunk.encode()
-        if b"".join(a) != spelt or b"".join(b) != spelt:
-            return None
-        if len(left) == len(right) == 1:
-            pair = (left[0] << 32) | right[0]
-            return f"{left[0]}|{right[0]}", 1, 1, 1, pair.to_bytes(8, "little")
-        groups, pairs = [], []
-        for some, others, ends, other_ends in slices(left, right, list(map(len, a)), list(map(len, b))):
-            groups.append(f"{','.join(map(str, some))}|{','.join(map(str, others))}")
-            pairs += [(x << 32) | y for x, y in links(some, others, ends, other_ends)]
-        return ";".join(groups), len(left), len(right), len(groups), np.array(pairs, "<i8").tobytes()
-
-    def learn(self, chunks: list[str]) -> None:
-        encoded = self.left.encode_batch_fast([" " + chunk for chunk in chunks], add_special_tokens=False)
-        others = self.right.encode(chunks, num_threads=1)
-        for chunk, left, right in zip(chunks, encoded, others, strict=True):
-            self.chunks[chunk] = self.aligned(chunk, left.ids, right)
+        self.left_sizes, self.right_sizes = (
+            np.fromiter(map(len, known), np.int64, len(known)) for known in (self.left_bytes, self.right_bytes)
+        )
+        # Marks that no piece joins to a letter before them; the other
+        # vocabulary's pattern never does. Each is a token of its own there.
+        joined = {b for piece in pieces for a, b in pairwise(piece) if a.isalpha()}
+        self.marks = {
+            mark: (self.left.encode(mark, add_special_tokens=False).ids[0], self.right.piece_to_id(mark))
+            for mark in MARKS
+            if mark not in joined and self.right.piece_to_id(mark) != self.right.unk_id()
+        }
+        # Each chunk has a place; lists hold its groups and pairs, an array its
+        # numbers of left and right tokens and groups (none if it is not spelt).
+        self.place = Places()
+        self.groups: list[str | None] = []
+        self.pairs: list[bytes | None] = []
+        self.sizes = np.empty((0, 3), np.int64)
+        self.uses = np.empty(0, np.int64)
+
+    def forget(self) -> None:
+        """Keep the chunks that were met twice or more since the last time."""
+        kept = {chunk: at for chunk, at in self.place.items() if at >= 0 and self.uses[at] > 1}
+        if len(kept) > CACHED_CHUNKS // 2:
+            kept = {}
+        places = list(kept.values())
+        self.place = Places(kept)
+        self.groups = [self.groups[at] for at in places]
+        self.pairs = [self.pairs[at] for at in places]
+        self.sizes = self.sizes[places]
+        self.uses = np.zeros(len(kept), np.int64)
+
+    def learn(self) -> None:
+        """Align the chunks that have a place but no groups yet.
+
+        Those that end with a mark behind a letter are what is before it, and
+        the mark.
+        """
+        fresh = self.place.fresh
+        marked = [c for c in fresh if type(c) is str and c[-1] in self.marks and c[-2:-1].isalpha()]
+        before = [self.place[c[:-1]] for c in marked]
+        more = self.place.count - len(self.groups)
+        self.groups += [None] * more
+        self.pairs += [None] * more
+        self.sizes = np.concatenate([self.sizes, np.zeros((more, 3), np.int64)])
+        self.uses = np.concatenate([self.uses, np.zeros(more, np.int64)])
+        whole = set(fresh).difference(marked)
+        odd = [c for c in whole if type(c) is tuple or SPACE in c]
+        for some in (list(whole.difference(odd)), odd):
+            for at in range(0, len(some), LEARNT_CHUNKS):
+                self.learn_whole(some[at : at + LEARNT_CHUNKS])
+        for chunk, at in zip(marked, before, strict=True):
+            place = self.place[chunk]
+            left, right = self.marks[chunk[-1]]
+            self.groups[place] = f"{self.groups[at]};{left}|{right}"
+            self.pairs[place] = self.pairs[at] + (left << 32 | right).to_bytes(8, "little")
+        if marked:
+            places = np.fromiter(map(self.place.__getitem__, marked), np.int64, len(marked))
+            sizes = self.sizes[before]
+            self.sizes[places] = sizes + (sizes[:, :1] > 0)
+        fresh.clear()
+
+    def learn_whole(self, keys: list[str | tuple[str]]) -> None:
+        """Encode chunks and align them, all in one run of bytes.
+
+        Chunks follow each other there, so each one's last byte is a common end.
+        """
+        chunks = [key if type(key) is str else key[0] for key in keys]
+        spelling = [b" " + chunk.encode() for chunk in chunks]
+        left, left_at, right, right_at = self.encoded(chunks, spelling)
+        good = spelt(left, left_at, self.left_bytes, spelling)
+        good &= spelt(right, right_at, self.right_bytes, spelling)
+        left = left[np.repeat(good, np.diff(left_at))]
+        right = right[np.repeat(good, np.diff(right_at))]
+        ends, other_ends = np.cumsum(self.left_sizes[left]), np.cumsum(self.right_sizes[right])
+        common, upto, other_upto = slice_ends(ends, other_ends)
+        groups = pc.binary_join_element_wise(id_lists(left, upto), id_lists(right, other_upto), "|")
+        stretches, i, j = slice_links(ends, other_ends)
+        pairs = (left[i] << 32 | right[j]).astype("<i8").tobytes()
+
+        # Where each chunk ends, in bytes, and with that in groups and in links.
+        last = np.cumsum(np.where(good, np.fromiter(map(len, spelling), np.int64, len(chunks)), 0))
+        group_at = np.append(0, np.searchsorted(common, last, "right"))
+        link_at = np.append(0, np.searchsorted(stretches, last, "right")) * 8
+        listed = pa.ListArray.from_arrays(pa.array(group_at, pa.int32()), groups)
+        places = np.fromiter(map(self.place.__getitem__, keys), np.int64, len(keys))
+        bounds = zip(places.tolist(), pc.binary_join(listed, ";").to_pylist(), link_at[:-1].tolist(), link_at[1:].tolist(), strict=True)
+        for place, text, a, b in bounds:
+            self.groups[place] = text
+            self.pairs[place] = pairs[a:b]
+        numbers = np.stack([np.diff(left_at), np.diff(right_at), np.diff(group_at)], axis=1)
+        self.sizes[places] = np.where(good[:, None], numbers, 0)
+
+    def encoded(self, chunks: list[str], spelling: list[bytes]) -> tuple[np.ndarray, ...]:
+        """Ids of either side, and where those of each chunk start and the last ends.
+
+        Chunks without a blank at either end are encoded as one text, which is
+        cut at their ends. Should it not come out byte by byte, and for other
+        chunks, each is encoded alone.
+        """
+        if not any(map(odd_edges, chunks)):
+            whole = " ".join(chunks)
+            left = np.array(self.left.encode(" " + whole, add_special_tokens=False).ids, np.int64)
+            right = np.array(self.right.encode(whole), np.int64)
+            last = np.cumsum(np.fromiter(map(len, spelling), np.int64, len(chunks)))
+            at = [
+                np.append(0, np.searchsorted(ends, last, "right"))
+                for ends in (np.cumsum(self.left_sizes[left]), np.cumsum(self.right_sizes[right]))
+            ]
+            if b"".join(map(self.left_bytes.__getitem__, left.tolist())) == b"".join(
+                map(self.right_bytes.__getitem__, right.tolist())
+            ) == b"".join(spelling):
+                return left, at[0], right, at[1]
+        texts = [" " + chunk for chunk in chunks]
+        single = [e.ids for e in self.left.encode_batch_fast(texts, add_special_tokens=False)]
+        return *flat(single), *flat(self.right.encode(chunks, num_threads=1))
 
     def documents(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, str, np.ndarray]]:
         """Per text: numbers of left and right tokens and of groups, groups, pairs of ids."""
-        cut = [cut_text(text) for text in texts]
-        if len(self.chunks) > CACHED_CHUNKS:
-            self.chunks.clear()
-        self.learn([c for c in {c for chunks in cut for c in chunks} if c not in self.chunks])
-        for chunks in cut:
-            found = list(map(self.chunks.__getitem__, chunks))
-            if not found or None in found:
+        if self.place.count > CACHED_CHUNKS:
+            self.forget()
+        cut = [text.split(" ") if text else [] for text in texts]
+        found = [list(map(self.place.__getitem__, chunks)) for chunks in cut]
+        for n, places in enumerate(found):
+            # A blank stands next to a space, so that this text is cut at fewer places.
+            if ODD in places:
+                found[n] = [self.place[(c,) if odd_edges(c) else c] for c in CUT.split(texts[n])]
+        self.learn()
+        for places in found:
+            sizes = self.sizes[places]
+            if not places or not sizes[:, 0].all():
                 yield 0, 0, 0, "", np.empty(0, np.int64)
                 continue
-            groups, left, right, counts, pairs = zip(*found, strict=True)
-            yield sum(left), sum(right), sum(counts), ";".join(groups), np.frombuffer(b"".join(pairs), "<i8")
+            np.add.at(self.uses, places, 1)
+            groups = ";".join(map(self.groups.__getitem__, places))
+            pairs = b"".join(map(self.pairs.__getitem__, places))
+            yield *sizes.sum(axis=0).tolist(), groups, np.frombuffer(pairs, "<i8")
 
 
-def cut_text(text: str | None) -> list[str]:
-    """Chunks of a text, each without the space before it."""
-    if not text:
-        return []
-    return CUT.split(text) if UNCLEAR_SPACE.search(text) else text.split(" ")
+def flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of ids one after the other, and where each starts and the last ends."""
+    starts = np.append(0, np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))))
+    return np.fromiter(chain.from_iterable(ids), np.int64, starts[-1]), starts
 
 
 class Block:

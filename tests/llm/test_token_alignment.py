@@ -162,6 +162,7 @@ def test_odd_texts_and_small_blocks(spark, libraries, monkeypatch, block_links):
 
 def test_cached_chunks_may_be_cleared(spark, libraries, monkeypatch):
     monkeypatch.setattr(token_alignment, "CACHED_CHUNKS", 5)
+    monkeypatch.setattr(token_alignment, "LEARNT_CHUNKS", 2)
     rows = [(n, f"some {n % 7} words {n} of text") for n in range(40)]
     aligner = token_alignment.Aligner(LEFT, RIGHT)
     found = [d for _, text in rows for d in aligner.documents([text])]
