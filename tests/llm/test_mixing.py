@@ -53,6 +53,13 @@ def test_equal_rows_go_together_and_nothing_is_lost(spark):
     assert len({row.taken for row in found if row.doc_id == 7}) == 1
 
 
+def test_a_very_long_text_is_counted_whole(spark):
+    rows = [(1, "w\t" * 700_000, "s"), (2, "x" * 900_000, "s"), (3, "a b", "t")]
+    found = {r.doc_id: r for r in mixing.mix(spark, documents(spark, rows)).collect()}
+    assert {k: r.size for k, r in found.items()} == {1: 700_000, 2: 1, 3: 2}
+    assert {k: r.source_size for k, r in found.items()} == {1: 700_001, 2: 700_001, 3: 2}
+
+
 def test_empty_table(spark):
     empty = documents(spark, [(1, "x", "s")]).where("false")
     assert mixing.mix(spark, empty).collect() == []

@@ -48,6 +48,15 @@ def test_rules_that_are_shuffled(spark, monkeypatch):
     test_cases(spark)
 
 
+def test_very_long_urls(spark):
+    path = "/en/1" + "/x" * 150_000
+    urls = [f"http://{'sub.' * 2000}example.org{path}?{'q' * 100_000}", "http://" + "h" * 300_000]
+    rules = url_filters.rule_table(spark, url_filters.RULES)
+    found = {r.page_id: r for r in url_filters.judge_urls(pages(spark, urls), rules).collect()}
+    assert (found[0].rule, found[0].verdict, found[0].path) == ("example.org/en/1", "block", path)
+    assert (found[1].host, found[1].rule, found[1].verdict) == ("h" * 300_000, None, "allow")
+
+
 @pytest.mark.parametrize("empty", ["pages", "rules"])
 def test_empty_tables(spark, empty):
     rules = url_filters.rule_table(spark, url_filters.RULES)
