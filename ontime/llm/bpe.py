@@ -23,8 +23,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Collection, Iterator
-from itertools import filterfalse
+from collections.abc import Collection, Iterable, Iterator
+from itertools import filterfalse, islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Entries of the two caches of a Python worker, some 150 and 300 bytes each.
 CACHED_WORDS = 300_000
-CACHED_CHUNKS = 1_000_000
+CACHED_CHUNKS = 500_000
 # Tokens that one decoding query aggregates, and words that one encodes.
 DECODE_TOKENS = 400_000
 ENCODE_WORDS = 20_000
@@ -176,7 +176,7 @@ class Codec:
         self.split = regex.compile(pattern).findall
         self.sql = duckdb.connect(config={"threads": 1, "memory_limit": SQL_MEMORY})
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)])
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, tuple[bytes, bytes]] = {}
         self.ids: dict[str, bytes | None] = {}
         self.bytes: dict[str, bytes | None] = {}
         left, right, merged = map(pa.array, zip(*merge_rows(ranks), strict=True))
@@ -252,25 +252,32 @@ class Codec:
         clean = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
         self.ids.update(dict.fromkeys(chunks - set(clean)))
         spelt = [[" " + c] if c.isalpha() else self.split(" " + c) for c in clean]
-        ids = self.joined(spelt, {words[0] for words in spelt if len(words) == 1})
-        self.ids.update(zip(clean, ids, strict=True))
-        self.bytes.update(zip(clean, self.decode(ids), strict=True))
+        pairs = self.joined(spelt, {words[0] for words in spelt if len(words) == 1})
+        self.ids.update((chunk, ids) for chunk, (ids, _) in zip(clean, pairs, strict=True))
+        self.bytes.update((chunk, back) for chunk, (_, back) in zip(clean, pairs, strict=True))
 
-    def joined(self, spelt: list[list[str]], passing: Collection[str] = ()) -> list[bytes]:
-        """Ids of texts given as words. Words are kept, but for `passing` ones."""
-        known: dict[str, bytes] = {}
+    def joined(self, spelt: list[list[str]], passing: Collection[str] = ()) -> list[tuple[bytes, bytes]]:
+        """Ids, and the bytes that they decode to, of texts given as words.
+
+        Words are encoded and decoded once, and kept but for `passing` ones.
+        """
+        known: dict[str, tuple[bytes, bytes]] = {}
         fresh = []
         for word in {word for words in spelt for word in words}:
-            ids = self.words.get(word) or (self.ids.get(word[1:]) if word[0] == " " else None)
-            if ids:
-                known[word] = ids
-            else:
+            pair = self.words.get(word)
+            if pair is None and word[0] == " " and (ids := self.ids.get(word[1:])):
+                pair = ids, self.bytes[word[1:]]
+            if pair is None:
                 fresh.append(word)
-        known |= (new := self.merged(fresh))
+            else:
+                known[word] = pair
+        found = self.merged(fresh)
+        new = dict(zip(found, zip(found.values(), self.decode(list(found.values())), strict=True), strict=True))
+        known |= new
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
-        self.words.update((word, ids) for word, ids in new.items() if word not in passing)
-        return [b"".join(map(known.__getitem__, words)) for words in spelt]
+        self.words.update((word, pair) for word, pair in new.items() if word not in passing)
+        return [known[words[0]] if len(words) == 1 else together(map(known.__getitem__, words)) for words in spelt]
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """For each text, its ids as little-endian unsigned 32-bit integers, and
@@ -281,8 +288,9 @@ class Codec:
         blank is next to another these are all spaces, which is tried first.
         """
         if len(self.ids) > CACHED_CHUNKS:
-            self.ids.clear()
-            self.bytes.clear()
+            # Those met first are met often; half of the room is for others.
+            self.ids = dict(islice(self.ids.items(), CACHED_CHUNKS // 2))
+            self.bytes = {chunk: self.bytes[chunk] for chunk in self.ids if chunk in self.bytes}
         cut = [text.split(" ") for text in texts]
         fresh: set[str] = set()
         for chunks in cut:
@@ -300,9 +308,8 @@ class Codec:
             found[n] = self.looked_up(cut[n][1:])
         # Heads follow no space, and ends may have blanks after them.
         outer = self.joined([self.split(t) for t in (*(c[0] for c in cut), *ends)])
-        outer = list(zip(outer, self.decode(outer), strict=True))
         parts = zip(outer[: len(texts)], found, outer[len(texts) :], strict=True)
-        return [tuple(map(b"".join, zip(*three, strict=True))) for three in parts]
+        return list(map(together, parts))
 
     def looked_up(self, chunks: list[str]) -> tuple[bytes, bytes] | None:
         """Ids and bytes of known chunks, or None if one depends on its neighbours."""
@@ -350,6 +357,15 @@ class Codec:
             decoded[n] += piece.encode("utf-16-le")[::2]
 
 
+def together(pairs: Iterable[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
+    """Ids and bytes of neighbours, one after the other."""
+    ids, decoded = [], []
+    for some, back in pairs:
+        ids.append(some)
+        decoded.append(back)
+    return b"".join(ids), b"".join(decoded)
+
+
 # A space that begins a word whatever is around. Python's blanks include all of
 # the pattern's.
 CUT = re.compile(r"(?<=\S) (?=\S)")
