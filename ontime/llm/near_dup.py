@@ -56,7 +56,7 @@ BANDS = 38
 BLOCK_MEMBERS = 256
 # Signatures of sets up to this size are made from all ranks at once.
 SMALL_SET = 48
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 # Sets that are compared with all others of their size, band or no band.
 TINY_SET = 25
 # Sets whose shingles are counted for an order, and shingles that have a place

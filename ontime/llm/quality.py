@@ -234,13 +234,14 @@ def quality_report(spark: SparkSession, docs: DataFrame, host: str = "source") -
 def quality_documents(spark: SparkSession, docs: DataFrame, host: str = "source") -> DataFrame:
     """The documents that pass, without the lines above the limit; columns kept.
 
-    The judged rows are written before the filter: merged with the projections
-    below it, it would compute the signals of a text once for each use.
+    The number of a row, which no filter is moved below, keeps the filter above
+    the projections: merged with them, it would compute the signals of a text
+    once for each use.
     """
     rows = judged(spark, docs, host).select("kept_row", "clean_text", "kept")
-    written, _ = materialise(spark, rows, "judged")
+    numbered = rows.withColumn("row_number", F.monotonically_increasing_id())
     fields = [
         F.col("clean_text").alias(name) if name == "text" else F.col(f"kept_row.`{name}`")
         for name in docs.columns
     ]
-    return written.where("kept").select(*fields)
+    return numbered.where("kept AND row_number >= 0").select(*fields)
