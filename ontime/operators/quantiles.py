@@ -19,7 +19,7 @@ from decimal import Decimal
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ontime import schema as S
@@ -93,11 +93,12 @@ def percentiles_from_histogram(
 
     by = [*map(_quoted, keys)]
     values = _celled(histogram, by, value, count)
-    targets = stored(_first_targets(values, by, ranks), "ranks")
+    targets, still_open = _located(_first_targets(values, by, ranks))
     found = [*by, "_total", "_rank_no", "_low"]
     settled = targets.where(_SETTLED).select(*found)
     rows = None
-    while not (rest := targets.where(f"NOT ({_SETTLED})")).isEmpty():
+    while still_open:
+        rest = targets.where(f"NOT ({_SETTLED})")
         if rows is None:
             place, inside = [*keys, "_cell"], values
         else:
@@ -109,7 +110,7 @@ def percentiles_from_histogram(
         wanted = rest.join(_renamed(cells, place), _same(rest, place)).select(
             *by, "_total", "_rank_no", F.col("_rank").alias("_wanted"), F.col("_new").alias("_id")
         )
-        targets = stored(_next_targets(rows, wanted), "ranks")
+        targets, still_open = _located(_next_targets(rows, wanted))
         settled = settled.unionByName(targets.where(_SETTLED).select(*found))
     return settled.groupBy(*by).agg(*fields)
 
@@ -118,6 +119,13 @@ def percentiles_from_histogram(
 _SETTLED = "_low <=> _high"
 
 
+def _located(targets: DataFrame) -> tuple[DataFrame, int]:
+    """The targets, stored, and how many are not settled, counted on the way."""
+    seen = Observation()
+    watched = targets.observe(seen, F.count_if(F.expr(f"NOT ({_SETTLED})")).alias("open"))
+    return stored(watched, "ranks"), seen.get["open"]
+
+
 def _value_at(rank_no: int) -> str:
     return f"max(CASE WHEN _rank_no = {rank_no} THEN _low END)"
 
