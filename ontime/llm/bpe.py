@@ -1,15 +1,15 @@
-"""Byte-level BPE encoding and decoding with recursive SQL inside each partition.
+"""Byte-level BPE encoding and decoding by merges over arrays inside each partition.
 
-A partition's texts are cut into words by the vocabulary's pattern. Words not
-met before become rows (word, position, token) of an embedded SQL engine; a
-recursive query joins neighbouring tokens with the merge table and contracts,
-per word and step, the leftmost pair of the smallest rank, until no word has a
-pair left. Ids are decoded by a join with the vocabulary and an aggregation in
-order of position. What lies between two single spaces is encoded and decoded
-once and kept; a text's ids and bytes are those of its chunks in order.
+A partition's texts are cut into words by the vocabulary's pattern. The bytes of
+words not met before become one array of tokens; a step finds each word's pair
+of the smallest rank in the merge table and contracts it from left to right,
+for all words at once, until no word has a pair left. Ids are decoded by a look
+into the vocabulary's bytes. What lies between two single spaces is encoded once
+and its ids are kept; a text's ids are those of its chunks in order, and its
+bytes are decoded from all of its ids.
 
 Spark deals out the texts; nothing is shuffled. A task holds one Arrow batch
-of texts, a bounded cache of words and the vocabulary, which is one file of
+of texts, bounded caches of ids and the vocabulary, which is one file of
 fixed size. Texts are never cut: long ones are decoded in slices of tokens.
 
 Defined results: null is the empty text, with no ids and the digest of no
@@ -23,130 +23,30 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Collection, Iterable, Iterator
+from collections.abc import Collection, Iterator
 from itertools import filterfalse, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-# Entries of the two caches of a Python worker, some 150 and 300 bytes each.
+# Entries of the two caches of a Python worker, some 200 bytes each.
 CACHED_WORDS = 300_000
 CACHED_CHUNKS = 500_000
-# Tokens that one decoding query aggregates, and words that one encodes.
-DECODE_TOKENS = 400_000
+# Tokens that are decoded, and words that are encoded, at a time.
+DECODE_TOKENS = 100_000
 ENCODE_WORDS = 20_000
-# Words of more bytes than this are contracted many pairs to a step, about so
-# many bytes of them at a time.
+# Words of more bytes than this are encoded apart, about so many bytes of them
+# at a time.
 LONG_WORD = 400
 LONG_BYTES = 200_000
 # Texts of an Arrow batch are handled in groups of about so many characters.
 GROUP_CHARS = 2_000_000
-SQL_MEMORY = "160MB"
 
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-# Each byte has a printable stand-in in the SQL engine, so that pieces of a
-# character are text there: byte b is the character 256 + b.
-STAND_IN = 256
-
-# A row is a token with its position in the word and the one that follows it.
-# `pair` orders a word's pairs by rank, then position, in one number.
-MERGE_STEPS = """
-WITH RECURSIVE steps AS (
-  SELECT word, position, token, next_position, next_token, true AS open FROM letters
-  UNION ALL
-  (
-    WITH met AS (
-      SELECT s.word, s.position, s.token, s.next_position, s.next_token,
-        (m.merged << 32) + s.position AS pair
-      FROM steps s LEFT JOIN merges m ON m.l = s.token AND m.r = s.next_token
-      WHERE s.open
-    ),
-    best AS (
-      SELECT word, min(pair) >> 32 AS merged, min(pair) & 4294967295 AS place,
-        arg_min(next_position, pair) AS gone
-      FROM met GROUP BY word
-    ),
-    chosen AS (
-      SELECT b.word, b.merged, b.place, b.gone,
-        g.next_position AS after_position, g.next_token AS after_token
-      FROM best b LEFT JOIN met g ON g.word = b.word AND g.position = b.gone
-    )
-    SELECT t.word, t.position,
-      CASE WHEN t.position = c.place THEN c.merged ELSE t.token END,
-      CASE WHEN t.position = c.place THEN c.after_position ELSE t.next_position END,
-      CASE WHEN t.position = c.place THEN c.after_token
-        WHEN t.next_position = c.place THEN c.merged ELSE t.next_token END,
-      c.merged IS NOT NULL
-    FROM met t JOIN chosen c ON c.word = t.word
-    WHERE t.position IS DISTINCT FROM c.gone
-  )
-)
-SELECT word, list(token ORDER BY position) AS ids FROM steps WHERE NOT open GROUP BY word ORDER BY word
-"""
-
-# The same for long words, many pairs to a step. Pairs of the smallest rank that
-# do not overlap are contracted from left to right, up to the first one whose
-# new token makes a pair of a smaller rank still with a neighbour, since that
-# pair is next. So each step ends where as many single ones would.
-LONG_MERGE_STEPS = """
-WITH RECURSIVE steps AS (
-  SELECT word, position, token, next_position, next_token, true AS open FROM letters
-  UNION ALL
-  (
-    WITH met AS (
-      SELECT s.word, s.position, s.token, s.next_token, m.merged
-      FROM steps s LEFT JOIN merges m ON m.l = s.token AND m.r = s.next_token
-      WHERE s.open
-    ),
-    least AS (SELECT word, min(merged) AS merged FROM met GROUP BY word),
-    marked AS (
-      SELECT t.*, b.merged AS least, coalesce(t.merged = b.merged, false) AS hit,
-        lag(t.token) OVER o AS before, lead(t.next_token) OVER o AS after
-      FROM met t JOIN least b USING (word)
-      WINDOW o AS (PARTITION BY word ORDER BY position)
-    ),
-    runs AS (
-      SELECT *, sum(CASE WHEN hit THEN 0 ELSE 1 END) OVER (PARTITION BY word ORDER BY position) AS run
-      FROM marked
-    ),
-    turns AS (
-      SELECT *, hit AND row_number() OVER (PARTITION BY word, run, hit ORDER BY position) % 2 = 1 AS turn
-      FROM runs
-    ),
-    lower AS (
-      SELECT t.word, min(t.position) AS place
-      FROM turns t
-      LEFT JOIN merges x ON x.l = t.before AND x.r = t.least
-      LEFT JOIN merges y ON y.l = t.least AND y.r = t.after
-      LEFT JOIN merges z ON z.l = t.least AND z.r = t.least
-      WHERE t.turn AND least(x.merged, y.merged, z.merged) < t.least
-      GROUP BY t.word
-    ),
-    taken AS (
-      SELECT t.word, t.position, t.token, t.least, t.turn AND (l.place IS NULL OR t.position <= l.place) AS taken
-      FROM turns t LEFT JOIN lower l USING (word)
-    ),
-    kept AS (
-      SELECT * FROM (
-        SELECT *, coalesce(lag(taken) OVER (PARTITION BY word ORDER BY position), false) AS gone FROM taken
-      ) x WHERE NOT gone
-    )
-    SELECT word, position, CASE WHEN taken THEN least ELSE token END,
-      lead(position) OVER o,
-      lead(CASE WHEN taken THEN least ELSE token END) OVER o,
-      least IS NOT NULL
-    FROM kept WINDOW o AS (PARTITION BY word ORDER BY position)
-  )
-)
-SELECT word, list(token ORDER BY position) AS ids FROM steps WHERE NOT open GROUP BY word ORDER BY word
-"""
-
-DECODE = """
-SELECT string_agg(v.piece, '' ORDER BY i.position) AS piece
-FROM ids i JOIN vocabulary v USING (token) GROUP BY i.text ORDER BY i.text
-"""
+# A pair that is no token; more than any rank.
+NO_PAIR = np.iinfo(np.int32).max
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -166,84 +66,127 @@ def merge_rows(ranks: dict[bytes, int]) -> list[tuple[int, int, int]]:
 
 
 class Codec:
-    """The vocabulary in an embedded SQL engine, and the words encoded so far."""
+    """The vocabulary as arrays, and the ids of words and chunks met so far."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        import duckdb
         import regex
 
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
-        self.sql = duckdb.connect(config={"threads": 1, "memory_limit": SQL_MEMORY})
-        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)])
-        self.words: dict[str, tuple[bytes, bytes]] = {}
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        self.words: dict[str, bytes] = {}
         self.ids: dict[str, bytes | None] = {}
-        self.bytes: dict[str, bytes | None] = {}
-        left, right, merged = map(pa.array, zip(*merge_rows(ranks), strict=True))
-        rows = pa.table({"l": left, "r": right, "merged": merged})
-        self.load("merges", rows)
-        self.load(
-            "vocabulary",
-            pa.table(
-                {
-                    "token": pa.array(ranks.values(), pa.uint32()),
-                    "piece": ["".join(chr(STAND_IN + b) for b in token) for token in ranks],
-                }
-            ),
-        )
-
-    def load(self, name: str, rows: pa.Table) -> None:
-        self.sql.register("incoming", rows)
-        self.sql.execute(f"CREATE TABLE {name} AS SELECT * FROM incoming")
-        self.sql.unregister("incoming")
+        # The merge table, sorted by the pair as one number.
+        left, right, rank = np.array(merge_rows(ranks), np.int64).reshape(-1, 3).T
+        pairs = (left << 32) | right
+        order = np.argsort(pairs)
+        self.pairs = np.append(pairs[order], np.iinfo(np.int64).max)
+        self.pair_ranks = np.append(rank[order], NO_PAIR).astype(np.int32)
+        # Token n is size[n] bytes of `pieces` from start[n] on.
+        tokens = list(ranks)
+        numbers = np.fromiter(ranks.values(), np.int64, len(ranks))
+        sizes = np.fromiter(map(len, tokens), np.int32, len(tokens))
+        self.pieces = np.frombuffer(b"".join(tokens), np.uint8)
+        self.start = np.zeros(numbers.max() + 1, np.int32)
+        self.size = np.zeros(numbers.max() + 1, np.int32)
+        self.start[numbers] = np.cumsum(sizes) - sizes
+        self.size[numbers] = sizes
+
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of the token that each pair makes, or NO_PAIR."""
+        wanted = (left.astype(np.int64) << 32) | right
+        at = np.searchsorted(self.pairs, wanted)
+        return np.where(self.pairs[at] == wanted, self.pair_ranks[at], NO_PAIR)
 
     def merged(self, words: list[str]) -> dict[str, bytes]:
-        """The ids of words: one token's own, or by the recursive query, some words at a time."""
+        """The ids of words: one token's own, or by merges, some words at a time."""
         spelt = {word: word.encode() for word in words}
         found = {w: self.ranks[b].to_bytes(4, "little") for w, b in spelt.items() if b in self.ranks}
         rest = [word for word in words if word not in found]
         short = [word for word in rest if len(spelt[word]) <= LONG_WORD]
         for start in range(0, len(short), ENCODE_WORDS):
-            found |= self.contracted(short[start : start + ENCODE_WORDS], MERGE_STEPS)
+            found |= self.contracted(short[start : start + ENCODE_WORDS])
         some: list[str] = []
         for word in rest:
             if len(spelt[word]) > LONG_WORD:
                 some.append(word)
                 if sum(len(spelt[w]) for w in some) >= LONG_BYTES:
-                    found |= self.contracted(some, LONG_MERGE_STEPS)
+                    found |= self.contracted(some)
                     some = []
-        return found | self.contracted(some, LONG_MERGE_STEPS) if some else found
-
-    def contracted(self, words: list[str], steps: str) -> dict[str, bytes]:
-        """The ids that words come down to in a recursive query."""
-        self.sql.register("letters", self.letters(words))
-        rows = self.sql.sql(steps).to_arrow_table()
-        self.sql.unregister("letters")
-        ids = rows.column("ids").combine_chunks()
-        flat = ids.values.cast(pa.uint32()).to_numpy().astype("<u4").tobytes()
-        ends = (ids.offsets.to_numpy() * 4).tolist()
-        return {word: flat[a:b] for word, a, b in zip(words, ends[:-1], ends[1:], strict=True)}
-
-    def letters(self, words: list[str]) -> pa.Table:
-        """The bytes of words as token rows; nothing follows the last one of a word."""
+        return found | self.contracted(some) if some else found
+
+    def contracted(self, words: list[str]) -> dict[str, bytes]:
+        """The ids that words come down to when their pairs are contracted."""
         spelt = [word.encode() for word in words]
         sizes = np.fromiter(map(len, spelt), np.int64, len(spelt))
-        starts = np.cumsum(sizes) - sizes
+        word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
         token = self.byte_ids[np.frombuffer(b"".join(spelt), np.uint8)]
-        position = np.arange(len(token)) - np.repeat(starts, sizes)
-        last = position == np.repeat(sizes, sizes) - 1
-        return pa.table(
-            {
-                "word": np.repeat(np.arange(len(words), dtype=np.int32), sizes),
-                "position": position,
-                "token": token,
-                "next_position": pa.array(position + 1, mask=last),
-                "next_token": pa.array(np.append(token[1:], 0), mask=last),
-            }
-        )
+        # rank[n] is that of the pair of token n and the next one of its word.
+        rank = np.full(len(token), NO_PAIR, np.int32)
+        inside = np.flatnonzero(word[:-1] == word[1:])
+        rank[inside] = self.rank_of(token[inside], token[inside + 1])
+        done_words, done_tokens = [], []
+        while len(token):
+            starts = np.flatnonzero(np.diff(word, prepend=-1))
+            least = np.repeat(np.minimum.reduceat(rank, starts), np.diff(starts, append=len(word)))
+            ended = least == NO_PAIR
+            if ended.any():
+                done_words.append(word[ended])
+                done_tokens.append(token[ended])
+                word, token, rank, least = (x[~ended] for x in (word, token, rank, least))
+            if len(token):
+                word, token, rank = self.step(word, token, rank, least)
+        order = np.argsort(np.concatenate(done_words), kind="stable")
+        flat = np.concatenate(done_tokens)[order].astype("<u4").tobytes()
+        ends = [0, *(np.cumsum(np.bincount(np.concatenate(done_words))) * 4).tolist()]
+        return {w: flat[a:b] for w, a, b in zip(words, ends[:-1], ends[1:], strict=True)}
+
+    def step(
+        self, word: np.ndarray, token: np.ndarray, rank: np.ndarray, least: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Contract pairs of each word's smallest rank; every word has one.
+
+        Those that do not overlap are contracted from left to right, up to the
+        first one whose new token makes a pair of a smaller rank still with a
+        neighbour, since that pair is next. So the step ends where as many
+        single ones would.
+        """
+        # Of pairs that overlap in a row, the first one, the third and so on.
+        at = np.flatnonzero(rank == least)
+        heads = np.diff(at, prepend=-2) != 1
+        at = at[(at - at[heads][np.cumsum(heads) - 1]) % 2 == 0]
+        new = rank[at]
+        # New tokens and their old neighbours. A missing one is found outside
+        # the word, or is the token itself at an end of the array.
+        before, after = np.maximum(at - 1, 0), np.minimum(at + 2, len(token) - 1)
+        has_before = (before < at) & (word[before] == word[at])
+        has_after = (after > at + 1) & (word[after] == word[at])
+        left = np.where(has_before, self.rank_of(token[before], new), NO_PAIR)
+        right = np.where(has_after, self.rank_of(new, token[after]), NO_PAIR)
+        lower = np.minimum(left, right) < new
+        # Two new tokens side by side make a pair when the second one is there.
+        beside = np.flatnonzero(has_after[:-1] & (at[1:] == at[:-1] + 2))
+        double = self.rank_of(new[beside], new[beside])
+        lower[beside + 1] |= double < new[beside]
+        right[beside] = double
+        if lower.any():
+            firsts = np.diff(word[at], prepend=-1) != 0
+            earlier = np.cumsum(lower) - lower
+            taken = earlier == earlier[firsts][np.cumsum(firsts) - 1]
+            # The last one taken has its old neighbour to the right.
+            last = beside[~taken[beside + 1]]
+            right[last] = self.rank_of(new[last], token[after[last]])
+            at, new, before, has_before, left, right = (
+                x[taken] for x in (at, new, before, has_before, left, right)
+            )
+        rank[before[has_before]] = left[has_before]
+        token[at], rank[at] = new, right
+        stays = np.ones(len(token), bool)
+        stays[at + 1] = False
+        return word[stays], token[stays], rank[stays]
 
     def learn(self, chunks: set[str]) -> None:
-        """Encode and decode chunks that follow a space, and keep both results.
+        """Encode chunks that follow a space, and keep their ids.
 
         Only chunks without a blank at either end are independent of their
         neighbours; others are kept as None, which marks their texts. Letters
@@ -252,45 +195,36 @@ class Codec:
         clean = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
         self.ids.update(dict.fromkeys(chunks - set(clean)))
         spelt = [[" " + c] if c.isalpha() else self.split(" " + c) for c in clean]
-        pairs = self.joined(spelt, {words[0] for words in spelt if len(words) == 1})
-        self.ids.update((chunk, ids) for chunk, (ids, _) in zip(clean, pairs, strict=True))
-        self.bytes.update((chunk, back) for chunk, (_, back) in zip(clean, pairs, strict=True))
-
-    def joined(self, spelt: list[list[str]], passing: Collection[str] = ()) -> list[tuple[bytes, bytes]]:
-        """Ids, and the bytes that they decode to, of texts given as words.
+        ids = self.joined(spelt, {words[0] for words in spelt if len(words) == 1})
+        self.ids.update(zip(clean, ids, strict=True))
 
-        Words are encoded and decoded once, and kept but for `passing` ones.
-        """
-        known: dict[str, tuple[bytes, bytes]] = {}
+    def joined(self, spelt: list[list[str]], passing: Collection[str] = ()) -> list[bytes]:
+        """Ids of texts given as words. Words are kept, but for `passing` ones."""
+        known: dict[str, bytes] = {}
         fresh = []
         for word in {word for words in spelt for word in words}:
-            pair = self.words.get(word)
-            if pair is None and word[0] == " " and (ids := self.ids.get(word[1:])):
-                pair = ids, self.bytes[word[1:]]
-            if pair is None:
-                fresh.append(word)
+            ids = self.words.get(word) or (self.ids.get(word[1:]) if word[0] == " " else None)
+            if ids:
+                known[word] = ids
             else:
-                known[word] = pair
-        found = self.merged(fresh)
-        new = dict(zip(found, zip(found.values(), self.decode(list(found.values())), strict=True), strict=True))
-        known |= new
+                fresh.append(word)
+        known |= (new := self.merged(fresh))
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
-        self.words.update((word, pair) for word, pair in new.items() if word not in passing)
-        return [known[words[0]] if len(words) == 1 else together(map(known.__getitem__, words)) for words in spelt]
+        self.words.update((word, ids) for word, ids in new.items() if word not in passing)
+        return [known[words[0]] if len(words) == 1 else b"".join(map(known.__getitem__, words)) for words in spelt]
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """For each text, its ids as little-endian unsigned 32-bit integers, and
         the bytes that they decode to.
 
         A space between two characters that are no blanks begins a word. Texts
-        are cut there, and each chunk is encoded and decoded once. Where no
+        are cut there, and each chunk is encoded once. Where no
         blank is next to another these are all spaces, which is tried first.
         """
         if len(self.ids) > CACHED_CHUNKS:
             # Those met first are met often; half of the room is for others.
             self.ids = dict(islice(self.ids.items(), CACHED_CHUNKS // 2))
-            self.bytes = {chunk: self.bytes[chunk] for chunk in self.ids if chunk in self.bytes}
         cut = [text.split(" ") for text in texts]
         fresh: set[str] = set()
         for chunks in cut:
@@ -309,21 +243,19 @@ class Codec:
         # Heads follow no space, and ends may have blanks after them.
         outer = self.joined([self.split(t) for t in (*(c[0] for c in cut), *ends)])
         parts = zip(outer[: len(texts)], found, outer[len(texts) :], strict=True)
-        return list(map(together, parts))
+        encoded = list(map(b"".join, parts))
+        return list(zip(encoded, self.decode(encoded), strict=True))
 
-    def looked_up(self, chunks: list[str]) -> tuple[bytes, bytes] | None:
-        """Ids and bytes of known chunks, or None if one depends on its neighbours."""
+    def looked_up(self, chunks: list[str]) -> bytes | None:
+        """Ids of known chunks, or None if one depends on its neighbours."""
         try:
-            return (
-                b"".join(map(self.ids.__getitem__, chunks)),
-                b"".join(map(self.bytes.__getitem__, chunks)),
-            )
+            return b"".join(map(self.ids.__getitem__, chunks))
         except TypeError:  # of a chunk kept as None
             return None
 
     def decode(self, encoded: list[bytes]) -> list[bytes]:
-        """The bytes of each list of ids; the SQL engine gets so many tokens at a time."""
-        decoded = [b""] * len(encoded)
+        """The bytes of each list of ids, so many tokens at a time."""
+        decoded: list[list[bytes]] = [[] for _ in encoded]
         pending: list[tuple[int, bytes]] = []
         size = 0
         for n, ids in enumerate(encoded):
@@ -335,35 +267,22 @@ class Codec:
                 pending.append((n, part))
                 size += len(part)
         self.decode_parts(pending, decoded)
-        return decoded
+        return list(map(b"".join, decoded))
 
-    def decode_parts(self, parts: list[tuple[int, bytes]], decoded: list[bytes]) -> None:
+    def decode_parts(self, parts: list[tuple[int, bytes]], decoded: list[list[bytes]]) -> None:
         if not parts:
             return
-        counts = [len(part) // 4 for _, part in parts]
         tokens = np.frombuffer(b"".join(part for _, part in parts), "<u4")
-        ids = pa.table(
-            {
-                "text": np.repeat(np.arange(len(parts), dtype="i4"), counts),
-                "position": np.arange(len(tokens), dtype="i4"),
-                "token": tokens,
-            }
-        )
-        self.sql.register("ids", ids)
-        pieces = self.sql.sql(DECODE).fetchall()
-        self.sql.unregister("ids")
-        for (n, _), (piece,) in zip(parts, pieces, strict=True):
-            # In UTF-16 the stand-in of byte b is b followed by 1.
-            decoded[n] += piece.encode("utf-16-le")[::2]
-
-
-def together(pairs: Iterable[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
-    """Ids and bytes of neighbours, one after the other."""
-    ids, decoded = [], []
-    for some, back in pairs:
-        ids.append(some)
-        decoded.append(back)
-    return b"".join(ids), b"".join(decoded)
+        sizes = self.size[tokens]
+        ends = np.cumsum(sizes)
+        # Byte n of all parts is in the vocabulary as far from a token's start
+        # there as it is from the token's start here.
+        places = np.repeat(self.start[tokens] - (ends - sizes), sizes) + np.arange(ends[-1])
+        found = self.pieces[places].tobytes()
+        start = 0
+        for (n, _), end in zip(parts, ends[np.cumsum([len(part) // 4 for _, part in parts]) - 1].tolist(), strict=True):
+            decoded[n].append(found[start:end])
+            start = end
 
 
 # A space that begins a word whatever is around. Python's blanks include all of
