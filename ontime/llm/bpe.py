@@ -23,7 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Collection, Iterator
+from collections.abc import Collection, Iterable, Iterator
 from itertools import filterfalse, islice
 
 import numpy as np
@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Entries of the two caches of a Python worker, some 200 bytes each.
-CACHED_WORDS = 300_000
-CACHED_CHUNKS = 500_000
+CACHED_WORDS = 150_000
+CACHED_CHUNKS = 300_000
 # Tokens that are decoded, and words that are encoded, at a time.
 DECODE_TOKENS = 100_000
 ENCODE_WORDS = 20_000
@@ -40,7 +40,9 @@ ENCODE_WORDS = 20_000
 # at a time.
 LONG_WORD = 400
 LONG_BYTES = 200_000
-# Texts of an Arrow batch are handled in groups of about so many characters.
+# Texts are taken from an Arrow batch by so many rows and handled in groups of
+# about so many characters.
+TAKEN_ROWS = 256
 GROUP_CHARS = 2_000_000
 
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -299,7 +301,7 @@ def codec_of(ranks: dict[bytes, int], name: str, pattern: str) -> Codec:
     return CODECS[name, pattern]
 
 
-def groups(texts: list[str]) -> Iterator[list[str]]:
+def groups(texts: Iterable[str]) -> Iterator[list[str]]:
     some, size = [], 0
     for text in texts:
         some.append(text)
@@ -311,6 +313,13 @@ def groups(texts: list[str]) -> Iterator[list[str]]:
         yield some
 
 
+def taken(column: pa.Array) -> Iterator[str]:
+    """The texts of a column, a few rows in Python's memory at a time."""
+    for start in range(0, len(column), TAKEN_ROWS):
+        for text in column.slice(start, TAKEN_ROWS).to_pylist():
+            yield text or ""
+
+
 def token_digests(spark: SparkSession, docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """Per row: doc_id, number of ids, digest of the ids, digest of the decoded bytes.
 
@@ -323,7 +332,7 @@ def token_digests(spark: SparkSession, docs: DataFrame, vocabulary: str, pattern
         codec = codec_of(ranks.value, vocabulary, pattern)
         for batch in batches:
             counts, digests, decoded = [], [], []
-            for texts in groups([text or "" for text in batch.column(1).to_pylist()]):
+            for texts in groups(taken(batch.column(1))):
                 for ids, back in codec.encode(texts):
                     counts.append(len(ids) // 4)
                     digests.append(hashlib.sha256(ids).hexdigest())

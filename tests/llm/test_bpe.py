@@ -3,7 +3,10 @@ from __future__ import annotations
 import hashlib
 import random
 import struct
+import subprocess
+import sys
 import time
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -138,3 +141,29 @@ def test_pairs_of_smaller_rank_made_on_the_way():
         for word, ids in codec.merged(words).items():
             expected = [own[word.encode()]] if word.encode() in own else plain_ids(word, own)
             assert ids == struct.pack(f"<{len(expected)}I", *expected)
+
+
+GROWN = """
+import public_tokenizers
+from ontime.llm import bpe
+from tests.llm.test_bpe import new_words
+
+def own():
+    with open("/proc/self/smaps_rollup") as lines:
+        return sum(int(line.split()[1]) for line in lines if line.startswith(("Pss_Anon", "Pss_Shmem"))) / 1024
+
+ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+before = most = own()
+codec = bpe.Codec(ranks, public_tokenizers.PATTERN)
+for seed in range(16):
+    codec.encode([" ".join(new_words(seed, 40_000))])
+    most = max(most, own())
+print(most - before)
+"""
+
+
+def test_memory_of_a_worker_that_meets_many_words():
+    """640,000 chunks, more than are kept: vocabulary, caches and a group of texts."""
+    top = Path(__file__).parents[2]
+    said = subprocess.run([sys.executable, "-B", "-c", GROWN], cwd=top, capture_output=True, text=True, check=True)
+    assert float(said.stdout.split()[-1]) < 160
