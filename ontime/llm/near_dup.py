@@ -48,6 +48,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime.llm.common import broadcast_if_small, drop_folders, materialise
+from ontime.session import temporary_folders, work_folder
 
 # A prime number of slots; the bands use all but the last.
 SLOTS = 191
@@ -476,11 +477,12 @@ def near_duplicates(
     """Per row: doc_id, n_shingles, component_id (least linked doc_id) and kept.
 
     Rows that share a doc_id count as linked. Intermediate tables hold keys,
-    sizes and band keys; shingles are computed again for candidates alone.
+    sizes and band keys; shingles are computed again for candidates alone. Each
+    table goes once those made from it are written, but those the result reads.
     """
     rows, _ = materialise(spark, signed(docs, shingle_words), "signed")
     reps, _ = materialise(spark, classes(rows), "classes")
-    members, _ = materialise(spark, bucket_members(reps), "buckets")
+    members, buckets = materialise(spark, bucket_members(reps), "buckets")
     pairs = members.where("rep <> picked.rep").select(
         F.least("rep", "picked.rep").alias("a"),
         F.greatest("rep", "picked.rep").alias("b"),
@@ -488,19 +490,23 @@ def near_duplicates(
         F.col("picked.n_shingles").alias("picked_shingles"),
     )
     pairs = pairs.where(may_link("n_shingles", "picked_shingles", percent)).select("a", "b").distinct()
-    pairs, _ = materialise(spark, pairs, "pairs")
+    pairs, candidates = materialise(spark, pairs, "pairs")
     tiny = reps.where(F.col("n_shingles") <= TINY_SET).select("rep")
     wanted = members.select("rep").union(tiny).distinct()
-    sets, _ = materialise(spark, sets_of(docs, wanted, shingle_words), "sets")
+    sets, full_sets = materialise(spark, sets_of(docs, wanted, shingle_words), "sets")
     edges = confirmed(pairs, sets, percent).union(shared_ids(spark, rows))
     first = components(spark, edges, "groups")
     first, _ = materialise(spark, first, "labels")
     opened = open_members(members, first, reps).join(sets, F.col("rep") == F.col("s_rep")).drop("s_rep")
-    opened, _ = materialise(spark, opened, "open-sets")
+    opened, open_sets = materialise(spark, opened, "open-sets")
+    drop_folders(spark, [buckets, candidates])
     prefixes = prefix_rows(opened, frequent_shingles(opened, opened.count()), percent)
-    prefixes, _ = materialise(spark, prefixes, "prefixes")
-    clusters, _ = materialise(spark, open_clusters(prefixes), "clusters")
+    prefixes, first_shingles = materialise(spark, prefixes, "prefixes")
+    drop_folders(spark, [open_sets])
+    clusters, met = materialise(spark, open_clusters(prefixes), "clusters")
+    drop_folders(spark, [first_shingles])
     joined = components(spark, cluster_links(clusters, sets, percent), "joined-groups")
+    drop_folders(spark, [full_sets, met])
     joined = joined.select(F.col("node").alias("j_node"), F.col("label").alias("j_label"))
     named = (
         labelled(reps.select("rep").distinct(), first)
@@ -546,7 +552,11 @@ def deduplicated(spark: SparkSession, docs: DataFrame, **choices) -> DataFrame:
     number = free_name("_row", docs.columns)
     numbered, _ = materialise(spark, docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
     own = numbered.select(F.col(number).alias("doc_id"), F.col("`text`").alias("text"))
-    report, _ = materialise(spark, near_duplicates(spark, own, **choices), "near-duplicates")
+    folder = work_folder(spark, "near-duplicates")
+    with temporary_folders(spark):
+        found = near_duplicates(spark, own, **choices)
+        found.write.parquet(folder)
+    report = spark.read.schema(found.schema).parquet(folder)
     groups = report.join(
         report.where(~F.col("kept")).select("component_id").distinct(), "component_id", "left_semi"
     ).select("component_id", F.col("doc_id").alias("n_row"))
@@ -556,4 +566,6 @@ def deduplicated(spark: SparkSession, docs: DataFrame, **choices) -> DataFrame:
         groups.join(ids, "n_row").groupBy("component_id").agg(F.min(rank)["n_row"].alias("n_row"))
     )
     gone = groups.join(chosen.select("n_row"), "n_row", "left_anti").select(F.col("n_row").alias(number))
-    return numbered.join(gone, number, "left_anti").drop(number)
+    gone, _ = materialise(spark, gone, "gone")
+    # Only a list of too many rows makes whole texts travel.
+    return numbered.join(broadcast_if_small(gone, gone.count()), number, "left_anti").drop(number)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import helpers
 import numpy as np
@@ -215,6 +216,30 @@ def test_different_texts_of_one_id_all_stay(spark):
     assert found == sorted([rows[0], rows[1], rows[3], rows[5]], key=repr)
 
 
+def test_tables_that_nothing_reads_any_more_are_gone(spark):
+    """Intermediate tables do not pile up, and a short list of rows is broadcast to the texts."""
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+
+    def made(before):
+        return {p.name.removeprefix("ontime-").rpartition("-")[0] for p in set(shared.iterdir()) - before}
+
+    docs = documents(spark, corpus(random.Random(4), families=2, hot=5))
+    before = set(shared.iterdir())
+    near_dup.near_duplicates(spark, docs).collect()
+    assert not made(before) & {"buckets", "pairs", "sets", "open-sets", "prefixes", "clusters"}
+    before, was = set(shared.iterdir()), spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        kept = near_dup.deduplicated(spark, docs)
+        assert made(before) == {"numbered", "near-duplicates", "gone"}
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert 0 < kept.count() < docs.count()
+    finally:
+        spark.conf.set(threshold, was)
+
+
 def test_empty_table(spark):
     docs = documents(spark, {1: "a"}).where("false")
     assert near_dup.near_duplicates(spark, docs).collect() == []
